@@ -12,13 +12,16 @@ columns, with ``OldValue`` null; anything else gives one row whose ``OldValue``
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field as dataclass_field
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from driftwell.functions.text import is_json_array
 from driftwell.schemas import DETAILS
 from driftwell.sources.readers import json_rows
+from driftwell.sources.writers import stage
 
 
 @dataclass(frozen=True)
@@ -112,32 +115,18 @@ URLS_FIELD, URLS_OUTPUT = "urls", "siteurls"
 
 
 def parse_log(log: DataFrame) -> DataFrame:
-    """The log with ``details`` (a struct) in place of its text, and ``details_corrupt``."""
-    parsed = json_rows(log, "Details", DETAILS, "_details")
-    return (
-        parsed.drop("Details")
-        .withColumnRenamed("_details_corrupt", "details_corrupt")
-        .withColumn("details", _typed_ids("_details"))
-        .drop("_details")
-    )
+    """The log with ``details``, a struct, in place of the text ``Details``."""
+    return json_rows(log, "Details", DETAILS, "details")
 
 
-def _typed_ids(struct: str) -> Column:
-    source = F.col(struct)
-    return F.when(
-        source.isNotNull(),
-        F.struct(
-            source["entityId"].try_cast("bigint").alias("entityId"),
-            source["entityType"].alias("entityType"),
-            source["parentId"].try_cast("bigint").alias("parentId"),
-            source["fields"].alias("fields"),
-        ),
-    )
+def _id(name: str) -> Column:
+    """An id of the details; read as text, so one given as a JSON string is found as well."""
+    return F.col(f"details.{name}").try_cast("bigint").alias(name)
 
 
 def rejects(parsed: DataFrame) -> DataFrame:
     """Records whose details are not a JSON document, with the text as it came."""
-    return parsed.where("details_corrupt is not null").select("Id", "Source", F.col("details_corrupt").alias("Details"))
+    return parsed.where("details._corrupt is not null").select("Id", "Source", F.col("details._corrupt").alias("Details"))
 
 
 def log_master(log: DataFrame) -> DataFrame:
@@ -150,29 +139,40 @@ def of_kind(parsed: DataFrame, source: str) -> DataFrame:
 
 def entity_rows(parsed: DataFrame, entity: Entity) -> DataFrame:
     """One row per record: ids, and the changed fields as three parallel arrays."""
-    columns = ["Id", "details.entityId"]
+    columns = [F.col("Id"), _id("entityId")]
     if entity.has_type:
-        columns.append("details.entityType")
+        columns.append(F.col("details.entityType"))
     if entity.has_parent:
-        columns.append("details.parentId")
+        columns.append(_id("parentId"))
     return of_kind(parsed, entity.source).select(
         *columns, "details.fields.fieldName", "details.fields.newValue", "details.fields.oldValue"
     )
 
 
 def whole_records(parsed: DataFrame, entity: Entity) -> DataFrame:
-    return of_kind(parsed, entity.source).select("Id", F.col("details").alias("Details"))
+    details = F.struct(_id("entityId"), F.col("details.entityType"), _id("parentId"), F.col("details.fields"))
+    return of_kind(parsed, entity.source).select("Id", details.alias("Details"))
 
 
 def field_rows(parsed: DataFrame, source: str) -> DataFrame:
     """One row per changed field; records without fields give none."""
     return (
         of_kind(parsed, source)
-        .select(F.col("Id").alias("eid"), F.explode("details.fields").alias("f"))
+        .select(F.col("Id").alias("eid"), exploded_fields("details.fields").alias("f"))
+        .where("f is not null")
         .select("eid", "f.fieldName", "f.newValue", "f.oldValue")
     )
 
 
+def exploded_fields(column: str) -> Column:
+    """The fields one by one, and one null for a record without any, which the caller filters out.
+
+    For a plain ``explode`` the optimizer adds a filter on the array's size below it, and on a
+    column that is still to be parsed that filter parses every document a second time.
+    """
+    return F.explode_outer(column)
+
+
 def new_elements(fields: DataFrame, spec: ElementField) -> DataFrame:
     """Elements of the new value of one array field."""
     return (
@@ -241,25 +241,37 @@ def _element_columns(spec: ElementField, side: str) -> list[Column]:
     ]
 
 
-def outputs(log: DataFrame, parsed: DataFrame) -> dict[str, tuple[str | None, str | None, DataFrame]]:
-    """Every output table by name, as ``(record kind, field name, frame)``."""
-    tables: dict[str, tuple[str | None, str | None, DataFrame]] = {LOG_MASTER: (None, None, log_master(log))}
+@dataclass(frozen=True)
+class Output:
+    """An output table: its record kind and field (None for all), and how it is made."""
+
+    source: str | None
+    field_name: str | None
+    build: Callable[[DataFrame], DataFrame]
+
+
+def _output_tables() -> dict[str, Output]:
+    tables = {LOG_MASTER: Output(None, None, log_master)}
     for entity in ENTITIES:
-        tables[entity.output] = (entity.source, None, entity_rows(parsed, entity))
+        tables[entity.output] = Output(entity.source, None, lambda p, e=entity: entity_rows(p, e))
         if entity.fields_output:
-            tables[entity.fields_output] = (entity.source, None, field_rows(parsed, entity.source))
-    tables[AUDIENCE.output] = (AUDIENCE.source, None, whole_records(parsed, AUDIENCE))
-    tables[URLS_OUTPUT] = (SITE.source, None, site_urls(field_rows(parsed, SITE.source)))
-    changes = field_rows(parsed, AD_GROUP.source)
+            tables[entity.fields_output] = Output(entity.source, None, lambda p, e=entity: field_rows(p, e.source))
+    tables[AUDIENCE.output] = Output(AUDIENCE.source, None, lambda p: whole_records(p, AUDIENCE))
+    tables[URLS_OUTPUT] = Output(SITE.source, None, lambda p: site_urls(field_rows(p, SITE.source)))
+    group = AD_GROUP.source
     for spec in ELEMENT_FIELDS:
-        tables[f"{spec.output}/new"] = (AD_GROUP.source, spec.name, new_elements(changes, spec))
-        tables[f"{spec.output}/old"] = (AD_GROUP.source, spec.name, old_elements(changes, spec))
-    tables[AUDIENCE_OUTPUT] = (AD_GROUP.source, AUDIENCE_FIELD, audience_changes(changes))
+        tables[f"{spec.output}/new"] = Output(group, spec.name, lambda p, s=spec: new_elements(field_rows(p, group), s))
+        tables[f"{spec.output}/old"] = Output(group, spec.name, lambda p, s=spec: old_elements(field_rows(p, group), s))
+    tables[AUDIENCE_OUTPUT] = Output(group, AUDIENCE_FIELD, lambda p: audience_changes(field_rows(p, group)))
     return tables
 
 
+OUTPUTS = _output_tables()
+# Tables written at the same time.
+WRITERS = 4
+
+
 def shred_day(
-    spark: SparkSession,
     log: DataFrame,
     target: str,
     day: str,
@@ -276,8 +288,7 @@ def shred_day(
     its field where it has one, has at least ``min_rows`` rows.  Each table goes to ``dt=<day>``,
     where an existing day is replaced, which makes a rerun safe; ``mode="errorifexists"`` refuses.
     """
-    parse_log(log).write.mode("overwrite").partitionBy("Source").parquet(staging)
-    parsed = spark.read.parquet(staging)
+    parsed = stage(parse_log(log), staging, "Source")
     special = [spec.name for spec in ELEMENT_FIELDS] + [AUDIENCE_FIELD]
     # All gates from one pass.  The result has one row per record kind and one per special field.
     kinds = parsed.groupBy("Source").agg(F.count("*").alias("n")).select("Source", F.lit(None).cast("string"), "n")
@@ -291,14 +302,20 @@ def shred_day(
     known = [e.source for e in ENTITIES] + [AUDIENCE.source]
     sizes = {(r[0], r[1]): r[2] for r in kinds.where(F.col("Source").isin(known)).union(fields).collect()}
 
-    written = []
-    for name, (source, field_name, table) in outputs(parsed, parsed).items():
-        if source is not None and sizes.get((source, None), 0) < min_rows:
-            continue
-        if field_name is not None and sizes.get((source, field_name), 0) < min_rows:
-            continue
+    def wanted(output: Output) -> bool:
+        gates = [] if output.source is None else [(output.source, None)]
+        if output.field_name is not None:
+            gates.append((output.source, output.field_name))
+        return all(sizes.get(gate, 0) >= min_rows for gate in gates)
+
+    def write(name: str) -> None:
+        table = OUTPUTS[name].build(parsed)
         # A single field's rows are a small share of what is read: fewer, fuller files.
-        arranged = table.hint("rebalance") if field_name is not None else table
+        arranged = table.hint("rebalance") if OUTPUTS[name].field_name is not None else table
         arranged.write.mode(mode).parquet(f"{target}/{name}/dt={day}")
-        written.append(name)
+
+    written = [name for name, output in OUTPUTS.items() if wanted(output)]
+    # The tables do not depend on one another; side by side, the tail of one fills with the next.
+    with ThreadPoolExecutor(max_workers=WRITERS) as pool:
+        list(pool.map(write, written))
     return written

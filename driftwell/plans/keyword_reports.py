@@ -35,23 +35,30 @@ CREATE_COLUMNS = (
 )
 
 
-def _keyword_records(log: DataFrame, summary: str) -> DataFrame:
-    # Filtered before parsing: the JSON of other records is never looked at.
-    return parse_log(log.where((F.col("Source") == KEYWORD_SOURCE) & (F.col("Summary") == summary)))
+def keyword_records(log: DataFrame) -> DataFrame:
+    """The keyword records of a change log, parsed.
+
+    Filtered before parsing, so the JSON of other records is never looked at.  The reports read
+    the result several times; hand them a stored copy (``sources.writers.stage``) so that the log
+    is read and parsed once.
+    """
+    return parse_log(log.where(F.col("Source") == KEYWORD_SOURCE))
 
 
-def write_report(log: DataFrame, keywords: DataFrame) -> DataFrame:
+def write_report(records: DataFrame, keywords: DataFrame) -> DataFrame:
     """Every field change of a keyword with the keyword's name, state and ad group.
 
+    ``records`` are parsed keyword records, ``keywords`` the keyword master.
+
     Changes meet their record's user and time by audit id, and the audit id's keywords by audit id
     alone: if several records share an id, each of its keywords is shown with each of its changes.
     The changes stay one array per record until the last step, so the joins move one row per
     record and not one per field.
     """
-    records = _keyword_records(log, WRITE)
-    users = records.select("Id", "UserName", "LogDateTime")
-    changes = records.where((F.col("details.entityType") == KEYWORD_ENTITY) & (F.size("details.fields") > 0)).select(
-        "Id", "details.entityId", "details.fields"
+    writes = records.where(F.col("Summary") == WRITE)
+    users = writes.select("Id", "UserName", "LogDateTime")
+    changes = writes.where((F.col("details.entityType") == KEYWORD_ENTITY) & (F.size("details.fields") > 0)).select(
+        "Id", F.col("details.entityId").try_cast("bigint").alias("entityId"), "details.fields"
     )
     edits = changes.join(users, "Id")
     edited = changes.select("Id", "entityId").where("Id is not null").distinct()
@@ -106,14 +113,14 @@ def _values_of(name: str) -> Column:
     return F.transform(found, lambda f: F.struct(f["newValue"].alias("v")))
 
 
-def create_report(log: DataFrame) -> DataFrame:
+def create_report(records: DataFrame) -> DataFrame:
     """Created keywords: one row per record that gives all six fields, each possibly null.
 
     The fields of a record sit in one array, so no join and no shuffle is needed: each wanted field
     is picked out of the array and exploded.  A missing field gives no row and a field given twice
     gives a row for each, as joining the fields by audit id would.
     """
-    rows = _keyword_records(log, CREATE).select("Id", "UserName", "LogDateTime", "details.fields")
+    rows = records.where(F.col("Summary") == CREATE).select("Id", "UserName", "LogDateTime", "details.fields")
     for name in CREATE_FIELDS:
         rows = rows.withColumn(f"_{name}", F.explode(_values_of(name)))
     values = [F.col(f"_{name}.v") for name in CREATE_FIELDS]

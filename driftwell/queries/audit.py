@@ -156,8 +156,7 @@ def _register_outputs() -> None:
     for name, sql in output_sql().items():
 
         def build(t: Tables, name: str = name) -> DataFrame:
-            log = audit_log(t)
-            return _flat(plan.outputs(log, plan.parse_log(log))[name][2])
+            return _flat(plan.OUTPUTS[name].build(plan.parse_log(audit_log(t))))
 
         query(sql, _KEYS.get(name, "audit_" + name.replace("adgroup/", "").replace("/", "_").lower()))(build)
 
@@ -199,7 +198,7 @@ def array_struct_project(t: Tables) -> DataFrame:
 def audit_shred_day(t: Tables) -> DataFrame:
     """The whole job: all tables written for one day, then counted from the files."""
     target = t.scratch("shredded")
-    written = plan.shred_day(t.spark, audit_log(t), target, "2024-01-10", f"{target}-staging")
+    written = plan.shred_day(audit_log(t), target, "2024-01-10", f"{target}-staging")
     counts = [
         t.spark.read.parquet(f"{target}/{name}/dt=2024-01-10").agg(F.lit(name).alias("output"), F.count("*").alias("n"))
         for name in written

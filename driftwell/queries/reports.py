@@ -11,7 +11,7 @@ from driftwell.queries.catalog import Tables, query
 from driftwell.queries.sets_and_samples import bucket_sql
 from driftwell.schemas import WRITE_REPORT
 from driftwell.sources.readers import read_delimited, wide_cells
-from driftwell.sources.writers import write_report, write_snapshot
+from driftwell.sources.writers import stage, write_report, write_snapshot
 
 
 # Lines as ad groups, parts as campaigns (vendor = size modulo 5), suppliers as advertisers.
@@ -61,8 +61,12 @@ _WRITES_SQL = f"""
 """
 
 
+def _records(t: Tables) -> DataFrame:
+    return stage(keyword_reports.keyword_records(audit_log(t)), t.scratch("keyword-records"))
+
+
 def _write_report(t: Tables) -> DataFrame:
-    return keyword_reports.write_report(audit_log(t), keyword_master(t))
+    return keyword_reports.write_report(_records(t), keyword_master(t))
 
 
 @query(f"""
@@ -119,7 +123,7 @@ FROM orders JOIN (VALUES ('1', false), ('2', true)) s(state, twice) ON NOT s.twi
 WHERE {KIND_SQL} = 'MV_Keyword' AND o_orderstatus = 'P' AND o_orderpriority <> '3-MEDIUM'
 """)
 def rpt_keyword_create(t: Tables) -> DataFrame:
-    return keyword_reports.create_report(audit_log(t))
+    return keyword_reports.create_report(keyword_reports.keyword_records(audit_log(t)))
 
 
 _RUN_DATE = "2024-01-11"

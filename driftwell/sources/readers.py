@@ -82,18 +82,17 @@ def day_slice(frame: DataFrame, run_date: str, days_back: int = 1, day_column: s
 
 
 def json_rows(frame: DataFrame, text: str, schema: str, name: str = "record") -> DataFrame:
-    """Parse a column of JSON text with a fixed schema; what does not parse keeps its text.
+    """Replace a column of JSON text by ``name``, a struct of a fixed schema.
 
-    Adds ``name`` (a struct) and ``<name>_corrupt`` (the text of a malformed value, else null).
+    The struct's last field, ``_corrupt``, has the text of a value that is not valid JSON.  The
+    column is one ``from_json`` and nothing around it, so that it is parsed once however many of
+    its fields are used, and only the used fields are built.
     """
     parsed = F.from_json(
         F.col(text), f"{schema}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"}
     )
-    return (
-        frame.withColumn(name, parsed)
-        .withColumn(f"{name}_corrupt", F.col(name).getField("_corrupt"))
-        .withColumn(name, F.col(name).dropFields("_corrupt"))
-    )
+    kept = [F.col(f"`{c}`") for c in frame.columns if c != text]
+    return frame.select(*kept, parsed.alias(name))
 
 
 def csv_text_rows(

@@ -30,6 +30,16 @@ def write_snapshot(frame: DataFrame, path: str) -> None:
     frame.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
+def stage(frame: DataFrame, path: str, *partition_by: str) -> DataFrame:
+    """Write an intermediate frame as parquet and return what was written.
+
+    Cuts the lineage: whatever reads the result starts from files on the shared file system, also
+    after executors are lost.
+    """
+    frame.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def append_table(frame: DataFrame, table: str, *, path: str | None = None) -> None:
     """Append to a catalog table, made on first use; ``path`` makes it an external one."""
     writer = frame.write.mode("append").format("parquet")
