@@ -24,14 +24,27 @@ def anti_nullsafe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataF
     return left.join(keys, match, "left_anti")
 
 
+def join_aggregate(frame: DataFrame, per_key: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows joined to an aggregate that has one row for each key; null equals null.
+
+    The join is on the keys as one struct rather than on the columns the aggregate is grouped by.
+    So the aggregate is shuffled once more for the join, which is little, and both inputs of the
+    join come straight from a shuffle, which the adaptive planner asks for before it splits the
+    rows of a hot key.
+    """
+    others = [F.col(f"`{c}`") for c in per_key.columns if c not in keys]
+    right = per_key.select(F.struct(*keys).alias("_key"), *others)
+    return frame.withColumn("_key", F.struct(*keys)).join(right, "_key").drop("_key")
+
+
 def count_back(frame: DataFrame, key: str, name: str) -> DataFrame:
     """Every row with the number of rows that share its key; rows with a null key drop.
 
     Counted map-side first and joined back, rather than counted in a window: a window would bring
     all rows of a hot key to one task.
     """
-    counts = frame.groupBy(key).agg(F.count("*").alias(name))
-    return frame.join(counts, key)
+    keyed = frame.where(F.col(key).isNotNull())
+    return join_aggregate(keyed, keyed.groupBy(key).agg(F.count("*").alias(name)), [key])
 
 
 def greatest_per_group(frame: DataFrame, key: str, measure: str) -> DataFrame:

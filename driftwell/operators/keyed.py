@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from driftwell.operators.joins import join_aggregate
+
 # A list longer than this is delivered in parts.
 LIST_PART = 100_000
 
@@ -34,14 +36,15 @@ def values_by_key(
     its rows dealt out by a hash of ``row_id``, so that no task has to hold the whole of a hot
     key and no value is left out.  The null key is a group like any other.
     """
-    keyed = frame.select(F.struct(F.col(key)).alias("_k"), F.col(value).alias("_v"), F.col(row_id).alias("_id"))
-    sizes = keyed.groupBy("_k").agg(F.ceil(F.count("*") / F.lit(part_size)).cast("bigint").alias("parts"))
+    rows = frame.select(F.col(key), F.col(value).alias("_v"), F.col(row_id).alias("_id"))
+    sizes = rows.groupBy(key).agg(F.ceil(F.count("*") / F.lit(part_size)).cast("bigint").alias("parts"))
+    dealt = join_aggregate(rows, sizes, [key]).withColumn("part", F.pmod(F.xxhash64("_id"), F.col("parts")))
+    # Grouped by key and part, not where the join has left the key's rows together.
     return (
-        keyed.join(sizes, "_k")
-        .withColumn("part", F.pmod(F.xxhash64("_id"), F.col("parts")))
-        .groupBy("_k", "parts", "part")
+        dealt.repartition(key, "part")
+        .groupBy(key, "parts", "part")
         .agg(F.sort_array(F.collect_list("_v")).alias("values"))
-        .select(F.col(f"_k.{key}").alias(key), "part", "parts", "values")
+        .select(key, "part", "parts", "values")
     )
 
 

@@ -22,6 +22,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType
 
+from driftwell.operators.joins import join_aggregate
+
 HOT_ROWS = 2_000_000
 SAMPLES_PER_SLICE = 20
 
@@ -62,18 +64,15 @@ def running_sum(frame: DataFrame, keys: Sequence[str], order: Sequence[str], val
 
 
 def first_value(frame: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
-    return _join_aggregate(frame, keys, F.min_by(value, _position(frame, order)).alias(name))
+    """Value of the key's first row: an aggregate joined back, so no window is needed."""
+    edges = frame.groupBy(*keys).agg(F.min_by(value, _position(frame, order)).alias(name))
+    return join_aggregate(frame, edges, keys)
 
 
 def last_value(frame: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
     """Value of the key's last row (whole-partition frame, not up to the current row)."""
-    return _join_aggregate(frame, keys, F.max_by(value, _position(frame, order)).alias(name))
-
-
-def _join_aggregate(frame: DataFrame, keys: Sequence[str], aggregate: Column) -> DataFrame:
-    """One aggregate value per key, put on every row of the key: no window is needed."""
-    per_key = frame.groupBy(_key_struct(keys).alias("_k")).agg(aggregate)
-    return frame.withColumn("_k", _key_struct(keys)).join(per_key, "_k").drop("_k")
+    edges = frame.groupBy(*keys).agg(F.max_by(value, _position(frame, order)).alias(name))
+    return join_aggregate(frame, edges, keys)
 
 
 def _over_peers(
@@ -99,8 +98,7 @@ def _over_peers(
     else:
         scanned = _scan(peers, keys, order, [_Output("_upto", "running_sum", "_v")], hot_rows)
         result = F.col("_upto")
-    per_peer = scanned.select(_key_struct(columns).alias("_k"), result.alias(name))
-    return frame.withColumn("_k", _key_struct(columns)).join(per_peer, "_k").drop("_k")
+    return join_aggregate(frame, scanned.select(*columns, result.alias(name)), columns)
 
 
 def _scan(
@@ -232,8 +230,10 @@ def _slice_number(position: Column, bounds: Sequence[Column]) -> Column:
         return F.lit(0)
     table = F.array(*bounds)
     steps = [1 << bit for bit in reversed(range(len(bounds).bit_length()))]
-    return F.reduce(
+    found = F.reduce(
         F.array(*[F.lit(s) for s in steps]),
         F.lit(0),
         lambda low, step: F.when(F.get(table, low + step - 1) <= position, low + step).otherwise(low),
     )
+    # never null; said so, or the join on the slice adds a filter that searches once more
+    return F.coalesce(found, F.lit(0))

@@ -154,10 +154,10 @@ def whole_records(parsed: DataFrame, entity: Entity) -> DataFrame:
     return of_kind(parsed, entity.source).select("Id", details.alias("Details"))
 
 
-def field_rows(parsed: DataFrame, source: str) -> DataFrame:
-    """One row per changed field; records without fields give none."""
+def field_rows(parsed: DataFrame, source: str | None = None) -> DataFrame:
+    """One row per changed field, of one record kind or of all; records without fields give none."""
     return (
-        of_kind(parsed, source)
+        (parsed if source is None else of_kind(parsed, source))
         .select(F.col("Id").alias("eid"), exploded_fields("details.fields").alias("f"))
         .where("f is not null")
         .select("eid", "f.fieldName", "f.newValue", "f.oldValue")

@@ -8,6 +8,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from driftwell.operators import windows
+from driftwell.session import scratch_path
+from driftwell.sources.writers import stage
 
 # The fields of a flight line, by position.
 FLIGHT = (
@@ -21,25 +23,34 @@ FEATURES = ("monthday", "weekday", "crsdeptime", "crsarrtime", "carrier", "crsel
 DELAYED_AFTER = 40.0
 
 
-def category_index(frame: DataFrame, column: str, *, hot_rows: int = windows.HOT_ROWS) -> DataFrame:
-    """``column, index``: the distinct values numbered from zero in ascending order, null first.
+def category_indexes(frame: DataFrame, columns: Sequence[str], *, hot_rows: int = windows.HOT_ROWS) -> DataFrame:
+    """``column, value, index``: each column's distinct values numbered from zero, in order, null first.
 
-    The numbering is that of the value's place in sorted order, so it does not change between runs.
-    Nothing is fetched to the driver; many values are numbered in slices.
+    The number is the value's place in sorted order, so it does not change between runs.  The
+    frame is read once for all columns and its distinct values are staged; nothing is fetched to
+    the driver, and a column with very many values is numbered in slices.
     """
-    values = frame.select(column).distinct()
-    numbered = windows.row_number(values, [], [column], "_n", hot_rows=hot_rows)
-    return numbered.select(column, (F.col("_n") - 1).alias("index"))
+    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    values = frame.select(F.explode(entries).alias("e")).select("e.*").distinct()
+    stored = stage(values, scratch_path(frame.sparkSession, "categories"))
+    numbered = windows.row_number(stored, ["column"], ["value"], "_n", hot_rows=hot_rows)
+    return numbered.select("column", "value", (F.col("_n") - 1).alias("index"))
+
+
+def category_index(frame: DataFrame, column: str, *, hot_rows: int = windows.HOT_ROWS) -> DataFrame:
+    """The same for one column: ``column, index``."""
+    return category_indexes(frame, [column], hot_rows=hot_rows).select(F.col("value").alias(column), "index")
 
 
 def with_category_indexes(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Each column replaced by its value's index, as a double."""
+    indexes = category_indexes(frame, columns)
     for column in columns:
-        index = category_index(frame, column).select(
-            F.col(column).alias("_value"), F.col("index").cast("double").alias("_index")
+        index = indexes.where(F.col("column") == column).select(
+            F.col("value").alias("_value"), F.col("index").cast("double").alias("_index")
         )
         frame = (
-            frame.join(index, frame[column].eqNullSafe(index["_value"]))
+            frame.join(index, F.col(column).cast("string").eqNullSafe(F.col("_value")))
             .withColumn(column, F.col("_index"))
             .drop("_value", "_index")
         )

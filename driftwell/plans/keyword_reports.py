@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from driftwell.operators.joins import star_join
+from driftwell.operators.joins import join_aggregate, star_join
 from driftwell.plans.audit_log import KEYWORD_SOURCE, parse_log
 from driftwell.schemas import WRITE_REPORT_COLUMNS
 
@@ -86,9 +86,10 @@ def write_summary(report: DataFrame, ad_groups: DataFrame, campaigns: DataFrame,
     Equal edits are counted together map-side before anything else, so that a busy ad group goes
     through the joins as its distinct edits and the totals are sums over those.
     """
-    edits = report.groupBy("ADGROUP ID", "USER ID", "STATE ID", "KEYWORD").agg(F.count("*").alias("_n"))
+    known = report.where(F.col("ADGROUP ID").isNotNull())
+    edits = known.groupBy("ADGROUP ID", "USER ID", "STATE ID", "KEYWORD").agg(F.count("*").alias("_n"))
     totals = edits.groupBy("ADGROUP ID").agg(F.sum("_n").alias("TOTAL KW EDITS"))
-    keyed = edits.join(totals, "ADGROUP ID").withColumn("_group", F.col("ADGROUP ID").try_cast("bigint"))
+    keyed = join_aggregate(edits, totals, ["ADGROUP ID"]).withColumn("_group", F.col("ADGROUP ID").try_cast("bigint"))
     groups = ad_groups.select(F.col("ADGROUP ID").cast("bigint").alias("_group"), "ADGROUP NAME", "CAMPAIGN ID")
     joined = star_join(keyed, (groups, "_group"), (campaigns, "CAMPAIGN ID"), (advertisers, "ADV ID"))
     return (

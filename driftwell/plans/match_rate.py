@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from driftwell.functions.numbers import percent
 from driftwell.functions.time import days_before, epoch_ms_to_day
@@ -20,6 +20,11 @@ def actions_for_url(spark: SparkSession, actions: DataFrame, url: str) -> DataFr
     )
 
 
+def _given(column: str) -> Column:
+    """How many values are neither null nor empty."""
+    return F.count(F.when(F.col(column).isNotNull() & (F.col(column) != ""), 1)).alias(column)
+
+
 def match_rate(
     spark: SparkSession,
     matched: DataFrame,
@@ -52,16 +57,14 @@ def match_rate(
     unmatched = anti_nullsafe(visitors, known, ["idvisitor"])
 
     own = matched.where(F.col("pwsid") == OWN_SITE).select("mvid").distinct()
-    partners = profiles.join(own, "mvid")
-
-    def has(column: str):
-        return F.count(F.when(F.col(column).isNotNull() & (F.col(column) != ""), 1))
+    # counted per id before the join: an id with many profiles is one row there
+    partners = profiles.groupBy("mvid").agg(_given("bmid"), _given("tdid")).join(own, "mvid")
 
     parts = [
         known.agg(F.count("*").alias("matched")),
         unmatched.agg(F.sum("visits").alias("unmatched")),
         own.agg(F.count("*").alias("own")),
-        partners.agg(has("bmid").alias("partner_b"), has("tdid").alias("partner_t")),
+        partners.agg(F.sum("bmid").alias("partner_b"), F.sum("tdid").alias("partner_t")),
     ]
     counts = parts[0]
     for part in parts[1:]:

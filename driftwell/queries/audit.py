@@ -179,8 +179,8 @@ def audit_rejects(t: Tables) -> DataFrame:
 
 @query(" UNION ALL ".join(_fields_sql(kind) for kind in KINDS[:-1]))
 def explode_fields(t: Tables) -> DataFrame:
-    parsed = plan.parse_log(audit_log(t))
-    return reduce(DataFrame.unionByName, [plan.field_rows(parsed, kind) for kind in KINDS[:-1]])
+    # all kinds but the keywords, whose fields the reports show
+    return plan.field_rows(plan.parse_log(audit_log(t).where(F.col("Source") != plan.KEYWORD_SOURCE)))
 
 
 @query(f"""
