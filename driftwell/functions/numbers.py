@@ -19,12 +19,14 @@ def exact_sum(value: Column) -> Column:
     return F.sum(value.cast("decimal(18,2)")).cast("double")
 
 
-def hash_bucket(row_id: Column, buckets: int = 100) -> Column:
+def hash_bucket(row_id: Column, buckets: int = 100, salt: int = 0) -> Column:
     """A bucket in ``[0, buckets)`` that depends on nothing but the integer ``row_id``.
 
     Multiplicative hashing on the id folded modulo a prime, so any bigint fits and a rerun, a lost
-    executor or another partitioning gives the same bucket.  ``buckets`` may go up to 65536.
+    executor or another partitioning gives the same bucket.  ``buckets`` may go up to 65536;
+    another ``salt`` gives buckets unrelated to the first ones.
     """
-    folded = F.pmod(row_id.cast("bigint"), F.lit(2147483647))
+    prime = F.lit(2147483647)
+    folded = F.pmod(F.pmod(row_id.cast("bigint"), prime) + F.lit(salt), prime)
     mixed = F.pmod(folded * F.lit(2654435761), F.lit(4294967296))
     return (F.shiftright(mixed, 16) % F.lit(buckets)).cast("int")

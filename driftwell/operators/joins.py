@@ -53,8 +53,8 @@ def greatest_per_group(frame: DataFrame, key: str, measure: str) -> DataFrame:
     The maxima are combined map-side.  The join back is on key and value, so neither a large group
     nor a large tie is gathered in one task.
     """
-    best = frame.groupBy(key).agg(F.max(measure).alias(measure))
-    return frame.join(best, [key, measure])
+    valued = frame.where(F.col(key).isNotNull() & F.col(measure).isNotNull())
+    return join_aggregate(valued, valued.groupBy(key).agg(F.max(measure).alias(measure)), [key, measure])
 
 
 def star_join(fact: DataFrame, *dimensions: tuple[DataFrame, str]) -> DataFrame:

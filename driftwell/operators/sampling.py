@@ -27,5 +27,5 @@ def stratified_downsample(frame: DataFrame, label: str, row_id: str, keep_percen
 
 def train_test_split(frame: DataFrame, row_id: str, train_percent: int = 70) -> tuple[DataFrame, DataFrame]:
     """Split by a bucket other than the one ``stratified_downsample`` reads, so the two are independent."""
-    bucket = hash_bucket(F.col(row_id) + F.lit(1_000_003))
+    bucket = hash_bucket(F.col(row_id), salt=1_000_003)
     return frame.where(bucket < train_percent), frame.where(bucket >= train_percent)

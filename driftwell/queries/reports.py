@@ -257,7 +257,7 @@ def ml_feature_rows(t: Tables) -> DataFrame:
 
 
 @query(f"""
-SELECT *, CASE WHEN {bucket_sql('o_orderkey + 1000003')} < 70 THEN 'train' ELSE 'test' END AS side
+SELECT *, CASE WHEN {bucket_sql('o_orderkey', 1000003)} < 70 THEN 'train' ELSE 'test' END AS side
 FROM ({_FEATURES_SQL}) WHERE label <> 0 OR {bucket_sql('o_orderkey')} < 15
 """)
 def ml_training_sets(t: Tables) -> DataFrame:

@@ -70,8 +70,8 @@ def sample_replace(t: Tables) -> DataFrame:
     return sample_with_replacement(t.orders.select("o_orderkey"), 0.4, seed=17)
 
 
-def bucket_sql(column: str) -> str:
-    return f"(((({column}) % 2147483647) * 2654435761) % 4294967296) // 65536 % 100"
+def bucket_sql(column: str, salt: int = 0) -> str:
+    return f"(((({column} % 2147483647 + {salt}) % 2147483647) * 2654435761) % 4294967296) // 65536 % 100"
 
 
 @query(f"""
@@ -84,7 +84,7 @@ def stratified_orders(t: Tables) -> DataFrame:
 
 
 @query(f"""
-SELECT o_orderkey, CASE WHEN {bucket_sql('o_orderkey + 1000003')} < 70 THEN 'train' ELSE 'test' END AS side FROM orders
+SELECT o_orderkey, CASE WHEN {bucket_sql('o_orderkey', 1000003)} < 70 THEN 'train' ELSE 'test' END AS side FROM orders
 """, name="train_test_split")
 def split_orders(t: Tables) -> DataFrame:
     train, test = train_test_split(t.orders.select("o_orderkey"), "o_orderkey")

@@ -37,7 +37,8 @@ def stage(frame: DataFrame, path: str, *partition_by: str) -> DataFrame:
     after executors are lost.
     """
     frame.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    stored = frame.sparkSession.read.schema(frame.schema).parquet(path)
+    return stored.select(*[F.col(f"`{c}`") for c in frame.columns])
 
 
 def append_table(frame: DataFrame, table: str, *, path: str | None = None) -> None:

@@ -1,0 +1,33 @@
+"""Every catalogue query against its SQL twin."""
+
+import pytest
+
+import oracle
+from driftwell.queries import ORACLES, QUERIES
+
+
+@pytest.fixture(scope="module")
+def connection(tables_dir):
+    return oracle.connect(tables_dir)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_agrees_with_sql(spark, tables_dir, connection, name):
+    frame = QUERIES[name](spark, tables_dir)
+    oracle.compare(frame, connection, ORACLES[name])
+    assert oracle.integer_widths(frame, connection, ORACLES[name]) == {}
+
+
+def test_queries_without_sql(spark, tables_dir):
+    assert set(QUERIES) - set(ORACLES) == {"sample_replace"}
+    everything = spark.read.parquet(f"{tables_dir}/orders.parquet").count()
+    drawn = QUERIES["sample_replace"](spark, tables_dir)
+    assert 0.3 * everything < drawn.count() < 0.5 * everything
+    assert drawn.subtract(spark.read.parquet(f"{tables_dir}/orders.parquet").select("o_orderkey")).count() == 0
+
+
+def test_entry(spark):
+    import __spark_entry__ as driver
+
+    assert driver.entry(spark).columns[0] == "USER ID"
+    assert set(driver.oracle_sql()) <= set(driver.queries())
