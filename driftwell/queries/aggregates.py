@@ -109,6 +109,13 @@ def kv_collect(t: Tables) -> DataFrame:
     return lists.select("o_custkey", "part", "parts", F.concat_ws(",", F.col("values").cast("array<string>")).alias("orders"))
 
 
+@query("SELECT o_custkey, o_orderkey FROM orders")
+def kv_collect_parts(t: Tables) -> DataFrame:
+    """Lists so short that most keys need several, taken apart again: no value may be missing."""
+    lists = values_by_key(t.orders, "o_custkey", "o_orderkey", "o_orderkey", part_size=3)
+    return lists.select("o_custkey", F.explode("values").alias("o_orderkey"))
+
+
 @query("SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1")
 def kv_count(t: Tables) -> DataFrame:
     return count_by_key(t.lineitem, "l_suppkey")
