@@ -1,8 +1,8 @@
 """Window functions that stay whole and balanced when one group holds much of the data.
 
 ``OVER (PARTITION BY k ORDER BY o)`` brings all rows of a key to one task.  Each function here
-first counts rows per key (combined map-side, one row comes back).  If no key has more than
-``hot_rows`` rows the ordinary window is used.  Otherwise the rows are cut into ordered slices by
+first counts rows per key (combined map-side; only keys above ``hot_rows`` come back).  Rows of
+other keys go through the ordinary window.  Rows of a hot key are cut into ordered slices by
 boundaries taken from a sample of the order columns, the window runs within (key, slice), and what
 the earlier or the next slices contribute is added from a summary that has one row for each
 (key, slice).  The sample only places the boundaries; results are the same for any boundaries.
@@ -10,21 +10,23 @@ the earlier or the next slices contribute is added from a summary that has one r
 ``order`` columns must tell the rows of a key apart, except for ``rank``, ``dense_rank`` and
 ``running_sum``, where rows with equal ``order`` are peers.  They are names, with ``-`` in front for
 descending; sliced descending order is for numeric columns.  Nulls sort as in Spark: first
-ascending, last descending.  The functions look at the frame twice, so hand in a table or scan
-rather than a long pipeline.
+ascending, last descending.  The functions look at the frame more than once, so hand in a table or
+scan rather than a long pipeline.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import DoubleType, FloatType, NumericType
+from pyspark.sql.types import DataType, DoubleType, FloatType, NumericType
 
 from driftwell.operators.joins import join_aggregate
 
 HOT_ROWS = 2_000_000
+# With more hot keys than this, all rows are sliced: the keys are no longer listed in the plan.
+MAX_HOT_KEYS = 1000
 SAMPLES_PER_SLICE = 20
 
 
@@ -36,15 +38,15 @@ class _Output:
 
 
 def row_number(frame: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, *, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return _scan(frame, keys, order, [_Output(name, "row_number")], hot_rows)
+    return _scan(frame, keys, order, _Output(name, "row_number"), hot_rows)
 
 
 def lead(frame: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, *, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return _scan(frame, keys, order, [_Output(name, "lead", value)], hot_rows)
+    return _scan(frame, keys, order, _Output(name, "lead", value), hot_rows)
 
 
 def lag(frame: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, *, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return _scan(frame, keys, order, [_Output(name, "lag", value)], hot_rows)
+    return _scan(frame, keys, order, _Output(name, "lag", value), hot_rows)
 
 
 def rank(frame: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, *, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -65,110 +67,119 @@ def running_sum(frame: DataFrame, keys: Sequence[str], order: Sequence[str], val
 
 def first_value(frame: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
     """Value of the key's first row: an aggregate joined back, so no window is needed."""
-    edges = frame.groupBy(*keys).agg(F.min_by(value, _position(frame, order)).alias(name))
+    edges = frame.groupBy(*keys).agg(F.min_by(value, F.struct(*_position(frame, order))).alias(name))
     return join_aggregate(frame, edges, keys)
 
 
 def last_value(frame: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
     """Value of the key's last row (whole-partition frame, not up to the current row)."""
-    edges = frame.groupBy(*keys).agg(F.max_by(value, _position(frame, order)).alias(name))
+    edges = frame.groupBy(*keys).agg(F.max_by(value, F.struct(*_position(frame, order))).alias(name))
     return join_aggregate(frame, edges, keys)
 
 
+def _by_group_size(
+    frame: DataFrame,
+    keys: Sequence[str],
+    hot_rows: int,
+    ordinary: Callable[[DataFrame], DataFrame],
+    sliced: Callable[[DataFrame, int], DataFrame],
+) -> DataFrame:
+    """Run ``sliced`` (which is told its number of rows) on the hot groups, ``ordinary`` on the rest."""
+    sizes = frame.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows)
+    hot = sizes.orderBy(F.desc("_n")).limit(MAX_HOT_KEYS + 1).collect()
+    if not hot:
+        return ordinary(frame)
+    if not keys:
+        return sliced(frame, hot[0]["_n"])
+    if len(hot) > MAX_HOT_KEYS:
+        return sliced(frame, frame.count())
+    listed = [F.struct(*[_literal(row[k], frame.schema[k].dataType).alias(k) for k in keys]) for row in hot]
+    # equality of structs takes two null fields for equal
+    is_hot = F.struct(*keys).isin(*listed)
+    rest = ordinary(frame.where(~is_hot))
+    return rest.unionByName(sliced(frame.where(is_hot), sum(row["_n"] for row in hot)))
+
+
 def _over_peers(
     frame: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, kind: str, value: str | None, hot_rows: int
 ) -> DataFrame:
-    largest, _ = _group_sizes(frame, keys)
-    if largest <= hot_rows:
+    def ordinary(part: DataFrame) -> DataFrame:
         over = Window.partitionBy(*keys).orderBy(*_sort_columns(order))
         column = F.sum(value).over(over) if kind == "running_sum" else getattr(F, kind)().over(over).cast("bigint")
-        return frame.withColumn(name, column)
-    # Rows with equal order collapse to one, so a hot value costs one row behind the shuffle.
-    columns = [*keys, *[_name(o) for o in order]]
-    aggregates = [F.count("*").alias("_n")]
-    if value is not None:
-        aggregates.append(F.sum(value).alias("_v"))
-    peers = frame.groupBy(*columns).agg(*aggregates)
-    if kind == "rank":
-        scanned = _scan(peers, keys, order, [_Output("_upto", "running_sum", "_n")], hot_rows)
-        result = F.col("_upto") - F.col("_n") + 1
-    elif kind == "dense_rank":
-        scanned = _scan(peers, keys, order, [_Output("_pos", "row_number")], hot_rows)
-        result = F.col("_pos")
-    else:
-        scanned = _scan(peers, keys, order, [_Output("_upto", "running_sum", "_v")], hot_rows)
-        result = F.col("_upto")
-    return join_aggregate(frame, scanned.select(*columns, result.alias(name)), columns)
+        return part.withColumn(name, column)
+
+    def sliced(part: DataFrame, _: int) -> DataFrame:
+        # Rows with equal order collapse to one, so a hot value costs one row behind the shuffle.
+        columns = [*keys, *[_name(o) for o in order]]
+        aggregates = [F.count("*").alias("_n")]
+        if value is not None:
+            aggregates.append(F.sum(value).alias("_v"))
+        peers = part.groupBy(*columns).agg(*aggregates)
+        if kind == "rank":
+            scanned = _scan(peers, keys, order, _Output("_upto", "running_sum", "_n"), hot_rows)
+            result = F.col("_upto") - F.col("_n") + 1
+        elif kind == "dense_rank":
+            scanned = _scan(peers, keys, order, _Output("_pos", "row_number"), hot_rows)
+            result = F.col("_pos")
+        else:
+            scanned = _scan(peers, keys, order, _Output("_upto", "running_sum", "_v"), hot_rows)
+            result = F.col("_upto")
+        return join_aggregate(part, scanned.select(*columns, result.alias(name)), columns)
 
+    return _by_group_size(frame, keys, hot_rows, ordinary, sliced)
 
-def _scan(
-    frame: DataFrame, keys: Sequence[str], order: Sequence[str], outputs: Sequence[_Output], hot_rows: int
-) -> DataFrame:
-    largest, total = _group_sizes(frame, keys)
-    if largest <= hot_rows:
-        return frame.select("*", *_local(outputs, Window.partitionBy(*keys).orderBy(*_sort_columns(order))))
 
+def _scan(frame: DataFrame, keys: Sequence[str], order: Sequence[str], out: _Output, hot_rows: int) -> DataFrame:
+    """A window function over rows that ``order`` tells apart."""
+    return _by_group_size(
+        frame,
+        keys,
+        hot_rows,
+        lambda part: part.withColumn(out.name, _local(out, Window.partitionBy(*keys).orderBy(*_sort_columns(order)))),
+        lambda part, total: _sliced_scan(part, keys, order, out, total),
+    )
+
+
+def _sliced_scan(frame: DataFrame, keys: Sequence[str], order: Sequence[str], out: _Output, total: int) -> DataFrame:
     position = _position(frame, order)
     pieces = max(2, int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    bounds = _boundaries(frame, position, total, pieces)
-    sliced = frame.withColumn("_k", _key_struct(keys)).withColumn("_s", _slice_number(position, bounds))
+    slice_number = _slice_number(position, *_boundaries(frame, position, total, pieces))
+    sliced = frame.withColumn("_k", _key_struct(keys)).withColumn("_s", slice_number)
+    within = Window.partitionBy("_k", "_s").orderBy(*_sort_columns(order))
 
-    local = sliced.select("*", *_local(outputs, Window.partitionBy("_k", "_s").orderBy(*_sort_columns(order))))
-
-    # One row for each (key, slice): at most ``pieces`` rows per key in this window.
-    parts, carries = [], []
+    # The summary has one row for each (key, slice); its window sees one row per slice of a key.
     slices = Window.partitionBy("_k").orderBy("_s")
     earlier = slices.rowsBetween(Window.unboundedPreceding, -1)
-    for i, out in enumerate(outputs):
-        if out.kind == "row_number":
-            parts.append(F.count("*").alias(f"_p{i}"))
-            carries.append(F.coalesce(F.sum(f"_p{i}").over(earlier), F.lit(0)).alias(f"_c{i}"))
-        elif out.kind == "running_sum":
-            parts.append(F.sum(out.value).alias(f"_p{i}"))
-            carries.append(F.sum(f"_p{i}").over(earlier).alias(f"_c{i}"))
-        elif out.kind == "lead":
-            parts.append(F.min_by(out.value, position).alias(f"_p{i}"))
-            carries.append(F.lead(f"_p{i}").over(slices).alias(f"_c{i}"))
-        else:
-            parts.append(F.max_by(out.value, position).alias(f"_p{i}"))
-            carries.append(F.lag(f"_p{i}").over(slices).alias(f"_c{i}"))
-    # For lead and lag the slice's edge row takes the neighbour slice's value, null or not.
-    edges = Window.partitionBy("_k", "_s").orderBy(*_sort_columns(order))
-    if any(o.kind == "lag" for o in outputs):
-        local = local.withColumn("_first", F.row_number().over(edges) == 1)
-    if any(o.kind == "lead" for o in outputs):
-        local = local.withColumn("_last", F.lead(F.lit(True)).over(edges).isNull())
-    carry = sliced.groupBy("_k", "_s").agg(*parts).select("_k", "_s", *carries)
-    joined = local.join(carry, ["_k", "_s"])
-
-    results = []
-    for i, out in enumerate(outputs):
-        here, before = F.col(out.name), F.col(f"_c{i}")
-        if out.kind == "row_number":
-            column = here + before
-        elif out.kind == "running_sum":
-            column = F.when(here.isNull(), before).otherwise(here + F.coalesce(before, F.lit(0)))
-        elif out.kind == "lead":
-            column = F.when(F.col("_last"), before).otherwise(here)
-        else:
-            column = F.when(F.col("_first"), before).otherwise(here)
-        results.append(column.alias(out.name))
-    return joined.select(*[F.col(f"`{c}`") for c in frame.columns], *results)
-
-
-def _local(outputs: Sequence[_Output], over: Window) -> list[Column]:
-    columns = []
-    for out in outputs:
-        if out.kind == "row_number":
-            column = F.row_number().over(over).cast("bigint")
-        elif out.kind == "running_sum":
-            column = F.sum(out.value).over(over.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        elif out.kind == "lead":
-            column = F.lead(out.value).over(over)
-        else:
-            column = F.lag(out.value).over(over)
-        columns.append(column.alias(out.name))
-    return columns
+    here, carried = F.col(out.name), F.col("_carry")
+    edge = F.lit(None)
+    if out.kind == "row_number":
+        part, carry = F.count("*"), F.coalesce(F.sum("_part").over(earlier), F.lit(0))
+        result = here + carried
+    elif out.kind == "running_sum":
+        part, carry = F.sum(out.value), F.sum("_part").over(earlier)
+        result = F.when(here.isNull(), carried).otherwise(here + F.coalesce(carried, F.lit(0)))
+    elif out.kind == "lead":
+        # the last row of a slice takes the next slice's first value, null or not
+        part, carry = F.min_by(out.value, F.struct(*position)), F.lead("_part").over(slices)
+        edge = F.lead(F.lit(True)).over(within).isNull()
+        result = F.when(F.col("_edge"), carried).otherwise(here)
+    else:
+        part, carry = F.max_by(out.value, F.struct(*position)), F.lag("_part").over(slices)
+        edge = F.row_number().over(within) == 1
+        result = F.when(F.col("_edge"), carried).otherwise(here)
+
+    local = sliced.withColumn(out.name, _local(out, within)).withColumn("_edge", edge)
+    summary = sliced.groupBy("_k", "_s").agg(part.alias("_part")).select("_k", "_s", carry.alias("_carry"))
+    joined = local.join(summary, ["_k", "_s"])
+    return joined.select(*[F.col(f"`{c}`") for c in frame.columns], result.alias(out.name))
+
+
+def _local(out: _Output, over: Window) -> Column:
+    if out.kind == "row_number":
+        return F.row_number().over(over).cast("bigint")
+    if out.kind == "running_sum":
+        return F.sum(out.value).over(over.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (F.lead if out.kind == "lead" else F.lag)(out.value).over(over)
 
 
 def _name(order: str) -> str:
@@ -184,8 +195,8 @@ def _key_struct(keys: Sequence[str]) -> Column:
     return F.struct(F.lit(0).alias("_"), *[F.col(k) for k in keys])
 
 
-def _position(frame: DataFrame, order: Sequence[str]) -> Column:
-    """A struct whose natural order is the requested one."""
+def _position(frame: DataFrame, order: Sequence[str]) -> list[Column]:
+    """Columns whose ascending order, nulls first, is the requested one."""
     parts = []
     for i, item in enumerate(order):
         column, kind = F.col(_name(item)), frame.schema[_name(item)].dataType
@@ -198,42 +209,51 @@ def _position(frame: DataFrame, order: Sequence[str]) -> Column:
         if isinstance(kind, (DoubleType, FloatType)):
             parts.append((~F.isnan(column)).alias(f"num{i}"))
         parts.append((-column).alias(f"o{i}"))
-    return F.struct(*parts)
+    return parts
 
 
-def _group_sizes(frame: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    sizes = frame.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n"), F.sum("n")).first()
-    return sizes[0] or 0, sizes[1] or 0
+def _literal(value: object, kind: DataType) -> Column:
+    return F.lit(None if value is None else str(value)).cast(kind)
 
 
-def _boundaries(frame: DataFrame, position: Column, total: int, pieces: int) -> list[Column]:
-    """Up to ``pieces - 1`` ascending positions, evenly spaced in a sample of bounded size."""
-    wanted = pieces * SAMPLES_PER_SLICE
+def _boundaries(
+    frame: DataFrame, position: Sequence[Column], total: int, pieces: int
+) -> tuple[int, list[Column]]:
+    """The number of slices, and for each position column an array of its values at the boundaries.
+
+    The boundaries are evenly spaced in a sample whose size does not grow with the frame.  Their
+    number, one less than that of the slices, is one less than a power of two.
+    """
     # The sample is bounded by its rate: about ``wanted`` rows whatever the size of the frame.
-    sampled = frame.select(position.alias("p")).select("p.*").sample(min(1.0, wanted / total), seed=11)
+    wanted = pieces * SAMPLES_PER_SLICE
+    sampled = frame.select(*position).sample(min(1.0, wanted / total), seed=11)
     rows = sampled.orderBy(*sampled.columns).collect()
-    step = max(1, len(rows) // pieces)
-    return [
-        F.struct(
-            *[
-                F.lit(None if value is None else str(value)).cast(field.dataType).alias(field.name)
-                for value, field in zip(row, sampled.schema.fields)
-            ]
-        )
-        for row in rows[step::step]
-    ]
-
-
-def _slice_number(position: Column, bounds: Sequence[Column]) -> Column:
-    """How many bounds are at or below the position, by binary search in a constant array."""
-    if not bounds:
+    parts = 1 << min((pieces - 1).bit_length(), (len(rows) + 1).bit_length() - 1)
+    chosen = [rows[i * len(rows) // parts] for i in range(1, parts)]
+    fields = sampled.schema.fields
+    return parts, [F.array(*[_literal(row[j], field.dataType) for row in chosen]) for j, field in enumerate(fields)]
+
+
+def _slice_number(position: Sequence[Column], parts: int, bounds: Sequence[Column]) -> Column:
+    """How many boundaries are at or below the position, by binary search in constant arrays."""
+
+    def at_or_below(index: Column) -> Column:
+        bound = [F.get(table, index) for table in bounds]
+        result = None
+        for low, high in reversed(list(zip(bound, position))):
+            below = F.coalesce(low < high, low.isNull() & high.isNotNull())
+            same = low.eqNullSafe(high)
+            result = below | same if result is None else below | (same & result)
+        return result
+
+    # With 2**m - 1 boundaries these steps never leave the arrays.
+    steps = [parts >> bit for bit in range(1, parts.bit_length())]
+    if not steps:
         return F.lit(0)
-    table = F.array(*bounds)
-    steps = [1 << bit for bit in reversed(range(len(bounds).bit_length()))]
     found = F.reduce(
-        F.array(*[F.lit(s) for s in steps]),
+        F.array(*[F.lit(step) for step in steps]),
         F.lit(0),
-        lambda low, step: F.when(F.get(table, low + step - 1) <= position, low + step).otherwise(low),
+        lambda low, step: F.when(at_or_below(low + step - 1), low + step).otherwise(low),
     )
     # never null; said so, or the join on the slice adds a filter that searches once more
     return F.coalesce(found, F.lit(0))

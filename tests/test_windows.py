@@ -115,9 +115,23 @@ def test_hot_key_is_cut_into_balanced_slices(spark):
         "id", "CASE WHEN id % 3 = 0 THEN -1 ELSE id END AS k", "CASE WHEN id % 2 = 0 THEN 5 ELSE id END AS o"
     )
     position = windows._position(frame, ["o", "id"])
-    bounds = windows._boundaries(frame, position, 30_000, 16)
-    sizes = frame.groupBy("k", windows._slice_number(position, bounds)).count().selectExpr("max(count)").first()[0]
+    parts, bounds = windows._boundaries(frame, position, 30_000, 16)
+    assert parts == 16
+    sizes = frame.groupBy("k", windows._slice_number(position, parts, bounds)).count().selectExpr("max(count)").first()[0]
     assert sizes < 2 * 30_000 / 16
     sliced = windows.row_number(frame, ["k"], ["o", "id"], "x", hot_rows=1000)
     ordinary = windows.row_number(frame, ["k"], ["o", "id"], "x")
     assert sliced.exceptAll(ordinary).count() == 0 and sliced.count() == 30_000
+
+
+def test_more_hot_keys_than_listed(spark, monkeypatch):
+    monkeypatch.setattr(windows, "MAX_HOT_KEYS", 1)
+    got = windows.row_number(employees(spark), ["dept"], ["id"], "n", hot_rows=1)
+    assert rows(got, "id", "n") == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 1), (6, 2), (7, 3), (8, 1), (9, 2)]
+
+
+def test_only_hot_groups_are_sliced(spark):
+    frame = spark.range(3000).selectExpr("id", "CASE WHEN id < 1500 THEN NULL ELSE id % 100 END AS k")
+    got = windows.row_number(frame, ["k"], ["-id"], "n", hot_rows=100)
+    assert got.exceptAll(windows.row_number(frame, ["k"], ["-id"], "n")).count() == 0
+    assert got.count() == 3000
