@@ -50,9 +50,9 @@ def persisted(frame: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DI
 
 
 def _log(spark: SparkSession, root: str, day: str) -> DataFrame:
-    """The log of a day; its details may hold newlines, so a file is read by one task."""
+    """The log of a day.  JSON escapes its newlines, so a record is a line and large files can be split."""
     path = f"{root}/auditlog/source/dt={day}"
-    return read_or_empty(spark, lambda: read_delimited(spark, path, AUDIT_LOG, multi_line=True), AUDIT_LOG)
+    return read_or_empty(spark, lambda: read_delimited(spark, path, AUDIT_LOG), AUDIT_LOG)
 
 
 def shred_audit_log(spark: SparkSession, root: str, run_date: str, *, min_rows: int = 1) -> list[str]:
@@ -88,6 +88,8 @@ def summarize_keywords(spark: SparkSession, root: str, run_date: str) -> bool:
     """Summary of the day's write report; False where there is no such report."""
     day = previous_day(run_date)
     path = f"{root}/reports/keyword_write/dt={day}"
+    # A value may hold a newline.  The report's files are of the size the writer gives them, so
+    # one task per file, which multi-line reading means, is no burden.
     report = read_or_empty(
         spark, lambda: read_delimited(spark, path, WRITE_REPORT, sep=",", header=True, multi_line=True), WRITE_REPORT
     )
@@ -156,9 +158,8 @@ def export_users(spark: SparkSession, root: str, run_date: str, *, table: str =
 
 def report_auctions(spark: SparkSession, root: str, run_date: str) -> None:
     """Number of auctions, bids per item, expensive auctions."""
-    names = dict(enumerate(auctions.AUCTION_COLUMNS))
     base = f"{root}/reports/auctions/dt={previous_day(run_date)}"
-    with persisted(read_ordinal(spark, f"{root}/auctions", names, sep=",")) as bids:
+    with persisted(read_delimited(spark, f"{root}/auctions", auctions.AUCTIONS, sep=",")) as bids:
         write_report(auctions.auction_total(bids), f"{base}/total", mode="overwrite")
         write_report(auctions.bids_per_item(bids), f"{base}/items", sort_by=["item"], mode="overwrite")
         expensive = auctions.expensive_auctions(bids)

@@ -26,7 +26,7 @@ from driftwell.operators.joins import join_aggregate
 
 HOT_ROWS = 2_000_000
 # With more hot keys than this, all rows are sliced: the keys are no longer listed in the plan.
-MAX_HOT_KEYS = 1000
+MAX_HOT_KEYS = 64
 SAMPLES_PER_SLICE = 20
 
 

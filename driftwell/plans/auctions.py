@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from driftwell.functions.numbers import exact_sum
 
-# Columns of the auction file, by position.
-AUCTION_COLUMNS = ("Auction Id", "bid", "bidtime", "bidder", "bidderdate", "openbid", "price", "item", "dtl")
+# Columns of the auction file, by position, and the price an expensive one exceeds.
+AUCTIONS = (
+    "`Auction Id` string, bid double, bidtime double, bidder string, bidderdate int, "
+    "openbid double, price double, item string, dtl int"
+)
 EXPENSIVE = 75.0
 
 

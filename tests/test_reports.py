@@ -142,9 +142,8 @@ def test_snapshot_and_quality(spark):
 def test_auctions(spark):
     bids = spark.createDataFrame(
         [("a1", 10.0, 1.0, "x", 1, 1.0, 80.0, "palm", 3), ("a1", 20.0, 1.0, "y", 1, 1.0, 80.0, "palm", 3), ("a2", 5.0, 1.0, "x", 1, 1.0, 75.0, "xbox", 3)],
-        "`Auction Id` string, bid double, bidtime double, bidder string, bidderdate int, openbid double, price double, item string, dtl int",
+        auctions.AUCTIONS,
     )
-    assert tuple(bids.columns) == auctions.AUCTION_COLUMNS
     assert auctions.auction_total(bids).first()[0] == 2
     assert rows(auctions.bids_per_item(bids)) == [("palm", 2, 10.0, 20.0, 15.0), ("xbox", 1, 5.0, 5.0, 5.0)]
     assert rows(auctions.expensive_auctions(bids)) == [("a1", "palm", 80.0)]
