@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from driftwell.operators.joins import join_aggregate
+from driftwell.operators.skew import hot_groups
 
 # A list longer than this is delivered in parts.
 LIST_PART = 100_000
@@ -34,16 +35,14 @@ def values_by_key(
 
     A key with up to ``part_size`` values has one part.  A larger key has as many as it needs,
     its rows dealt out by a hash of ``row_id``, so that no task has to hold the whole of a hot
-    key and no value is left out.  The null key is a group like any other.  The largest group is
-    measured first: if it fits, the rows are shuffled once and not joined to the group sizes.
+    key and no value is left out.  The null key is a group like any other.  If a look at the
+    groups finds none that large, the rows are shuffled once and not joined to the group sizes.
     """
     rows = frame.select(F.col(key), F.col(value).alias("_v"), F.col(row_id).alias("_id"))
-    counts = rows.groupBy(key).agg(F.count("*").alias("_n"))
-    largest = counts.agg(F.max("_n")).first()[0] or 0
-    if largest <= part_size:
+    if not hot_groups(rows, [key], part_size, 1):
         dealt = rows.withColumns({"parts": F.lit(1).cast("bigint"), "part": F.lit(0).cast("bigint")})
     else:
-        sizes = counts.select(key, F.ceil(F.col("_n") / F.lit(part_size)).cast("bigint").alias("parts"))
+        sizes = rows.groupBy(key).agg(F.ceil(F.count("*") / F.lit(part_size)).cast("bigint").alias("parts"))
         joined = join_aggregate(rows, sizes, [key]).withColumn("part", F.pmod(F.xxhash64("_id"), F.col("parts")))
         # Grouped by key and part, not where the join has left the key's rows together.
         dealt = joined.repartition(key, "part")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-MAX_SLICES = 4096
+MAX_SLICES = 65536
 
 
 def slice_by_id(frame: DataFrame, row_id: str, min_rows: int = 1000) -> DataFrame:

@@ -1,0 +1,23 @@
+"""Finding groups too large for one task."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Row, functions as F
+
+# Rows of a just hot group that are expected in the sample.
+EXPECTED_SAMPLES = 100
+
+
+def hot_groups(frame: DataFrame, keys: Sequence[str], rows: int, limit: int) -> list[Row]:
+    """Groups of more than about ``rows`` rows: keys and estimated size ``_n``, the largest ``limit``.
+
+    Sizes are estimated from a sample in which a group of ``rows`` rows has about a hundred, so the
+    search reads the key columns once and shuffles next to nothing, however many keys there are;
+    for small ``rows`` it is exact.  Callers choose how to compute by the answer, never what.
+    """
+    fraction = min(1.0, EXPECTED_SAMPLES / max(rows, 1))
+    looked_at = frame if fraction == 1.0 else frame.sample(fraction, seed=3)
+    sizes = looked_at.groupBy(*keys).agg((F.count("*") / F.lit(fraction)).cast("bigint").alias("_n"))
+    return sizes.where(F.col("_n") > rows).orderBy(F.desc("_n")).limit(limit).collect()

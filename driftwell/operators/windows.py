@@ -1,8 +1,8 @@
 """Window functions that stay whole and balanced when one group holds much of the data.
 
 ``OVER (PARTITION BY k ORDER BY o)`` brings all rows of a key to one task.  Each function here
-first counts rows per key (combined map-side; only keys above ``hot_rows`` come back).  Rows of
-other keys go through the ordinary window.  Rows of a hot key are cut into ordered slices by
+first looks for keys with more than ``hot_rows`` rows.  Rows of other keys go through the ordinary
+window.  Rows of a hot key are cut into ordered slices by
 boundaries taken from a sample of the order columns, the window runs within (key, slice), and what
 the earlier or the next slices contribute is added from a summary that has one row for each
 (key, slice).  The sample only places the boundaries; results are the same for any boundaries.
@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DataType, DoubleType, FloatType, NumericType
 
 from driftwell.operators.joins import join_aggregate
+from driftwell.operators.skew import hot_groups
 
 HOT_ROWS = 2_000_000
 # With more hot keys than this, all rows are sliced: the keys are no longer listed in the plan.
@@ -84,9 +85,8 @@ def _by_group_size(
     ordinary: Callable[[DataFrame], DataFrame],
     sliced: Callable[[DataFrame, int], DataFrame],
 ) -> DataFrame:
-    """Run ``sliced`` (which is told its number of rows) on the hot groups, ``ordinary`` on the rest."""
-    sizes = frame.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows)
-    hot = sizes.orderBy(F.desc("_n")).limit(MAX_HOT_KEYS + 1).collect()
+    """Run ``sliced`` (which is told about how many rows it gets) on the hot groups, ``ordinary`` on the rest."""
+    hot = hot_groups(frame, keys, hot_rows, MAX_HOT_KEYS + 1)
     if not hot:
         return ordinary(frame)
     if not keys:

@@ -1,6 +1,7 @@
 """A change log made of the orders: one record per order, its details built from the order's columns.
 
-The texts below are SQL that reads the same in Spark and in the SQL the results are checked with.
+The expressions up to the field lists are SQL that reads the same in Spark and in the SQL the
+results are checked with.
 """
 
 from __future__ import annotations
@@ -84,7 +85,7 @@ def _string(value: str) -> str:
     return f"""coalesce('"' || {value} || '"', 'null')"""
 
 
-_DAY = "substring(CAST(o_orderdate AS {text}), 1, 10)"
+_DAY = "substring(CAST(o_orderdate AS STRING), 1, 10)"
 _URL = "('http://site' || o_custkey || '/')"
 _PLAIN_FIELDS = (
     _entry("'name'", _string("o_orderpriority"), "'null'")
@@ -100,36 +101,34 @@ _GROUP_FIELDS = (
 
 
 def _create_fields(day: str) -> str:
-    given = [
-        _entry("'id'", "o_orderkey", "'null'"),
-        _entry("'name'", _string("nullif(o_orderpriority, '5-LOW')"), "'null'"),
-        _entry("'createdDateTime'", _string(day), "'null'"),
-        _entry("'lastModifiedDateTime'", _string(day), "'null'"),
-        _entry("'stateId'", "1", "'null'"),
+    def given(name: str, value: str) -> str:
+        return _entry(f"'{name}'", value, "'null'")
+
+    always = [
+        given("id", "o_orderkey"),
+        given("name", _string("nullif(o_orderpriority, '5-LOW')")),
+        given("createdDateTime", _string(day)),
+        given("lastModifiedDateTime", _string(day)),
+        given("stateId", "1"),
     ]
-    text = " || ',' || ".join(given)
     # medium orders lack the ad group, urgent ones give the state twice
-    text += f" || (CASE o_orderpriority WHEN '3-MEDIUM' THEN '' ELSE ',' || {_entry(chr(39) + 'adGroupId' + chr(39), 'o_custkey', chr(39) + 'null' + chr(39))} END)"
-    text += f" || (CASE o_orderpriority WHEN '1-URGENT' THEN ',' || {_entry(chr(39) + 'stateId' + chr(39), '2', chr(39) + 'null' + chr(39))} ELSE '' END)"
-    return text
+    ad_group = f"(CASE o_orderpriority WHEN '3-MEDIUM' THEN '' ELSE ',' || {given('adGroupId', 'o_custkey')} END)"
+    state = f"(CASE o_orderpriority WHEN '1-URGENT' THEN ',' || {given('stateId', '2')} ELSE '' END)"
+    return " || ',' || ".join(always) + f" || {ad_group} || {state}"
 
 
+ENTITY_TYPE_SQL = f"(CASE {KIND_SQL} WHEN '{KEYWORD_SOURCE}' THEN 'KEYWORD' ELSE {KIND_SQL} END)"
+_IDS = f"""'{{"entityId":' || (o_custkey * 2) || ',"entityType":"' || {ENTITY_TYPE_SQL} || '","parentId":' || o_custkey"""
+_FIELDS = f"""(CASE WHEN {KIND_SQL} = 'MV_AdGroup' THEN {_GROUP_FIELDS}
+  WHEN {KIND_SQL} = 'MV_Site' THEN {_SITE_FIELDS}
+  WHEN {KIND_SQL} = '{KEYWORD_SOURCE}' AND o_orderstatus = 'P' THEN {_create_fields(_DAY)}
+  ELSE {_PLAIN_FIELDS} END)"""
 # Pending orders stand for the odd records: creative ones have no fields, action ones are not
 # JSON, campaign ones have no details.
-def details_sql(text_type: str) -> str:
-    create = _create_fields(_DAY.format(text=text_type))
-    ids = f"""'{{"entityId":' || (o_custkey * 2) || ',"entityType":"' || {ENTITY_TYPE_SQL} || '","parentId":' || o_custkey"""
-    fields = f"""(CASE WHEN {KIND_SQL} = 'MV_AdGroup' THEN {_GROUP_FIELDS}
-      WHEN {KIND_SQL} = 'MV_Site' THEN {_SITE_FIELDS}
-      WHEN {KIND_SQL} = '{KEYWORD_SOURCE}' AND o_orderstatus = 'P' THEN {create}
-      ELSE {_PLAIN_FIELDS} END)"""
-    return f"""(CASE WHEN o_orderstatus = 'P' AND {KIND_SQL} = 'MV_Creative' THEN {ids} || '}}'
-      WHEN o_orderstatus = 'P' AND {KIND_SQL} = 'MV_Action' THEN 'not json {{' || o_orderkey
-      WHEN o_orderstatus = 'P' AND {KIND_SQL} = 'MV_Campaign' THEN NULL
-      ELSE {ids} || ',"fields":[' || {fields} || ']}}' END)"""
-
-
-ENTITY_TYPE_SQL = f"(CASE {KIND_SQL} WHEN '{KEYWORD_SOURCE}' THEN 'KEYWORD' ELSE {KIND_SQL} END)"
+DETAILS_SQL = f"""(CASE WHEN o_orderstatus = 'P' AND {KIND_SQL} = 'MV_Creative' THEN {_IDS} || '}}'
+  WHEN o_orderstatus = 'P' AND {KIND_SQL} = 'MV_Action' THEN 'not json {{' || o_orderkey
+  WHEN o_orderstatus = 'P' AND {KIND_SQL} = 'MV_Campaign' THEN NULL
+  ELSE {_IDS} || ',"fields":[' || {_FIELDS} || ']}}' END)"""
 
 
 def audit_log(t: Tables) -> DataFrame:
@@ -139,7 +138,7 @@ def audit_log(t: Tables) -> DataFrame:
         F.expr("CAST(o_custkey % 4 AS INT)").alias("AuditTypeId"),
         F.expr(KIND_SQL).alias("Source"),
         F.expr("CASE o_orderstatus WHEN 'P' THEN 'Create' ELSE 'Write' END").alias("Summary"),
-        F.expr(details_sql("STRING")).alias("Details"),
+        F.expr(DETAILS_SQL).alias("Details"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("LogDateTime"),
         F.expr("'who' || (o_custkey % 20)").alias("WhoId"),
     )

@@ -11,6 +11,7 @@ from driftwell.functions.numbers import percent, safe_ratio
 from driftwell.functions.text import is_json_array, jvm_split
 from driftwell.functions.time import days_before, epoch_ms_to_day, previous_day
 from driftwell.operators import joins, keyed, partitions, reshape, sampling, sets
+from driftwell.operators.skew import hot_groups
 
 
 def pairs(spark, data, schema="k int, v int"):
@@ -154,3 +155,13 @@ def test_dates(spark):
     assert [r[0] for r in frame.select(epoch_ms_to_day(F.col("ms"))).collect()] == ["2024-01-10", "2024-01-11", "1969-12-31"]
     assert str(frame.select(days_before("2024-03-01")).first()[0]) == "2024-02-29"
     assert previous_day("2024-03-01") == "2024-02-29" and previous_day("2024-01-01", 2) == "2023-12-30"
+
+
+def test_hot_groups(spark):
+    frame = spark.range(60_000).selectExpr("CASE WHEN id % 3 = 0 THEN NULL ELSE id END AS k", "id")
+    [hot] = hot_groups(frame, ["k"], 10_000, 5)
+    assert hot["k"] is None and 15_000 < hot["_n"] < 25_000
+    assert hot_groups(frame, ["k"], 40_000, 5) == []
+    [everything] = hot_groups(frame, [], 50, 5)
+    assert everything["_n"] == 60_000
+    assert hot_groups(frame.limit(0), ["k"], 0, 5) == [] and hot_groups(frame.limit(0), [], 0, 5) == []
