@@ -21,7 +21,7 @@ def _orders(t: Tables) -> DataFrame:
 @query(_ORDERS_SQL)
 def src_csv_schema(t: Tables) -> DataFrame:
     path = t.scratch("csv-schema")
-    write_report(_orders(t), path, sep="|", header=False)
+    write_report(_orders(t), path, sep="|", header=False, few_files=False)
     return read_delimited(t.spark, path, _ORDERS)
 
 
@@ -31,7 +31,7 @@ SELECT p_partkey AS "Id", p_name AS "Name", nullif(p_type, 'ECONOMY') AS "Kind"
 def src_csv_nulltoken(t: Tables) -> DataFrame:
     path = t.scratch("csv-null")
     kind = F.coalesce(F.nullif(F.col("p_type"), F.lit("ECONOMY")), F.lit("null"))
-    write_report(t.part.select("p_partkey", "p_name", kind.alias("kind")), path, sep="|", header=False)
+    write_report(t.part.select("p_partkey", "p_name", kind.alias("kind")), path, sep="|", header=False, few_files=False)
     return read_delimited(t.spark, path, "Id bigint, Name string, Kind string", null_token="null")
 
 
@@ -40,7 +40,8 @@ SELECT CAST(c_custkey AS INTEGER) AS id, c_mktsegment AS segment, c_acctbal AS b
 """)
 def src_csv_ordinal(t: Tables) -> DataFrame:
     path = t.scratch("csv-ordinal")
-    write_report(t.customer.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"), path, sep="|", header=False)
+    customers = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    write_report(customers, path, sep="|", header=False, few_files=False)
     picked = read_ordinal(t.spark, path, {0: "id", 4: "segment", 3: "balance"})
     # inference picks the narrowest integer type the values need
     return picked.withColumn("id", F.col("id").cast("int"))
@@ -49,7 +50,7 @@ def src_csv_ordinal(t: Tables) -> DataFrame:
 @query(_ORDERS_SQL)
 def src_csv_header(t: Tables) -> DataFrame:
     path = t.scratch("csv-header")
-    write_report(_orders(t), path, compression="gzip")
+    write_report(_orders(t), path, compression="gzip", few_files=False)
     return read_delimited(t.spark, path, _ORDERS, sep=",", header=True)
 
 

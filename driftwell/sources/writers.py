@@ -58,14 +58,21 @@ def write_report(
     sort_by: list[str | Column] | None = None,
     compression: str = "none",
     quote_all: bool = False,
+    few_files: bool = True,
     mode: str = "errorifexists",
 ) -> None:
     """Delimited report, in as few files as its size allows; see the module text.
 
+    For a whole table turn ``few_files`` off: its rows are then written by the tasks that have
+    them, without a shuffle.
+
     End ``sort_by`` with enough columns to tell rows apart: the sort is cut into ranges, and rows
     that compare equal can not be put into different ranges.
     """
-    arranged = frame.orderBy(*sort_by) if sort_by else frame.hint("rebalance")
+    if sort_by:
+        arranged = frame.orderBy(*sort_by)
+    else:
+        arranged = frame.hint("rebalance") if few_files else frame
     (
         arranged.write.mode(mode)
         .option("sep", sep)
