@@ -182,6 +182,7 @@ def prepare_flights(spark: SparkSession, root: str, run_date: str) -> None:
     rows = stage(features.feature_rows(identified, ["row_id"]), scratch_path(spark, "flight-features"))
     balanced = stratified_downsample(rows, "label", "row_id", {0.0: ON_TIME_KEPT})
     base = f"{root}/flight_features/dt={previous_day(run_date)}"
+    # from the staged rows, which are read once for each side
     for name, part in zip(("train", "test"), train_test_split(balanced, "row_id")):
         write_snapshot(features.labelled_points(part), f"{base}/{name}")
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from driftwell.functions.numbers import hash_bucket
 
@@ -25,7 +25,12 @@ def stratified_downsample(frame: DataFrame, label: str, row_id: str, keep_percen
     return frame.where(hash_bucket(F.col(row_id)) < share)
 
 
+def split_side(row_id: str, train_percent: int = 70) -> Column:
+    """``train`` or ``test``, by a bucket unrelated to the one ``stratified_downsample`` reads."""
+    return F.when(hash_bucket(F.col(row_id), salt=1_000_003) < train_percent, "train").otherwise("test")
+
+
 def train_test_split(frame: DataFrame, row_id: str, train_percent: int = 70) -> tuple[DataFrame, DataFrame]:
-    """Split by a bucket other than the one ``stratified_downsample`` reads, so the two are independent."""
-    bucket = hash_bucket(F.col(row_id), salt=1_000_003)
-    return frame.where(bucket < train_percent), frame.where(bucket >= train_percent)
+    """Two frames; both read the input, so for one pass over a long pipeline add ``split_side`` as a column."""
+    side = split_side(row_id, train_percent)
+    return frame.where(side == "train"), frame.where(side == "test")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from driftwell.operators.sampling import stratified_downsample, train_test_split
+from driftwell.operators.sampling import split_side, stratified_downsample
 from driftwell.plans import ad_groups, auctions, features, keyword_reports, match_rate, quality
 from driftwell.queries.audit_data import KIND_SQL, audit_log
 from driftwell.queries.catalog import Tables, query
@@ -263,5 +263,4 @@ FROM ({_FEATURES_SQL}) WHERE label <> 0 OR {bucket_sql('o_orderkey')} < 15
 def ml_training_sets(t: Tables) -> DataFrame:
     rows = features.feature_rows(_flights(t), ["o_orderkey"])
     balanced = stratified_downsample(rows, "label", "o_orderkey", {0.0: 15})
-    train, test = train_test_split(balanced, "o_orderkey")
-    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+    return balanced.withColumn("side", split_side("o_orderkey"))

@@ -138,3 +138,18 @@ def test_scratch_is_the_clusters_folder(spark):
     assert first != second
     if base:
         assert first.startswith(base)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Context:
+        master = "yarn"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError):
+        session.scratch_path(Session(), "x")
