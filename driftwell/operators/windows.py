@@ -9,18 +9,30 @@ the earlier or the next slices contribute is added from a summary that has one r
 
 ``order`` columns must tell the rows of a key apart, except for ``rank``, ``dense_rank`` and
 ``running_sum``, where rows with equal ``order`` are peers.  They are names, with ``-`` in front for
-descending; sliced descending order is for numeric columns.  Nulls sort as in Spark: first
+descending; sliced descending order is for numbers, dates and instants.  Nulls sort as in Spark: first
 ascending, last descending.  The functions look at the frame more than once, so hand in a table or
 scan rather than a long pipeline.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import DataType, DoubleType, FloatType, NumericType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DataType,
+    DateType,
+    DoubleType,
+    FloatType,
+    NumericType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from driftwell.operators.joins import join_aggregate
 from driftwell.operators.skew import hot_groups
@@ -29,6 +41,8 @@ HOT_ROWS = 2_000_000
 # With more hot keys than this, all rows are sliced: the keys are no longer listed in the plan.
 MAX_HOT_KEYS = 64
 SAMPLES_PER_SLICE = 20
+# Types whose values come back unchanged when they are written out as text.
+_AS_TEXT = (NumericType, StringType, BooleanType, DateType, TimestampNTZType)
 
 
 @dataclass(frozen=True)
@@ -91,7 +105,7 @@ def _by_group_size(
         return ordinary(frame)
     if not keys:
         return sliced(frame, hot[0]["_n"])
-    if len(hot) > MAX_HOT_KEYS:
+    if len(hot) > MAX_HOT_KEYS or not all(isinstance(frame.schema[k].dataType, _AS_TEXT) for k in keys):
         return sliced(frame, frame.count())
     listed = [F.struct(*[_literal(row[k], frame.schema[k].dataType).alias(k) for k in keys]) for row in hot]
     # equality of structs takes two null fields for equal
@@ -200,11 +214,16 @@ def _position(frame: DataFrame, order: Sequence[str]) -> list[Column]:
     parts = []
     for i, item in enumerate(order):
         column, kind = F.col(_name(item)), frame.schema[_name(item)].dataType
+        # as numbers they can be turned round, and an instant does not depend on a time zone
+        if isinstance(kind, TimestampType):
+            column = F.unix_micros(column)
+        elif isinstance(kind, DateType):
+            column = F.unix_date(column)
         if not item.startswith("-"):
             parts.append(column.alias(f"o{i}"))
             continue
-        if not isinstance(kind, NumericType):
-            raise ValueError(f"descending order needs a numeric column: {item}")
+        if not isinstance(kind, (NumericType, TimestampType, DateType)):
+            raise ValueError(f"descending order needs numbers, dates or instants: {item}")
         parts.append(column.isNull().alias(f"null{i}"))
         if isinstance(kind, (DoubleType, FloatType)):
             parts.append((~F.isnan(column)).alias(f"num{i}"))
@@ -216,6 +235,12 @@ def _literal(value: object, kind: DataType) -> Column:
     return F.lit(None if value is None else str(value)).cast(kind)
 
 
+def _literal_array(values: list, kind: DataType) -> Column:
+    """A constant array, handed over as one text: thousands of literals are slow to build one by one."""
+    texts = json.dumps([None if value is None else str(value) for value in values])
+    return F.from_json(F.lit(texts), "array<string>").cast(ArrayType(kind))
+
+
 def _boundaries(
     frame: DataFrame, position: Sequence[Column], total: int, pieces: int
 ) -> tuple[int, list[Column]]:
@@ -224,14 +249,18 @@ def _boundaries(
     The boundaries are evenly spaced in a sample whose size does not grow with the frame.  Their
     number, one less than that of the slices, is one less than a power of two.
     """
+    for field in frame.select(*position).schema.fields:
+        if not isinstance(field.dataType, _AS_TEXT):
+            raise ValueError(f"a hot group can not be sliced by a {field.dataType.simpleString()}")
     # The sample is bounded by its rate: about ``wanted`` rows whatever the size of the frame.
     wanted = pieces * SAMPLES_PER_SLICE
     sampled = frame.select(*position).sample(min(1.0, wanted / total), seed=11)
     rows = sampled.orderBy(*sampled.columns).collect()
     parts = 1 << min((pieces - 1).bit_length(), (len(rows) + 1).bit_length() - 1)
     chosen = [rows[i * len(rows) // parts] for i in range(1, parts)]
-    fields = sampled.schema.fields
-    return parts, [F.array(*[_literal(row[j], field.dataType) for row in chosen]) for j, field in enumerate(fields)]
+    return parts, [
+        _literal_array([row[j] for row in chosen], field.dataType) for j, field in enumerate(sampled.schema.fields)
+    ]
 
 
 def _slice_number(position: Sequence[Column], parts: int, bounds: Sequence[Column]) -> Column:

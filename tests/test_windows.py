@@ -6,6 +6,8 @@ from datetime import date
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
+from pyspark.sql import functions as F
+
 from conftest import rows
 from driftwell.operators import windows
 
@@ -99,7 +101,8 @@ def test_sliced_orders_of_other_types(spark):
     data = [(i, chosen.choice("abé") * chosen.randint(0, 4), date(2020, 1, 1 + i % 28), i / 7) for i in range(200)]
     chosen.shuffle(data)
     frame = spark.createDataFrame(data, "id int, s string, d date, f double")
-    for order in (["s", "id"], ["d", "s", "id"], ["-f"]):
+    frame = frame.withColumn("t", F.expr("timestamp_micros(id % 40 * 3600000000)")).withColumn("b", F.expr("id % 2 = 0"))
+    for order in (["s", "id"], ["d", "s", "id"], ["-f"], ["-d", "id"], ["-t", "id"], ["t", "-id"], ["b", "id"]):
         sliced = windows.row_number(frame, [], order, "x", hot_rows=0)
         assert rows(sliced, "id", "x") == rows(windows.row_number(frame, [], order, "x"), "id", "x")
 
@@ -135,3 +138,11 @@ def test_only_hot_groups_are_sliced(spark):
     got = windows.row_number(frame, ["k"], ["-id"], "n", hot_rows=100)
     assert got.exceptAll(windows.row_number(frame, ["k"], ["-id"], "n")).count() == 0
     assert got.count() == 3000
+
+
+def test_keys_that_can_not_be_listed(spark):
+    frame = spark.range(200).selectExpr("id", "named_struct('a', id % 2) AS k", "cast(cast(id AS string) AS binary) AS raw")
+    got = windows.row_number(frame, ["k"], ["id"], "n", hot_rows=10)
+    assert got.exceptAll(windows.row_number(frame, ["k"], ["id"], "n")).count() == 0
+    with pytest.raises(ValueError):
+        windows.row_number(frame, [], ["raw"], "n", hot_rows=10)
