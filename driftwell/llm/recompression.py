@@ -25,7 +25,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from driftwell.llm.repeats import NO_ID, Scheme, covered, prepared, repeated_spans
+from driftwell.llm.repeats import NO_ID, Scheme, covered, mark_of, prepared, repeated_spans
 
 WINDOW = 35
 # The longest symbol, in words, that each round of pairs may make.
@@ -131,11 +131,11 @@ def repeated_words(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     return repeated_spans(prepared(docs, id_col, text_col), SharedSymbols(window))
 
 
-def _cut(text: bytes, starts: np.ndarray | None, stops: np.ndarray | None) -> tuple[int, int, bytes]:
+def _cut(text: bytes, spans: np.ndarray | None, window: int) -> tuple[int, int, bytes]:
     words = text.split()
-    if starts is None:
+    if spans is None:
         return len(words), 0, b" ".join(words)
-    gone = covered(starts, stops, len(words))
+    gone = covered(spans, len(words), window)
     return len(words), int(gone.sum()), b" ".join([w for w, g in zip(words, gone.tolist()) if not g])
 
 
@@ -147,14 +147,14 @@ def remove_repeated_words(
     marked = rows.join(repeated_spans(rows, SharedSymbols(window)), ["doc", "mark"], "left")
 
     @F.pandas_udf("n_words long, n_removed long, kept string, kept_sha256 string")
-    def cut(texts: pd.Series, starts: pd.Series, stops: pd.Series) -> pd.DataFrame:
+    def cut(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
         out = []
-        for text, first, last in zip(texts, starts, stops):
-            words, removed, kept = _cut(text, first, last)
+        for text, found in zip(texts, spans):
+            words, removed, kept = _cut(text, found, window)
             out.append((words, removed, kept.decode("utf-8", "replace"), hashlib.sha256(kept).hexdigest()))
         return pd.DataFrame(out, columns=["n_words", "n_removed", "kept", "kept_sha256"])
 
-    result = marked.select(F.expr(f"nullif(doc, {NO_ID})").alias("doc_id"), cut("text", "spans.start", "spans.stop").alias("found"))
+    result = marked.select(F.expr(f"nullif(doc, {NO_ID})").alias("doc_id"), cut("text", "spans").alias("found"))
     return result.select("doc_id", "found.*")
 
 
@@ -171,25 +171,18 @@ def without_repeated_words(
     keyed = docs.withColumns(
         {
             "__doc": F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)),
-            "__mark": F.pmod(F.xxhash64(text), F.lit(1 << 20)).cast("int"),
+            "__mark": mark_of(text),
         }
     )
     spans = repeated_words(docs, id_col=id_col, text_col=text_col, window=window)
     spans = spans.select(F.col("doc").alias("__doc"), F.col("mark").alias("__mark"), F.col("spans").alias("__spans"))
 
     @F.pandas_udf("string")
-    def cut(texts: pd.Series, starts: pd.Series, stops: pd.Series) -> pd.Series:
-        return pd.Series(
-            [
-                t if a is None else _cut(t.encode("utf-8", "replace"), a, b)[2].decode("utf-8", "replace")
-                for t, a, b in zip(texts, starts, stops)
-            ],
-            dtype=object,
-        )
-
-    joined = keyed.join(spans, ["__doc", "__mark"], "left").withColumn(
-        "__kept", cut(text, F.col("__spans.start"), F.col("__spans.stop"))
-    )
+    def cut(texts: pd.Series, found: pd.Series) -> pd.Series:
+        pairs = zip(texts, found)
+        return pd.Series([t if s is None else _cut(t.encode("utf-8", "replace"), s, window)[2].decode("utf-8", "replace") for t, s in pairs], dtype=object)
+
+    joined = keyed.join(spans, ["__doc", "__mark"], "left").withColumn("__kept", cut(text, F.col("__spans")))
     new = F.when(F.col(f"`{text_col}`").isNotNull(), F.col("__kept"))
     changed = {text_col: new} | ({size_col: F.char_length(new).cast(docs.schema[size_col].dataType)} if size_col else {})
     return joined.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in columns])

@@ -9,19 +9,20 @@ rounds, each a map over texts and an exchange of packed tuples by key:
 2. of the others, the whole stretch of windows around the anchor is compared at once;
 3. where stretches share a key but differ, windows are compared one by one.
 
-The second and third round name a stretch or a window by a hash of 128 bits.  Tuples travel as
+A stretch is named by its key and a hash of its own, 96 bits and the target, a window by 128 bits.  Tuples travel as
 packed columns, one row for each task and target, since a row per tuple would cost several times
 the bytes.  The texts are dealt out once; all joins with them use the same exchange.
 """
 
 from __future__ import annotations
 
+import zlib
 from abc import ABC, abstractmethod
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from driftwell.llm.common import ship_package
 
@@ -110,8 +111,8 @@ class _Packer:
         "keys binary, rest binary, offsets binary"
     )
 
-    def __init__(self, buckets: int, key_type: type):
-        self.buckets, self.key_type = buckets, key_type
+    def __init__(self, buckets: int, key_type: type, compress: bool = False):
+        self.buckets, self.key_type, self.compress = buckets, key_type, compress
         self.parts: list[tuple] = []
         self.size = 0
 
@@ -122,6 +123,9 @@ class _Packer:
             self.size += len(places)
         return self.size >= PACK
 
+    def store(self, rest: np.ndarray) -> bytes:
+        return zlib.compress(rest.tobytes(), 1) if self.compress else rest.tobytes()
+
     def pack(self) -> Iterator[pa.RecordBatch]:
         if not self.parts:
             return
@@ -141,7 +145,7 @@ class _Packer:
             rows.append(
                 (
                     int(bucket[chosen[0]]), docs[present].tobytes(), marks[present].tobytes(), *_planes(owner),
-                    *_planes(places[chosen]), stored.tobytes(), b"" if rest is None else rest[chosen].tobytes(),
+                    *_planes(places[chosen]), stored.tobytes(), b"" if rest is None else self.store(rest[chosen]),
                     b"" if offsets is None else offsets[chosen].tobytes(),
                 )
             )
@@ -151,7 +155,7 @@ class _Packer:
 class _Tuples:
     """The packed tuples of one target, as arrays."""
 
-    def __init__(self, batches: Iterator[pa.RecordBatch], key_type: type):
+    def __init__(self, batches: Iterator[pa.RecordBatch], key_type: type, compressed: bool = False):
         parts: dict[str, list] = {n: [] for n in ("doc", "mark", "place", "key", "rest", "offset")}
         for batch in batches:
             for row in batch.to_pylist():
@@ -160,7 +164,7 @@ class _Tuples:
                 parts["mark"].append(np.frombuffer(row["marks"], np.int32)[owner])
                 parts["place"].append(_from_planes(row["place_low"], row["place_high"]))
                 parts["key"].append(np.frombuffer(row["keys"], key_type))
-                parts["rest"].append(row["rest"])
+                parts["rest"].append(zlib.decompress(row["rest"]) if compressed else row["rest"])
                 parts["offset"].append(np.frombuffer(row["offsets"], np.uint8))
         self.empty = not parts["doc"]
         if not self.empty:
@@ -225,7 +229,7 @@ def _second_round(scheme: Scheme, asked: DataFrame, buckets: int) -> DataFrame:
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = _Packer(buckets, np.uint64)
+        packer = _Packer(buckets, np.uint32)
         for batch in batches:
             for doc, mark, text, chosen in zip(*(batch.column(n).to_pylist() for n in ("doc", "mark", "text", "places"))):
                 units = scheme.units(text)
@@ -241,7 +245,7 @@ def _second_round(scheme: Scheme, asked: DataFrame, buckets: int) -> DataFrame:
         yield from packer.pack()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tuples = _Tuples(batches, np.uint64)
+        tuples = _Tuples(batches, np.uint32)
         if tuples.empty:
             return
         whole = tuples.rest.view(np.uint64)
@@ -271,11 +275,11 @@ def _second_round(scheme: Scheme, asked: DataFrame, buckets: int) -> DataFrame:
 
 
 def _third_round(scheme: Scheme, asked: DataFrame, buckets: int, kind: type) -> DataFrame:
-    """``doc, mark, start, stop`` of repeated windows among the open anchors (``doc, mark, text, places``)."""
+    """``doc, mark, span`` of repeated windows among the open anchors (``doc, mark, text, places``)."""
     width = scheme.most + scheme.window - scheme.least
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = _Packer(buckets, np.uint64)
+        packer = _Packer(buckets, np.uint64, compress=True)
         for batch in batches:
             for doc, mark, text, chosen in zip(*(batch.column(n).to_pylist() for n in ("doc", "mark", "text", "places"))):
                 units = scheme.units(text)
@@ -290,7 +294,7 @@ def _third_round(scheme: Scheme, asked: DataFrame, buckets: int, kind: type) ->
         yield from packer.pack()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tuples = _Tuples(batches, np.uint64)
+        tuples = _Tuples(batches, np.uint64, compressed=True)
         if tuples.empty:
             return
         contexts = tuples.rest.view(kind).reshape(-1, width)
@@ -319,12 +323,17 @@ def _third_round(scheme: Scheme, asked: DataFrame, buckets: int, kind: type) ->
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc": tuples.doc[row[part]], "mark": tuples.mark[row[part]],
-                    "start": place - (end[part] - 1), "stop": place - begin[part] + scheme.window,
+                    "span": (place - (end[part] - 1)) << 8 | end[part] - 1 - begin[part],
                 }
             )
 
     packed = asked.mapInArrow(emit, _Packer.ddl)
-    return packed.repartitionById(buckets, "bucket").mapInArrow(compare, "doc long, mark int, start long, stop long")
+    return packed.repartitionById(buckets, "bucket").mapInArrow(compare, "doc long, mark int, span long")
+
+
+def mark_of(text: Column) -> Column:
+    """A small hash that tells texts of one id apart; never null, so joins on it add no filter."""
+    return F.xxhash64(text).bitwiseAND(F.lit((1 << 20) - 1)).cast("int")
 
 
 def prepared(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -336,7 +345,7 @@ def prepared(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     return docs.select(
         F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("doc"),
-        F.pmod(F.xxhash64(text), F.lit(1 << 20)).cast("int").alias("mark"),
+        mark_of(text).alias("mark"),
         text.cast("binary").alias("text"),
     )
 
@@ -344,27 +353,28 @@ def prepared(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def repeated_spans(rows: DataFrame, scheme: Scheme) -> DataFrame:
     """``doc, mark, spans`` for ``prepared`` rows that hold repeated windows.
 
-    ``spans`` lists half-open ranges of units, in any order and overlapping; it is bounded by the
-    text it belongs to.
+    ``spans`` lists runs of windows in any order, each the first start shifted by 8 bits and the
+    number of further starts; it is bounded by the text it belongs to.
     """
     buckets = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kind = scheme.units(b"").dtype.type
     same = ["doc", "mark"]
-    wanted = _first_round(scheme, rows, buckets).groupBy(*same).agg(F.collect_list("place").alias("places"))
+    wanted = _first_round(scheme, rows, buckets).groupBy(*same).agg(F.collect_list(F.col("place").cast("int")).alias("places"))
     found = _second_round(scheme, rows.join(wanted, same), buckets)
+    reach = (F.col("high") - F.col("low")).cast("long")
     whole = found.where("repeated").select(
-        *same, (F.col("place") - F.col("high")).alias("start"), (F.col("place") - F.col("low") + scheme.window).alias("stop")
+        *same, F.shiftleft(F.col("place") - F.col("high"), 8).bitwiseOR(reach).alias("span")
     )
     code = F.shiftleft("place", 16).bitwiseOR(F.shiftleft("low", 8)).bitwiseOR(F.col("high")).alias("code")
     unsettled = found.where("open").select(*same, code).groupBy(*same).agg(F.collect_list("code").alias("places"))
     single = _third_round(scheme, rows.join(unsettled, same), buckets, kind)
     spans = whole.unionAll(single)
-    return spans.groupBy(*same).agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    return spans.groupBy(*same).agg(F.collect_list("span").alias("spans"))
 
 
-def covered(starts: np.ndarray, stops: np.ndarray, size: int) -> np.ndarray:
+def covered(spans: np.ndarray, size: int, window: int) -> np.ndarray:
     """True at the units of a text that lie in a span."""
     steps = np.zeros(size + 1, dtype=np.int64)
-    np.add.at(steps, starts, 1)
-    np.add.at(steps, stops, -1)
+    np.add.at(steps, spans >> 8, 1)
+    np.add.at(steps, (spans >> 8) + (spans & 255) + window, -1)
     return np.cumsum(steps[:-1]) > 0

@@ -86,17 +86,17 @@ def remove_repeated_bytes(
     marked = rows.join(repeated_spans(rows, SampledSuffixes(window)), ["doc", "mark"], "left")
 
     @F.pandas_udf("n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
-    def cut(texts: pd.Series, starts: pd.Series, stops: pd.Series) -> pd.DataFrame:
+    def cut(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
         out = []
-        for text, first, last in zip(texts, starts, stops):
-            if first is None:
+        for text, found in zip(texts, spans):
+            if found is None:
                 out.append((len(text), 0, 0, text, hashlib.sha256(text).hexdigest()))
                 continue
-            gone = covered(first, last, len(text))
+            gone = covered(found, len(text), window)
             kept = np.frombuffer(text, dtype=np.uint8)[~gone].tobytes()
             runs = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
             out.append((len(text), int(gone.sum()), runs, kept, hashlib.sha256(kept).hexdigest()))
         return pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"])
 
-    result = marked.select(F.expr(f"nullif(doc, {NO_ID})").alias("doc_id"), cut("text", "spans.start", "spans.stop").alias("found"))
+    result = marked.select(F.expr(f"nullif(doc, {NO_ID})").alias("doc_id"), cut("text", "spans").alias("found"))
     return result.select("doc_id", "found.*")
