@@ -71,9 +71,11 @@ def _is_left(names: np.ndarray, number: int) -> np.ndarray:
     return (mixed >> np.uint64(63)).astype(bool)
 
 
-def symbol_starts(words: np.ndarray, rounds: tuple[int, ...] = ROUNDS) -> np.ndarray:
-    """Where the symbols of a text begin after all rounds."""
+def symbol_starts(words: np.ndarray, begins: np.ndarray, rounds: tuple[int, ...] = ROUNDS) -> np.ndarray:
+    """Where symbols begin after all rounds; none reaches over one of ``begins``, where texts begin."""
     names, starts = words, np.arange(len(words))
+    barrier = np.zeros(len(words) + 1, dtype=bool)
+    barrier[begins] = True
     if len(words) < 2:
         return starts
     lengths = np.ones(len(words), dtype=np.int64)
@@ -90,12 +92,12 @@ def symbol_starts(words: np.ndarray, rounds: tuple[int, ...] = ROUNDS) -> np.nda
         kept[at + 1] = False
         names, starts, lengths = names[kept], starts[kept], lengths[kept]
 
-    equal = names[1:] == names[:-1]
+    equal = (names[1:] == names[:-1]) & ~barrier[starts[1:]]
     alone = np.concatenate(([True], ~equal[:-1])) & np.concatenate((~equal[1:], [True]))
     merge(equal & alone)
     for number, limit in enumerate(rounds):
         left = _is_left(names, number)
-        merge(left[:-1] & ~left[1:] & (lengths[:-1] + lengths[1:] <= limit))
+        merge(left[:-1] & ~left[1:] & (lengths[:-1] + lengths[1:] <= limit) & ~barrier[starts[1:]])
     return starts
 
 
@@ -113,16 +115,14 @@ class SharedSymbols(Scheme):
         words = text.split()
         return np.fromiter(map(_WORDS.__getitem__, words), dtype=np.uint64, count=len(words))
 
-    def anchors(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        size = len(units)
-        if size < self.window:
-            none = np.empty(0, dtype=np.int64)
-            return none, none, none
-        starts = symbol_starts(units, self.rounds)
+    def anchors(self, units: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        starts = symbol_starts(units, begins, self.rounds)
         place, before = starts[1:], starts[:-1]
-        low = np.maximum(self.least, place - (size - self.window))
-        high = np.minimum(self.least - 1 + place - before, place)
-        used = low <= high
+        owner = np.searchsorted(ends, place, "right")
+        begin, size = begins[owner], (ends - begins)[owner]
+        low = np.maximum(self.least, place - begin - (size - self.window))
+        high = np.minimum(self.least - 1 + place - before, place - begin)
+        used = (low <= high) & (size >= self.window) & (place > begin)
         return place[used], low[used], high[used]
 
 

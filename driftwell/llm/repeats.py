@@ -9,9 +9,13 @@ rounds, each a map over texts and an exchange of packed tuples by key:
 2. of the others, the whole stretch of windows around the anchor is compared at once;
 3. where stretches share a key but differ, windows are compared one by one.
 
-A stretch is named by its key and a hash of its own, 96 bits and the target, a window by 128 bits.  Tuples travel as
-packed columns, one row for each task and target, since a row per tuple would cost several times
-the bytes.  The texts are dealt out once; all joins with them use the same exchange.
+A stretch is named by its key and a hash of its own, 96 bits and the target, a window by 128 bits.
+Tuples travel as packed columns, one row for each task and target, since a row per tuple would cost
+several times the bytes.  The texts are dealt out once; all joins with them use the same exchange.
+
+Hot keys: what a map task can settle among its own tuples it does, and only two tuples (or those of
+the smallest document) of a key or stretch go on to be compared; settled ones are dealt out evenly.
+So a passage that stands in a third of all documents costs a comparing task a few tuples per map task.
 """
 
 from __future__ import annotations
@@ -27,8 +31,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from driftwell.llm.common import ship_package
 
 NO_ID = (1 << 63) - 1
-# Tuples that a map task packs at a time.
+# Tuples that a map task packs at a time, and units that it looks at together.
 PACK = 400_000
+TOGETHER = 1 << 18
 
 _K1, _K2, _K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
@@ -50,6 +55,55 @@ def mix(units: np.ndarray, seed: int) -> np.ndarray:
     return found ^ (found >> np.uint64(32))
 
 
+class _Powers:
+    """Powers of an odd factor and of its inverse modulo ``2 ** 64``; kept up to a bounded length."""
+
+    KEPT = 1 << 20
+
+    def __init__(self, factor: int):
+        self.factor, self.inverse = factor, pow(factor, -1, 1 << 64)
+        self.kept = self._make(0)
+
+    def _make(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        found = []
+        for base in (self.factor, self.inverse):
+            powers = np.ones(max(size, 1), dtype=np.uint64)
+            powers[1:] = np.uint64(base)
+            found.append(np.multiply.accumulate(powers))
+        return tuple(found)
+
+    def upto(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        if size > self.KEPT:
+            return self._make(size)
+        if size > len(self.kept[0]):
+            self.kept = self._make(min(self.KEPT, 2 * size))
+        return self.kept
+
+
+_POWERS = (_Powers(0x9E3779B97F4A7C15), _Powers(0xD6E8FEB86659FD93))
+_BYTES = np.random.default_rng(20).integers(0, 1 << 64, (2, 256), dtype=np.uint64)
+
+
+class Ranges:
+    """64-bit hashes of ranges of units, from prefix sums; ``kind`` chooses one of two functions."""
+
+    def __init__(self, units: np.ndarray, kind: int):
+        if units.dtype == np.uint8:
+            values = _BYTES[kind][units]
+        else:
+            values = (units ^ np.uint64(0xA0761D6478BD642F >> kind)) * _K2
+            values ^= values >> np.uint64(32)
+        powers, self.inverse = _POWERS[kind].upto(len(units) + 1)
+        self.sums = np.zeros(len(units) + 1, dtype=np.uint64)
+        np.cumsum(values * powers[: len(units)], out=self.sums[1:])
+
+    def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        found = (self.sums[stop] - self.sums[start]) * self.inverse[start]
+        found ^= found >> np.uint64(32)
+        found *= _K1
+        return found ^ (found >> np.uint64(29))
+
+
 class Scheme(ABC):
     """How a text is read and where its anchors are; ``earlier`` is the rule for what is repeated.
 
@@ -67,23 +121,61 @@ class Scheme(ABC):
         """The text as bytes (uint8) or as hashes of words (uint64)."""
 
     @abstractmethod
-    def anchors(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Places, and the smallest and largest offset of the windows that have them."""
+    def anchors(self, units: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places, and the smallest and largest offset of the windows that have them.
+
+        ``units`` holds several texts, one after another; no window reaches from one to the next.
+        """
 
     def contexts(self, units: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """A row for each place with all units its windows may cover, zero outside the text."""
+        """A row for each place with all units that its windows may cover."""
         right = self.window - self.least
         padded = np.concatenate((np.zeros(self.most, units.dtype), units, np.zeros(right, units.dtype)))
         return padded[places[:, None] + np.arange(self.most + right)]
 
-    def keys(self, contexts: np.ndarray) -> np.ndarray:
-        return mix(contexts[:, self.most - self.least : self.window], 1)
+    def keys(self, units: np.ndarray, places: np.ndarray) -> np.ndarray:
+        return Ranges(units, 0).of(places - self.least, places - self.most + self.window)
+
+    def stretches(self, units: np.ndarray, places: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        named = Ranges(units, 1).of(places - high, places - low + self.window)
+        named = (named ^ (low << 8 | high).astype(np.uint64)) * _K3
+        return named ^ (named >> np.uint64(31))
+
+
+class _Texts:
+    """A few texts side by side, as one array of units."""
 
-    def stretches(self, contexts: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        at = np.arange(contexts.shape[1])
-        inside = (at >= (self.most - high)[:, None]) & (at < (self.most - low + self.window)[:, None])
-        named = mix(np.where(inside, contexts, contexts.dtype.type(0)), 2)
-        return mix(np.stack([named, low.astype(np.uint64), high.astype(np.uint64)], axis=1), 3)
+    def __init__(self, scheme: Scheme, rows: list[tuple]):
+        self.docs, self.marks = [r[0] for r in rows], [r[1] for r in rows]
+        self.units = np.concatenate([r[2] for r in rows])
+        sizes = np.array([len(r[2]) for r in rows], dtype=np.int64)
+        self.ends = np.cumsum(sizes)
+        self.begins = self.ends - sizes
+        self.chosen = [r[3] for r in rows] if len(rows[0]) > 3 else None
+
+    def owners(self, places: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.ends, places, "right")
+
+    def wanted(self) -> tuple[np.ndarray, np.ndarray]:
+        """Owner and number of all that was asked for."""
+        owner = np.repeat(np.arange(len(self.chosen)), [len(c) for c in self.chosen])
+        return owner, np.concatenate([np.asarray(c, dtype=np.int64) for c in self.chosen])
+
+
+def _in_texts(scheme: Scheme, batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[_Texts]:
+    """Texts in groups of a bounded number of units, or single ones that are longer."""
+    rows, size = [], 0
+    for batch in batches:
+        for doc, mark, text, *more in zip(*(batch.column(n).to_pylist() for n in columns)):
+            units = scheme.units(text)
+            if rows and size + len(units) > TOGETHER:
+                yield _Texts(scheme, rows)
+                rows, size = [], 0
+            rows.append((doc, mark, units, *more))
+            size += len(units)
+        if rows:
+            yield _Texts(scheme, rows)
+            rows, size = [], 0
 
 
 def _planes(values: np.ndarray) -> tuple[bytes, bytes]:
@@ -97,29 +189,34 @@ def _from_planes(low: bytes, high: bytes) -> np.ndarray:
 
 
 class _Packer:
-    """Gathers tuples of many documents and packs them by target."""
+    """Gathers tuples of many documents, settles what it can and packs the tuples by target."""
 
     schema = pa.schema(
         [
             ("bucket", pa.int32()), ("docs", pa.binary()), ("marks", pa.binary()), ("owner_low", pa.binary()),
             ("owner_high", pa.binary()), ("place_low", pa.binary()), ("place_high", pa.binary()), ("keys", pa.binary()),
-            ("rest", pa.binary()), ("offsets", pa.binary()),
+            ("rest", pa.binary()), ("offsets", pa.binary()), ("settled", pa.binary()),
         ]
     )
     ddl = (
         "bucket int, docs binary, marks binary, owner_low binary, owner_high binary, place_low binary, place_high binary, "
-        "keys binary, rest binary, offsets binary"
+        "keys binary, rest binary, offsets binary, settled binary"
     )
 
-    def __init__(self, buckets: int, key_type: type, compress: bool = False):
-        self.buckets, self.key_type, self.compress = buckets, key_type, compress
+    def __init__(self, buckets: int, key_type: type, settle=None, compress: bool = False):
+        self.buckets, self.key_type, self.settle, self.compress = buckets, key_type, settle, compress
         self.parts: list[tuple] = []
+        self.docs: list[int] = []
+        self.marks: list[int] = []
         self.size = 0
 
-    def add(self, doc: int, mark: int, places: np.ndarray, keys: np.ndarray, rest: np.ndarray | None = None, offsets: np.ndarray | None = None) -> bool:
+    def add(self, texts: _Texts, places: np.ndarray, keys: np.ndarray, rest: np.ndarray | None = None, offsets: np.ndarray | None = None) -> bool:
         """True when enough is gathered."""
         if len(places):
-            self.parts.append((doc, mark, places, keys, rest, offsets))
+            owner = texts.owners(places)
+            self.parts.append((owner + len(self.docs), places - texts.begins[owner], keys, rest, offsets))
+            self.docs += texts.docs
+            self.marks += texts.marks
             self.size += len(places)
         return self.size >= PACK
 
@@ -129,13 +226,13 @@ class _Packer:
     def pack(self) -> Iterator[pa.RecordBatch]:
         if not self.parts:
             return
-        docs = np.array([p[0] for p in self.parts], dtype=np.int64)
-        marks = np.array([p[1] for p in self.parts], dtype=np.int32)
-        owners = np.repeat(np.arange(len(docs)), [len(p[2]) for p in self.parts])
-        places, keys = (np.concatenate([p[i] for p in self.parts]) for i in (2, 3))
-        rest, offsets = (None if self.parts[0][i] is None else np.concatenate([p[i] for p in self.parts]) for i in (4, 5))
-        self.parts, self.size = [], 0
-        bucket = ((keys & np.uint64(0xFFFFFFFF)) % np.uint64(self.buckets)).astype(np.int64)
+        docs, marks = np.array(self.docs, dtype=np.int64), np.array(self.marks, dtype=np.int32)
+        owners, places, keys = (np.concatenate([p[i] for p in self.parts]) for i in range(3))
+        rest, offsets = (None if self.parts[0][i] is None else np.concatenate([p[i] for p in self.parts]) for i in (3, 4))
+        self.parts, self.docs, self.marks, self.size = [], [], [], 0
+        settled = np.zeros(len(keys), dtype=bool) if self.settle is None else self.settle(keys, rest, docs[owners])
+        target = np.where(settled, owners.astype(np.uint64) * _K1 >> np.uint64(32), keys & np.uint64(0xFFFFFFFF))
+        bucket = (target % np.uint64(self.buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[order])) + 1
         rows = []
@@ -146,7 +243,7 @@ class _Packer:
                 (
                     int(bucket[chosen[0]]), docs[present].tobytes(), marks[present].tobytes(), *_planes(owner),
                     *_planes(places[chosen]), stored.tobytes(), b"" if rest is None else self.store(rest[chosen]),
-                    b"" if offsets is None else offsets[chosen].tobytes(),
+                    b"" if offsets is None else offsets[chosen].tobytes(), np.packbits(settled[chosen]).tobytes(),
                 )
             )
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), self.schema.types)], schema=self.schema)
@@ -156,7 +253,7 @@ class _Tuples:
     """The packed tuples of one target, as arrays."""
 
     def __init__(self, batches: Iterator[pa.RecordBatch], key_type: type, compressed: bool = False):
-        parts: dict[str, list] = {n: [] for n in ("doc", "mark", "place", "key", "rest", "offset")}
+        parts: dict[str, list] = {n: [] for n in ("doc", "mark", "place", "key", "rest", "offset", "settled")}
         for batch in batches:
             for row in batch.to_pylist():
                 owner = _from_planes(row["owner_low"], row["owner_high"])
@@ -166,9 +263,12 @@ class _Tuples:
                 parts["key"].append(np.frombuffer(row["keys"], key_type))
                 parts["rest"].append(zlib.decompress(row["rest"]) if compressed else row["rest"])
                 parts["offset"].append(np.frombuffer(row["offsets"], np.uint8))
+                parts["settled"].append(np.unpackbits(np.frombuffer(row["settled"], np.uint8), count=len(owner)).astype(bool))
         self.empty = not parts["doc"]
         if not self.empty:
-            self.doc, self.mark, self.place, self.key, offset = (np.concatenate(parts[n]) for n in ("doc", "mark", "place", "key", "offset"))
+            self.doc, self.mark, self.place, self.key, offset, self.settled = (
+                np.concatenate(parts[n]) for n in ("doc", "mark", "place", "key", "offset", "settled")
+            )
             self.rest = np.frombuffer(b"".join(parts["rest"]), np.uint8)
             self.low, self.high = offset.reshape(-1, 2).T.astype(np.int64) if len(offset) else (None, None)
 
@@ -185,32 +285,53 @@ def _per_group(first: np.ndarray, values: np.ndarray, how) -> np.ndarray:
     return how.reduceat(values, np.flatnonzero(first))[np.cumsum(first) - 1]
 
 
+def _beyond_two(order: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """True, in the original order, at the third and later rows of each group."""
+    number = np.arange(len(order)) - np.flatnonzero(first)[np.cumsum(first) - 1]
+    found = np.zeros(len(order), dtype=bool)
+    found[order[number > 1]] = True
+    return found
+
+
 def _first_round(scheme: Scheme, rows: DataFrame, buckets: int) -> DataFrame:
     """``doc, mark, place`` of the anchors whose key also occurs elsewhere."""
 
+    def settle(keys: np.ndarray, rest: None, docs: np.ndarray) -> np.ndarray:
+        """Keys that a task sees twice are shared, for all; two tuples say so to other tasks."""
+        order = np.lexsort((docs, keys)) if scheme.earlier else np.argsort(keys, kind="stable")
+        first = _first_of_groups(keys[order])
+        if not scheme.earlier:
+            return _beyond_two(order, first)
+        doc = docs[order]
+        least, most = _per_group(first, doc, np.minimum), _per_group(first, doc, np.maximum)
+        last = np.concatenate((first[1:], [True]))
+        found = np.zeros(len(order), dtype=bool)
+        found[order[(least < most) & ~first & ~last]] = True
+        return found
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = _Packer(buckets, np.uint32)
-        for batch in batches:
-            for doc, mark, text in zip(*(batch.column(n).to_pylist() for n in ("doc", "mark", "text"))):
-                units = scheme.units(text)
-                places, _, _ = scheme.anchors(units)
-                for at in range(0, len(places), PACK):
-                    part = places[at : at + PACK]
-                    if packer.add(doc, mark, part, scheme.keys(scheme.contexts(units, part))):
-                        yield from packer.pack()
+        packer = _Packer(buckets, np.uint32, settle)
+        for texts in _in_texts(scheme, batches, ("doc", "mark", "text")):
+            places, _, _ = scheme.anchors(texts.units, texts.begins, texts.ends)
+            if packer.add(texts, places, scheme.keys(texts.units, places)):
+                yield from packer.pack()
         yield from packer.pack()
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tuples = _Tuples(batches, np.uint32)
         if tuples.empty:
             return
-        order = np.argsort(tuples.key, kind="stable")
-        first = _first_of_groups(tuples.key[order])
-        if scheme.earlier:
-            doc = tuples.doc[order]
-            kept = order[_per_group(first, doc, np.minimum) < _per_group(first, doc, np.maximum)]
-        else:
-            kept = order[_per_group(first, np.ones(len(order), np.int64), np.add) > 1]
+        loose = np.flatnonzero(~tuples.settled)
+        order = loose[np.argsort(tuples.key[loose], kind="stable")]
+        kept = [np.flatnonzero(tuples.settled)]
+        if len(order):
+            first = _first_of_groups(tuples.key[order])
+            if scheme.earlier:
+                doc = tuples.doc[order]
+                kept.append(order[_per_group(first, doc, np.minimum) < _per_group(first, doc, np.maximum)])
+            else:
+                kept.append(order[_per_group(first, np.ones(len(order), np.int64), np.add) > 1])
+        kept = np.concatenate(kept)
         for at in range(0, len(kept), PACK):
             part = kept[at : at + PACK]
             yield pa.RecordBatch.from_pydict({"doc": tuples.doc[part], "mark": tuples.mark[part], "place": tuples.place[part]})
@@ -228,45 +349,55 @@ def _second_round(scheme: Scheme, asked: DataFrame, buckets: int) -> DataFrame:
     ``repeated``: all windows of the anchor are; ``open``: they must be looked at one by one.
     """
 
+    def settle(keys: np.ndarray, whole: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        """Stretches that a task sees repeated are; the smallest document or two tuples go on."""
+        order = np.lexsort((docs, whole, keys))
+        first = _first_of_groups(keys[order], whole[order])
+        if not scheme.earlier:
+            return _beyond_two(order, first)
+        found = np.zeros(len(order), dtype=bool)
+        found[order] = docs[order] > _per_group(first, docs[order], np.minimum)
+        return found
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = _Packer(buckets, np.uint32)
-        for batch in batches:
-            for doc, mark, text, chosen in zip(*(batch.column(n).to_pylist() for n in ("doc", "mark", "text", "places"))):
-                units = scheme.units(text)
-                places, low, high = scheme.anchors(units)
-                wanted = np.flatnonzero(np.isin(places, np.array(chosen, dtype=np.int64)))
-                for at in range(0, len(wanted), PACK):
-                    part = wanted[at : at + PACK]
-                    contexts = scheme.contexts(units, places[part])
-                    whole = scheme.stretches(contexts, low[part], high[part])
-                    offsets = np.stack([low[part], high[part]], axis=1).astype(np.uint8)
-                    if packer.add(doc, mark, places[part], scheme.keys(contexts), whole, offsets):
-                        yield from packer.pack()
+        packer = _Packer(buckets, np.uint32, settle)
+        for texts in _in_texts(scheme, batches, ("doc", "mark", "text", "places")):
+            places, low, high = scheme.anchors(texts.units, texts.begins, texts.ends)
+            owner, asked = texts.wanted()
+            chosen = np.isin(places, texts.begins[owner] + asked)
+            places, low, high = places[chosen], low[chosen], high[chosen]
+            whole = scheme.stretches(texts.units, places, low, high)
+            offsets = np.stack([low, high], axis=1).astype(np.uint8)
+            if packer.add(texts, places, scheme.keys(texts.units, places), whole, offsets):
+                yield from packer.pack()
         yield from packer.pack()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tuples = _Tuples(batches, np.uint32)
         if tuples.empty:
             return
-        whole = tuples.rest.view(np.uint64)
-        order = np.lexsort((tuples.doc, whole, tuples.key))
-        doc, key, whole = tuples.doc[order], tuples.key[order], whole[order]
-        of_key, of_whole = _first_of_groups(key), _first_of_groups(key, whole)
-        several = _per_group(of_key, of_whole.astype(np.int64), np.add) > 1
-        if scheme.earlier:
-            repeated = doc > _per_group(of_whole, doc, np.minimum)
-            open_ = several & ~repeated
-        else:
-            repeated = _per_group(of_whole, np.ones(len(doc), np.int64), np.add) > 1
-            open_ = several & of_whole
+        repeated, open_ = tuples.settled.copy(), np.zeros(len(tuples.doc), dtype=bool)
+        loose = np.flatnonzero(~tuples.settled)
+        if len(loose):
+            whole = tuples.rest.view(np.uint64)[loose]
+            order = np.lexsort((tuples.doc[loose], whole, tuples.key[loose]))
+            whole, order = whole[order], loose[order]
+            doc, key = tuples.doc[order], tuples.key[order]
+            of_key, of_whole = _first_of_groups(key), _first_of_groups(key, whole)
+            several = _per_group(of_key, of_whole.astype(np.int64), np.add) > 1
+            if scheme.earlier:
+                repeated[order] = doc > _per_group(of_whole, doc, np.minimum)
+                open_[order] = several & ~repeated[order]
+            else:
+                repeated[order] = _per_group(of_whole, np.ones(len(doc), np.int64), np.add) > 1
+                open_[order] = several & of_whole
         kept = np.flatnonzero(repeated | open_)
         for at in range(0, len(kept), PACK):
             part = kept[at : at + PACK]
-            source = order[part]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "doc": tuples.doc[source], "mark": tuples.mark[source], "place": tuples.place[source],
-                    "low": tuples.low[source].astype(np.int32), "high": tuples.high[source].astype(np.int32),
+                    "doc": tuples.doc[part], "mark": tuples.mark[part], "place": tuples.place[part],
+                    "low": tuples.low[part].astype(np.int32), "high": tuples.high[part].astype(np.int32),
                     "repeated": repeated[part], "open": open_[part],
                 }
             )
@@ -280,17 +411,18 @@ def _third_round(scheme: Scheme, asked: DataFrame, buckets: int, kind: type) ->
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = _Packer(buckets, np.uint64, compress=True)
-        for batch in batches:
-            for doc, mark, text, chosen in zip(*(batch.column(n).to_pylist() for n in ("doc", "mark", "text", "places"))):
-                units = scheme.units(text)
-                codes = np.unique(np.array(chosen, dtype=np.int64))
-                places, offsets = codes >> 16, np.stack([codes >> 8 & 255, codes & 255], axis=1).astype(np.uint8)
-                inside = np.flatnonzero(places <= len(units))
-                for at in range(0, len(inside), PACK // 8):
-                    part = inside[at : at + PACK // 8]
-                    contexts = scheme.contexts(units, places[part])
-                    if packer.add(doc, mark, places[part], scheme.keys(contexts), contexts, offsets[part]):
-                        yield from packer.pack()
+        for texts in _in_texts(scheme, batches, ("doc", "mark", "text", "places")):
+            owner, codes = texts.wanted()
+            places = texts.begins[owner] + (codes >> 16)
+            low, high = codes >> 8 & 255, codes & 255
+            # Texts that share an id and a mark are asked for each other's places.
+            inside = np.flatnonzero((places - high >= texts.begins[owner]) & (places - low + scheme.window <= texts.ends[owner]))
+            for at in range(0, len(inside), PACK // 8):
+                part = inside[at : at + PACK // 8]
+                offsets = np.stack([low[part], high[part]], axis=1).astype(np.uint8)
+                keys, contexts = scheme.keys(texts.units, places[part]), scheme.contexts(texts.units, places[part])
+                if packer.add(texts, places[part], keys, contexts, offsets):
+                    yield from packer.pack()
         yield from packer.pack()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

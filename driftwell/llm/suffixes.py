@@ -64,7 +64,7 @@ class SampledSuffixes(Scheme):
             order = np.minimum(order[: len(order) - (reach - span)], order[reach - span :])
         return (order & low).astype(np.int64)
 
-    def anchors(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def anchors(self, units: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         windows = len(units) - self.window + 1
         if windows <= 0:
             none = np.empty(0, dtype=np.int64)
@@ -73,8 +73,13 @@ class SampledSuffixes(Scheme):
         for at in range(0, windows, _BLOCK):
             end = min(at + _BLOCK, windows)
             place[at:end] = self._minima(units[at : end + self.window - 1]) + at
+        # Starts from which a window would leave its text have no place.
+        for begin, end in zip(begins.tolist(), ends.tolist()):
+            place[max(begin, end - self.window + 1) : end] = -1
         first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
         last = np.concatenate((first[1:], [windows])) - 1
+        used = place[first] >= 0
+        first, last = first[used], last[used]
         return place[first], place[first] - last, place[first] - first
 
 
