@@ -21,8 +21,13 @@ from driftwell.llm.queries import tokenizer_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that could be told; null texts and texts without a letter go."""
+    """Documents in a language that could be told; null texts and texts without a letter go.
+
+    Where there is no row to learn languages from, only those go.
+    """
     model = language.learn_from(docs)
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     found = docs.withColumn("__language", language.detect_column(model, F.col("text"))["lang_pred"])
     return found.where(F.col("__language") != language.UNKNOWN).drop("__language")
 

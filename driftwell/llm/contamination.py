@@ -4,8 +4,8 @@ Texts become templates: numbers, units after a number, and names (capitalised wo
 sentence) are typed placeholders, all other words stand as they are, in lower case.  Windows of the
 templates meet in a hash join.  Along each alignment of a document with an item the values behind
 the placeholders must map one to one, so a question asked again with other numbers or names is
-found, and a chance meeting of templates is not.  An item leaks where consistent alignments cover
-enough of its windows.
+found, and a chance meeting of templates is not.  Where they do not, only windows with unchanged
+values count.  An item leaks where enough of its windows are covered.
 
 Defined cases: null and empty texts match nothing.  Items shorter than a window are matched whole;
 below ``LEAST`` words, or where most of a window is placeholders, nothing is matched.  Repeated
@@ -199,14 +199,19 @@ def find_contamination(
     # Pairs of values behind the same placeholder, within one alignment.
     values = F.zip_with("item_slots", "slots", lambda a, b: F.struct(F.split(a, ":", 2)[1].alias("theirs"), F.split(b, ":", 2)[1].alias("ours")))
     runs = aligned.groupBy(*pair, "along").agg(
-        F.collect_set("item_at").alias("covered"), F.array_distinct(F.flatten(F.collect_set(values))).alias("values")
+        F.collect_set("item_at").alias("covered"),
+        F.collect_set(F.when(F.col("slots") == F.col("item_slots"), F.col("item_at"))).alias("unchanged"),
+        F.array_distinct(F.flatten(F.collect_set(values))).alias("values")
     )
     theirs, ours = F.transform("values", lambda v: v["theirs"]), F.transform("values", lambda v: v["ours"])
     consistent = (F.size(F.array_distinct(theirs)) == F.size("values")) & (F.size(F.array_distinct(ours)) == F.size("values"))
     changed = F.size(F.filter("values", lambda v: v["theirs"] != v["ours"]))
     leaks = (
-        runs.where(consistent)
-        .select(*pair, F.explode("covered").alias("item_at"), changed.alias("changed"))
+        runs.select(
+            *pair,
+            F.explode(F.when(consistent, F.col("covered")).otherwise(F.col("unchanged"))).alias("item_at"),
+            F.when(consistent, changed).otherwise(0).alias("changed"),
+        )
         .groupBy(*pair, "item_at")
         .agg(F.max("changed").alias("changed"))
         .groupBy(*pair)

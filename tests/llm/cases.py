@@ -1,0 +1,39 @@
+"""Small tables with the awkward rows every operator must take, and brute-force helpers."""
+
+from __future__ import annotations
+
+import random
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, mark string, bucket int, start string"
+
+
+def documents(spark, texts, ids=None, langs=None):
+    """A table like ``documents`` with extra columns whose names the operators use themselves."""
+    ids = list(range(len(texts))) if ids is None else ids
+    langs = ["en"] * len(texts) if langs is None else langs
+    rows = [
+        (i, t, lang, None if n % 3 else "web", None if t is None else len(t), -1.0, "x", 7, "s")
+        for n, (i, t, lang) in enumerate(zip(ids, texts, langs))
+    ]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def words(rng: random.Random, n: int, vocabulary: int = 400) -> list[str]:
+    return [f"w{rng.randrange(vocabulary)}" for _ in range(n)]
+
+
+AWKWARD = [None, "", " \n\t ", "one", "Two words", "é ß 漢字 🙂", "x" * 300, "a b " * 200, "tail word  \x0b end\n"]
+
+
+def components(nodes: list, linked) -> dict:
+    """Smallest node reachable from each node."""
+    least = {n: n for n in nodes}
+    moved = True
+    while moved:
+        moved = False
+        for a in nodes:
+            for b in nodes:
+                if linked(a, b) and least[b] < least[a]:
+                    least[a] = least[b]
+                    moved = True
+    return least
