@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from driftwell.operators.joins import join_aggregate
-from driftwell.operators.skew import hot_groups
 
 # A list longer than this is delivered in parts.
 LIST_PART = 100_000
@@ -21,7 +20,7 @@ def aggregate_by_key(frame: DataFrame, key: str, **accumulators: Column) -> Data
 
 
 def sum_by_key(frame: DataFrame, key: str, value: str) -> DataFrame:
-    return aggregate_by_key(frame, key, total=F.sum(F.col(value).cast("bigint")))
+    return aggregate_by_key(frame, key, total=F.sum(value))
 
 
 def count_by_key(frame: DataFrame, key: str) -> DataFrame:
@@ -33,19 +32,16 @@ def values_by_key(
 ) -> DataFrame:
     """All values of each key as sorted lists: ``key, part, parts, values``.
 
-    A key with up to ``part_size`` values has one part.  A larger key has as many as it needs,
-    its rows dealt out by a hash of ``row_id``, so that no task has to hold the whole of a hot
-    key and no value is left out.  The null key is a group like any other.  If a look at the
-    groups finds none that large, the rows are shuffled once and not joined to the group sizes.
+    A key with up to ``part_size`` values has one part, a larger one as many as it needs, its rows
+    dealt out by a hash of ``row_id``: no task has to hold the whole of a hot key and no value is
+    left out.  Sizes are counted, not estimated, and a key's parts depend on that key alone, so any
+    partitioning gives the same rows.  The null key is a group like any other.
     """
     rows = frame.select(F.col(key), F.col(value).alias("_v"), F.col(row_id).alias("_id"))
-    if not hot_groups(rows, [key], part_size, 1):
-        dealt = rows.withColumns({"parts": F.lit(1).cast("bigint"), "part": F.lit(0).cast("bigint")})
-    else:
-        sizes = rows.groupBy(key).agg(F.ceil(F.count("*") / F.lit(part_size)).cast("bigint").alias("parts"))
-        joined = join_aggregate(rows, sizes, [key]).withColumn("part", F.pmod(F.xxhash64("_id"), F.col("parts")))
-        # Grouped by key and part, not where the join has left the key's rows together.
-        dealt = joined.repartition(key, "part")
+    sizes = rows.groupBy(key).agg(F.ceil(F.count("*") / F.lit(part_size)).cast("bigint").alias("parts"))
+    joined = join_aggregate(rows, sizes, [key]).withColumn("part", F.pmod(F.xxhash64("_id"), F.col("parts")))
+    # Grouped by key and part, not where the join has left the key's rows together.
+    dealt = joined.repartition(key, "part")
     return (
         dealt.groupBy(key, "parts", "part")
         .agg(F.sort_array(F.collect_list("_v")).alias("values"))

@@ -2,22 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-MAX_SLICES = 65536
 
-
-def slice_by_id(frame: DataFrame, row_id: str, min_rows: int = 1000) -> DataFrame:
-    """Put contiguous ranges of a non-negative integer id into partitions of their own.
-
-    The ranges are at least ``min_rows`` ids wide and there are at most ``MAX_SLICES`` of them,
-    whatever the size of the table; the only value fetched is the largest id.
-    """
-    largest = frame.agg(F.max(row_id)).first()[0]
-    if largest is None:
-        return frame
-    width = max(min_rows, -(-(largest + 1) // MAX_SLICES))
-    return frame.repartitionById(largest // width + 1, F.floor(F.col(row_id) / F.lit(width)).cast("int"))
+def id_range(spark: SparkSession, start: int, stop: int, *, step: int = 1, partitions: int) -> DataFrame:
+    """Ids from ``start`` up to ``stop`` in a given number of even, contiguous partitions."""
+    return spark.range(start, stop, step, partitions)
 
 
 def first_per_partition(frame: DataFrame, column: str) -> DataFrame:

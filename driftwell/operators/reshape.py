@@ -13,15 +13,15 @@ def pivot_first(
     pivot: str,
     value: str,
     order: str,
-    values: Sequence[str] | None = None,
+    values: Sequence[str],
 ) -> DataFrame:
     """One column for each pivot value, holding the value of the row that is first by ``order``.
 
-    With ``values`` given there is no extra pass to find them.  A null pivot value makes the
+    ``values`` are given, so there is no hidden pass to find them.  A null pivot value makes the
     column ``null``.
     """
     labelled = frame.withColumn(pivot, F.coalesce(F.col(pivot).cast("string"), F.lit("null")))
-    grouped = labelled.groupBy(*keys).pivot(pivot, list(values) if values is not None else None)
+    grouped = labelled.groupBy(*keys).pivot(pivot, list(values))
     return grouped.agg(F.min_by(value, order))
 
 

@@ -1,11 +1,12 @@
 """Random and repeatable sampling.
 
-The hash forms choose by a row's id alone: the same rows come out again after a retry, on another
+All forms choose by a row's id alone: the same rows come out again after a retry, on another
 cluster, or in another engine.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -13,8 +14,27 @@ from pyspark.sql import Column, DataFrame, functions as F
 from driftwell.functions.numbers import hash_bucket
 
 
-def sample_with_replacement(frame: DataFrame, rate: float, seed: int) -> DataFrame:
-    return frame.sample(withReplacement=True, fraction=rate, seed=seed)
+POISSON_STEPS = 65_536
+
+
+def poisson_thresholds(rate: float) -> list[int]:
+    """Of ``POISSON_STEPS`` buckets the numbers below which a row has at most 0, 1, 2 ... copies."""
+    found, share, total, copies = [], math.exp(-rate), 0.0, 0
+    while not found or found[-1] < POISSON_STEPS:
+        total += share
+        copies += 1
+        share *= rate / copies
+        found.append(POISSON_STEPS if share < 0.5 / POISSON_STEPS and copies > rate else round(total * POISSON_STEPS))
+    return found
+
+
+def sample_with_replacement(frame: DataFrame, row_id: str, rate: float, seed: int) -> DataFrame:
+    """Each row 0, 1, 2 ... times, ``rate`` times on average, by a hash of its id and the seed."""
+    bucket = hash_bucket(F.col(row_id), POISSON_STEPS, seed)
+    copies = sum((F.when(bucket >= limit, 1).otherwise(0) for limit in poisson_thresholds(rate)), F.lit(0))
+    drawn = frame.withColumn("_copies", copies).where("_copies > 0")
+    repeated = drawn.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return repeated.drop("_copies", "_copy")
 
 
 def stratified_downsample(frame: DataFrame, label: str, row_id: str, keep_percent: Mapping[float, int]) -> DataFrame:

@@ -1,48 +1,27 @@
-"""Window functions that stay whole and balanced when one group holds much of the data.
+"""Window functions, whole or in slices.
 
-``OVER (PARTITION BY k ORDER BY o)`` brings all rows of a key to one task.  Each function here
-first looks for keys with more than ``hot_rows`` rows.  Rows of other keys go through the ordinary
-window.  Rows of a hot key are cut into ordered slices by
-boundaries taken from a sample of the order columns, the window runs within (key, slice), and what
-the earlier or the next slices contribute is added from a summary that has one row for each
-(key, slice).  The sample only places the boundaries; results are the same for any boundaries.
+``OVER (PARTITION BY k ORDER BY o)`` brings all rows of a key to one task.  With ``slices`` given,
+the rows are first dealt out by ranges of (key, order) and staged, so that a key which holds much of
+the data is spread over many tasks; the window runs within (key, slice), and what the earlier or
+the next slices contribute is added from a summary that has one row for each (key, slice).  Both
+ways give the same rows and types for any sortable order; which one is used is the caller's choice
+and never depends on the data.
 
 ``order`` columns must tell the rows of a key apart, except for ``rank``, ``dense_rank`` and
 ``running_sum``, where rows with equal ``order`` are peers.  They are names, with ``-`` in front for
-descending; sliced descending order is for numbers, dates and instants.  Nulls sort as in Spark: first
-ascending, last descending.  The functions look at the frame more than once, so hand in a table or
-scan rather than a long pipeline.
+descending.  Nulls sort as in Spark: first ascending, last descending.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import (
-    ArrayType,
-    BooleanType,
-    DataType,
-    DateType,
-    DoubleType,
-    FloatType,
-    NumericType,
-    StringType,
-    TimestampNTZType,
-    TimestampType,
-)
 
 from driftwell.operators.joins import join_aggregate
-from driftwell.operators.skew import hot_groups
-
-HOT_ROWS = 2_000_000
-# With more hot keys than this, all rows are sliced: the keys are no longer listed in the plan.
-MAX_HOT_KEYS = 64
-SAMPLES_PER_SLICE = 20
-# Types whose values come back unchanged when they are written out as text.
-_AS_TEXT = (NumericType, StringType, BooleanType, DateType, TimestampNTZType)
+from driftwell.session import scratch_path
+from driftwell.sources.writers import stage
 
 
 @dataclass(frozen=True)
@@ -52,140 +31,113 @@ class _Output:
     value: str | None = None
 
 
-def row_number(frame: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, *, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return _scan(frame, keys, order, _Output(name, "row_number"), hot_rows)
+def row_number(frame: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, *, slices: int | None = None) -> DataFrame:
+    return _scan(frame, keys, order, _Output(name, "row_number"), slices)
 
 
-def lead(frame: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, *, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return _scan(frame, keys, order, _Output(name, "lead", value), hot_rows)
+def lead(frame: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, *, slices: int | None = None) -> DataFrame:
+    return _scan(frame, keys, order, _Output(name, "lead", value), slices)
 
 
-def lag(frame: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, *, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return _scan(frame, keys, order, _Output(name, "lag", value), hot_rows)
+def lag(frame: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, *, slices: int | None = None) -> DataFrame:
+    return _scan(frame, keys, order, _Output(name, "lag", value), slices)
 
 
-def rank(frame: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, *, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return _over_peers(frame, keys, order, name, "rank", None, hot_rows)
+def rank(frame: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, *, slices: int | None = None) -> DataFrame:
+    return _over_peers(frame, keys, order, name, "rank", None, slices)
 
 
-def dense_rank(frame: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, *, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return _over_peers(frame, keys, order, name, "dense_rank", None, hot_rows)
+def dense_rank(frame: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, *, slices: int | None = None) -> DataFrame:
+    return _over_peers(frame, keys, order, name, "dense_rank", None, slices)
 
 
-def running_sum(frame: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, *, hot_rows: int = HOT_ROWS) -> DataFrame:
+def running_sum(frame: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, *, slices: int | None = None) -> DataFrame:
     """Running total in the default RANGE frame: rows with equal ``order`` share the total.
 
     Use an integer or decimal value; sums of doubles depend on the order of addition.
     """
-    return _over_peers(frame, keys, order, name, "running_sum", value, hot_rows)
+    return _over_peers(frame, keys, order, name, "running_sum", value, slices)
 
 
 def first_value(frame: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
-    """Value of the key's first row: an aggregate joined back, so no window is needed."""
-    edges = frame.groupBy(*keys).agg(F.min_by(value, F.struct(*_position(frame, order))).alias(name))
-    return join_aggregate(frame, edges, keys)
+    """Value of the key's first row, joined back to all of its rows."""
+    return _edge(frame, keys, _sort_columns(order), value, name)
 
 
 def last_value(frame: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
     """Value of the key's last row (whole-partition frame, not up to the current row)."""
-    edges = frame.groupBy(*keys).agg(F.max_by(value, F.struct(*_position(frame, order))).alias(name))
-    return join_aggregate(frame, edges, keys)
+    return _edge(frame, keys, _sort_columns(order, backwards=True), value, name)
 
 
-def _by_group_size(
-    frame: DataFrame,
-    keys: Sequence[str],
-    hot_rows: int,
-    ordinary: Callable[[DataFrame], DataFrame],
-    sliced: Callable[[DataFrame, int], DataFrame],
-) -> DataFrame:
-    """Run ``sliced`` (which is told about how many rows it gets) on the hot groups, ``ordinary`` on the rest."""
-    hot = hot_groups(frame, keys, hot_rows, MAX_HOT_KEYS + 1)
-    if not hot:
-        return ordinary(frame)
-    if not keys:
-        return sliced(frame, hot[0]["_n"])
-    if len(hot) > MAX_HOT_KEYS or not all(isinstance(frame.schema[k].dataType, _AS_TEXT) for k in keys):
-        return sliced(frame, frame.count())
-    listed = [F.struct(*[_literal(row[k], frame.schema[k].dataType).alias(k) for k in keys]) for row in hot]
-    # equality of structs takes two null fields for equal
-    is_hot = F.struct(*keys).isin(*listed)
-    rest = ordinary(frame.where(~is_hot))
-    return rest.unionByName(sliced(frame.where(is_hot), sum(row["_n"] for row in hot)))
+def _edge(frame: DataFrame, keys: Sequence[str], sort: list[Column], value: str, name: str) -> DataFrame:
+    # Spark keeps one row per key in each task before the shuffle: a filter on the row number is a limit.
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*sort))
+    edges = frame.select(*keys, F.col(value).alias(name), place.alias("_place")).where("_place = 1").drop("_place")
+    return join_aggregate(frame, edges, keys)
 
 
 def _over_peers(
-    frame: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, kind: str, value: str | None, hot_rows: int
+    frame: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, kind: str, value: str | None, slices: int | None
 ) -> DataFrame:
-    def ordinary(part: DataFrame) -> DataFrame:
-        over = Window.partitionBy(*keys).orderBy(*_sort_columns(order))
-        column = F.sum(value).over(over) if kind == "running_sum" else getattr(F, kind)().over(over).cast("bigint")
-        return part.withColumn(name, column)
-
-    def sliced(part: DataFrame, _: int) -> DataFrame:
-        # Rows with equal order collapse to one, so a hot value costs one row behind the shuffle.
-        columns = [*keys, *[_name(o) for o in order]]
-        aggregates = [F.count("*").alias("_n")]
-        if value is not None:
-            aggregates.append(F.sum(value).alias("_v"))
-        peers = part.groupBy(*columns).agg(*aggregates)
-        if kind == "rank":
-            scanned = _scan(peers, keys, order, _Output("_upto", "running_sum", "_n"), hot_rows)
-            result = F.col("_upto") - F.col("_n") + 1
-        elif kind == "dense_rank":
-            scanned = _scan(peers, keys, order, _Output("_pos", "row_number"), hot_rows)
-            result = F.col("_pos")
-        else:
-            scanned = _scan(peers, keys, order, _Output("_upto", "running_sum", "_v"), hot_rows)
-            result = F.col("_upto")
-        return join_aggregate(part, scanned.select(*columns, result.alias(name)), columns)
-
-    return _by_group_size(frame, keys, hot_rows, ordinary, sliced)
-
-
-def _scan(frame: DataFrame, keys: Sequence[str], order: Sequence[str], out: _Output, hot_rows: int) -> DataFrame:
+    over = Window.partitionBy(*keys).orderBy(*_sort_columns(order))
+    plain = F.sum(value).over(over) if kind == "running_sum" else getattr(F, kind)().over(over).cast("bigint")
+    ordinary = frame.withColumn(name, plain)
+    if slices is None:
+        return ordinary
+    # Rows with equal order collapse to one, so a hot value costs one row behind the shuffle.
+    columns = [*keys, *[_name(o) for o in order]]
+    aggregates = [F.count("*").alias("_n")]
+    if value is not None:
+        aggregates.append(F.sum(value).alias("_v"))
+    peers = frame.groupBy(*columns).agg(*aggregates)
+    if kind == "rank":
+        scanned = _scan(peers, keys, order, _Output("_upto", "running_sum", "_n"), slices)
+        result = F.col("_upto") - F.col("_n") + 1
+    elif kind == "dense_rank":
+        scanned = _scan(peers, keys, order, _Output("_upto", "row_number"), slices)
+        result = F.col("_upto")
+    else:
+        scanned = _scan(peers, keys, order, _Output("_upto", "running_sum", "_v"), slices)
+        result = F.col("_upto")
+    totals = scanned.select(*columns, result.cast(ordinary.schema[name].dataType).alias(name))
+    return join_aggregate(frame, totals, columns)
+
+
+def _scan(frame: DataFrame, keys: Sequence[str], order: Sequence[str], out: _Output, slices: int | None) -> DataFrame:
     """A window function over rows that ``order`` tells apart."""
-    return _by_group_size(
-        frame,
-        keys,
-        hot_rows,
-        lambda part: part.withColumn(out.name, _local(out, Window.partitionBy(*keys).orderBy(*_sort_columns(order)))),
-        lambda part, total: _sliced_scan(part, keys, order, out, total),
-    )
-
-
-def _sliced_scan(frame: DataFrame, keys: Sequence[str], order: Sequence[str], out: _Output, total: int) -> DataFrame:
-    position = _position(frame, order)
-    pieces = max(2, int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    slice_number = _slice_number(position, *_boundaries(frame, position, total, pieces))
-    sliced = frame.withColumn("_k", _key_struct(keys)).withColumn("_s", slice_number)
+    ordinary = frame.withColumn(out.name, _local(out, Window.partitionBy(*keys).orderBy(*_sort_columns(order))))
+    if slices is None:
+        return ordinary
+    dealt = frame.repartitionByRange(slices, *[F.col(k) for k in keys], *_sort_columns(order))
+    # Staged: where a range ends comes from a sample, and must be the same for all that reads it.
+    keyed = dealt.withColumn("_k", _key_struct(keys)).withColumn("_s", F.spark_partition_id())
+    sliced = stage(keyed, scratch_path(frame.sparkSession, "slices"))
     within = Window.partitionBy("_k", "_s").orderBy(*_sort_columns(order))
+    backwards = Window.partitionBy("_k", "_s").orderBy(*_sort_columns(order, backwards=True))
 
     # The summary has one row for each (key, slice); its window sees one row per slice of a key.
-    slices = Window.partitionBy("_k").orderBy("_s")
-    earlier = slices.rowsBetween(Window.unboundedPreceding, -1)
-    here, carried = F.col(out.name), F.col("_carry")
-    edge = F.lit(None)
-    if out.kind == "row_number":
-        part, carry = F.count("*"), F.coalesce(F.sum("_part").over(earlier), F.lit(0))
-        result = here + carried
-    elif out.kind == "running_sum":
-        part, carry = F.sum(out.value), F.sum("_part").over(earlier)
+    of_key = Window.partitionBy("_k").orderBy("_s")
+    earlier = of_key.rowsBetween(Window.unboundedPreceding, -1)
+    here, carried, edge = F.col(out.name), F.col("_carry"), F.lit(None)
+    if out.kind in ("row_number", "running_sum"):
+        part = F.count("*") if out.kind == "row_number" else F.sum(out.value)
+        parts = sliced.groupBy("_k", "_s").agg(part.alias("_part"))
+        carry = F.sum("_part").over(earlier)
         result = F.when(here.isNull(), carried).otherwise(here + F.coalesce(carried, F.lit(0)))
-    elif out.kind == "lead":
-        # the last row of a slice takes the next slice's first value, null or not
-        part, carry = F.min_by(out.value, F.struct(*position)), F.lead("_part").over(slices)
-        edge = F.lead(F.lit(True)).over(within).isNull()
-        result = F.when(F.col("_edge"), carried).otherwise(here)
     else:
-        part, carry = F.max_by(out.value, F.struct(*position)), F.lag("_part").over(slices)
-        edge = F.row_number().over(within) == 1
+        # The last row of a slice takes the next slice's first value, null or not; for lag the other way.
+        ahead = out.kind == "lead"
+        first = F.row_number().over(within if ahead else backwards)
+        parts = sliced.select("_k", "_s", F.col(out.value).alias("_part"), first.alias("_place")).where("_place = 1").drop("_place")
+        carry = (F.lead if ahead else F.lag)("_part").over(of_key)
+        edge = F.row_number().over(within) == 1 if not ahead else F.lead(F.lit(True)).over(within).isNull()
         result = F.when(F.col("_edge"), carried).otherwise(here)
 
     local = sliced.withColumn(out.name, _local(out, within)).withColumn("_edge", edge)
-    summary = sliced.groupBy("_k", "_s").agg(part.alias("_part")).select("_k", "_s", carry.alias("_carry"))
+    summary = parts.select("_k", "_s", carry.alias("_carry"))
     joined = local.join(summary, ["_k", "_s"])
-    return joined.select(*[F.col(f"`{c}`") for c in frame.columns], result.alias(out.name))
+    kind = ordinary.schema[out.name].dataType
+    return joined.select(*[F.col(f"`{c}`") for c in frame.columns], result.cast(kind).alias(out.name))
 
 
 def _local(out: _Output, over: Window) -> Column:
@@ -200,89 +152,11 @@ def _name(order: str) -> str:
     return order.removeprefix("-")
 
 
-def _sort_columns(order: Sequence[str]) -> list[Column]:
-    return [F.col(_name(o)).desc() if o.startswith("-") else F.col(o).asc() for o in order]
+def _sort_columns(order: Sequence[str], backwards: bool = False) -> list[Column]:
+    """Spark's own null order: first ascending, last descending; reversed with the direction."""
+    return [F.col(_name(o)).desc() if o.startswith("-") != backwards else F.col(_name(o)).asc() for o in order]
 
 
 def _key_struct(keys: Sequence[str]) -> Column:
     """The key as one value that is never null, so null keys meet under plain equality."""
     return F.struct(F.lit(0).alias("_"), *[F.col(k) for k in keys])
-
-
-def _position(frame: DataFrame, order: Sequence[str]) -> list[Column]:
-    """Columns whose ascending order, nulls first, is the requested one."""
-    parts = []
-    for i, item in enumerate(order):
-        column, kind = F.col(_name(item)), frame.schema[_name(item)].dataType
-        # as numbers they can be turned round, and an instant does not depend on a time zone
-        if isinstance(kind, TimestampType):
-            column = F.unix_micros(column)
-        elif isinstance(kind, DateType):
-            column = F.unix_date(column)
-        if not item.startswith("-"):
-            parts.append(column.alias(f"o{i}"))
-            continue
-        if not isinstance(kind, (NumericType, TimestampType, DateType)):
-            raise ValueError(f"descending order needs numbers, dates or instants: {item}")
-        parts.append(column.isNull().alias(f"null{i}"))
-        if isinstance(kind, (DoubleType, FloatType)):
-            parts.append((~F.isnan(column)).alias(f"num{i}"))
-        parts.append((-column).alias(f"o{i}"))
-    return parts
-
-
-def _literal(value: object, kind: DataType) -> Column:
-    return F.lit(None if value is None else str(value)).cast(kind)
-
-
-def _literal_array(values: list, kind: DataType) -> Column:
-    """A constant array, handed over as one text: thousands of literals are slow to build one by one."""
-    texts = json.dumps([None if value is None else str(value) for value in values])
-    return F.from_json(F.lit(texts), "array<string>").cast(ArrayType(kind))
-
-
-def _boundaries(
-    frame: DataFrame, position: Sequence[Column], total: int, pieces: int
-) -> tuple[int, list[Column]]:
-    """The number of slices, and for each position column an array of its values at the boundaries.
-
-    The boundaries are evenly spaced in a sample whose size does not grow with the frame.  Their
-    number, one less than that of the slices, is one less than a power of two.
-    """
-    for field in frame.select(*position).schema.fields:
-        if not isinstance(field.dataType, _AS_TEXT):
-            raise ValueError(f"a hot group can not be sliced by a {field.dataType.simpleString()}")
-    # The sample is bounded by its rate: about ``wanted`` rows whatever the size of the frame.
-    wanted = pieces * SAMPLES_PER_SLICE
-    sampled = frame.select(*position).sample(min(1.0, wanted / total), seed=11)
-    rows = sampled.orderBy(*sampled.columns).collect()
-    parts = 1 << min((pieces - 1).bit_length(), (len(rows) + 1).bit_length() - 1)
-    chosen = [rows[i * len(rows) // parts] for i in range(1, parts)]
-    return parts, [
-        _literal_array([row[j] for row in chosen], field.dataType) for j, field in enumerate(sampled.schema.fields)
-    ]
-
-
-def _slice_number(position: Sequence[Column], parts: int, bounds: Sequence[Column]) -> Column:
-    """How many boundaries are at or below the position, by binary search in constant arrays."""
-
-    def at_or_below(index: Column) -> Column:
-        bound = [F.get(table, index) for table in bounds]
-        result = None
-        for low, high in reversed(list(zip(bound, position))):
-            below = F.coalesce(low < high, low.isNull() & high.isNotNull())
-            same = low.eqNullSafe(high)
-            result = below | same if result is None else below | (same & result)
-        return result
-
-    # With 2**m - 1 boundaries these steps never leave the arrays.
-    steps = [parts >> bit for bit in range(1, parts.bit_length())]
-    if not steps:
-        return F.lit(0)
-    found = F.reduce(
-        F.array(*[F.lit(step) for step in steps]),
-        F.lit(0),
-        lambda low, step: F.when(at_or_below(low + step - 1), low + step).otherwise(low),
-    )
-    # never null; said so, or the join on the slice adds a filter that searches once more
-    return F.coalesce(found, F.lit(0))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
@@ -23,23 +24,23 @@ FEATURES = ("monthday", "weekday", "crsdeptime", "crsarrtime", "carrier", "crsel
 DELAYED_AFTER = 40.0
 
 
-def category_indexes(frame: DataFrame, columns: Sequence[str], *, hot_rows: int = windows.HOT_ROWS) -> DataFrame:
+def category_indexes(frame: DataFrame, columns: Sequence[str], *, slices: int | None = None) -> DataFrame:
     """``column, value, index``: each column's distinct values numbered from zero, in order, null first.
 
     The number is the value's place in sorted order, so it does not change between runs.  The
     frame is read once for all columns and its distinct values are staged; nothing is fetched to
-    the driver, and a column with very many values is numbered in slices.
+    the driver.  With ``slices`` a column with very many values is numbered in that many tasks.
     """
     entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
     values = frame.select(F.explode(entries).alias("e")).select("e.*").distinct()
     stored = stage(values, scratch_path(frame.sparkSession, "categories"))
-    numbered = windows.row_number(stored, ["column"], ["value"], "_n", hot_rows=hot_rows)
+    numbered = windows.row_number(stored, ["column"], ["value"], "_n", slices=slices)
     return numbered.select("column", "value", (F.col("_n") - 1).alias("index"))
 
 
-def category_index(frame: DataFrame, column: str, *, hot_rows: int = windows.HOT_ROWS) -> DataFrame:
+def category_index(frame: DataFrame, column: str, *, slices: int | None = None) -> DataFrame:
     """The same for one column: ``column, index``."""
-    return category_indexes(frame, [column], hot_rows=hot_rows).select(F.col("value").alias(column), "index")
+    return category_indexes(frame, [column], slices=slices).select(F.col("value").alias(column), "index")
 
 
 def with_category_indexes(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -88,6 +89,12 @@ def feature_rows(flights: DataFrame, passthrough: Sequence[str] = ()) -> DataFra
 
 
 def labelled_points(rows: DataFrame) -> DataFrame:
-    """``label, features`` with the features as one vector."""
-    assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows)
+    """``label, features`` with the features as one vector; rows that lack a feature are left out."""
+    assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="skip").transform(rows)
     return assembled.select("label", "features")
+
+
+def incomplete_rows(rows: DataFrame) -> DataFrame:
+    """The rows that ``labelled_points`` leaves out: a feature is null or not a number."""
+    lacking = [F.col(c).isNull() | F.isnan(F.col(c).cast("double")) for c in FEATURES]
+    return rows.where(reduce(lambda a, b: a | b, lacking))

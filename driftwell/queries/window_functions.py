@@ -1,7 +1,4 @@
-"""Window functions, each in the ordinary form and in the sliced form for hot groups.
-
-The sliced queries set the size from which a group counts as hot so low that all of them are cut.
-"""
+"""Window functions, each in the ordinary form and in the sliced form for hot groups."""
 
 from __future__ import annotations
 
@@ -10,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from driftwell.operators import windows
 from driftwell.queries.catalog import Tables, query
 
-_HOT = 1  # every group is cut
+_SLICES = 16
 
 _ROW_NUMBER = """
 SELECT c_custkey, c_nationkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS rnum FROM customer
@@ -53,8 +50,8 @@ def _orders(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice")
 
 
-def _running(t: Tables, hot_rows: int) -> DataFrame:
-    totals = windows.running_sum(_priced(t), ["l_suppkey"], ["l_quantity"], "price", "total", hot_rows=hot_rows)
+def _running(t: Tables, slices: int | None) -> DataFrame:
+    totals = windows.running_sum(_priced(t), ["l_suppkey"], ["l_quantity"], "price", "total", slices=slices)
     return totals.select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", F.col("total").cast("double").alias("running_total")
     )
@@ -67,7 +64,7 @@ def win_row_number(t: Tables) -> DataFrame:
 
 @query(_ROW_NUMBER)
 def win_row_number_sliced(t: Tables) -> DataFrame:
-    return windows.row_number(_customers(t), ["c_nationkey"], ["c_custkey"], "rnum", hot_rows=_HOT)
+    return windows.row_number(_customers(t), ["c_nationkey"], ["c_custkey"], "rnum", slices=_SLICES)
 
 
 @query(_RANK.format(function="rank"))
@@ -77,7 +74,7 @@ def win_rank(t: Tables) -> DataFrame:
 
 @query(_RANK.format(function="rank"))
 def win_rank_sliced(t: Tables) -> DataFrame:
-    return windows.rank(_items(t), ["l_suppkey"], ["-l_quantity"], "rank", hot_rows=_HOT)
+    return windows.rank(_items(t), ["l_suppkey"], ["-l_quantity"], "rank", slices=_SLICES)
 
 
 @query(_RANK.format(function="dense_rank"))
@@ -87,17 +84,17 @@ def win_dense_rank(t: Tables) -> DataFrame:
 
 @query(_RANK.format(function="dense_rank"))
 def win_dense_rank_sliced(t: Tables) -> DataFrame:
-    return windows.dense_rank(_items(t), ["l_suppkey"], ["-l_quantity"], "rank", hot_rows=_HOT)
+    return windows.dense_rank(_items(t), ["l_suppkey"], ["-l_quantity"], "rank", slices=_SLICES)
 
 
 @query(_RUNNING)
 def win_running_sum(t: Tables) -> DataFrame:
-    return _running(t, windows.HOT_ROWS)
+    return _running(t, None)
 
 
 @query(_RUNNING)
 def win_running_sum_sliced(t: Tables) -> DataFrame:
-    return _running(t, _HOT)
+    return _running(t, _SLICES)
 
 
 @query(_NEIGHBOUR.format(function="lead"))
@@ -110,7 +107,7 @@ def win_lead(t: Tables) -> DataFrame:
 @query(_NEIGHBOUR.format(function="lead"))
 def win_lead_sliced(t: Tables) -> DataFrame:
     return windows.lead(
-        _orders(t), ["o_orderpriority"], ["o_totalprice", "o_orderkey"], "o_totalprice", "neighbour", hot_rows=_HOT
+        _orders(t), ["o_orderpriority"], ["o_totalprice", "o_orderkey"], "o_totalprice", "neighbour", slices=_SLICES
     ).drop("o_totalprice")
 
 
@@ -124,7 +121,7 @@ def win_lag(t: Tables) -> DataFrame:
 @query(_NEIGHBOUR.format(function="lag"))
 def win_lag_sliced(t: Tables) -> DataFrame:
     return windows.lag(
-        _orders(t), ["o_orderpriority"], ["o_totalprice", "o_orderkey"], "o_totalprice", "neighbour", hot_rows=_HOT
+        _orders(t), ["o_orderpriority"], ["o_totalprice", "o_orderkey"], "o_totalprice", "neighbour", slices=_SLICES
     ).drop("o_totalprice")
 
 
