@@ -14,11 +14,6 @@ def percent(numerator: Column, denominator: Column) -> Column:
     return safe_ratio(numerator, denominator) * F.lit(100.0)
 
 
-def exact_sum(value: Column) -> Column:
-    """Sum of two-digit amounts held as doubles, independent of the order they are added in."""
-    return F.sum(value.cast("decimal(18,2)")).cast("double")
-
-
 def hash_bucket(row_id: Column, buckets: int = 100, salt: int = 0) -> Column:
     """A bucket in ``[0, buckets)`` that depends on nothing but the integer ``row_id``.
 

@@ -8,14 +8,16 @@ from pyspark.sql import Column, functions as F
 
 
 def jvm_split(text: Column, separator: str) -> Column:
-    """Split on a literal separator the way ``String.split`` does on the JVM.
+    """Split on a one-character separator the way ``String.split`` does on the JVM.
 
     Trailing empty pieces are dropped, leading and inner ones stay; the empty string gives one
     empty piece and a string of separators only gives none.
     """
-    quoted = re.escape(separator)
-    trimmed = F.regexp_replace(text, f"(?:{quoted})+\\z", "")
-    pieces = F.when(trimmed != "", F.split(trimmed, quoted)).otherwise(F.array().cast("array<string>"))
+    if len(separator) != 1:
+        raise ValueError("a separator is one character")
+    # A regular expression that strips the end would look at every inner run of separators again.
+    trimmed = F.rtrim(text, F.lit(separator))
+    pieces = F.when(trimmed != "", F.split(trimmed, re.escape(separator))).otherwise(F.array().cast("array<string>"))
     return F.when(text == "", F.array(F.lit(""))).otherwise(pieces)
 
 

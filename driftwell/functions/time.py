@@ -1,4 +1,4 @@
-"""Date and time expressions; the session time zone is expected to be UTC."""
+"""Date and time expressions; days are UTC."""
 
 from __future__ import annotations
 
@@ -6,10 +6,18 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, functions as F
 
+MILLIS_PER_DAY = 86_400_000
+
 
 def epoch_ms_to_day(millis: Column) -> Column:
-    """``yyyy-MM-dd`` of an epoch in milliseconds."""
-    return F.from_unixtime(F.floor(millis / 1000).cast("bigint"), "yyyy-MM-dd")
+    """``yyyy-MM-dd`` (UTC) of an epoch in milliseconds, whatever the session's time zone."""
+    return F.date_from_unix_date(F.floor(millis / MILLIS_PER_DAY).cast("int")).cast("string")
+
+
+def day_bounds_ms(day: str) -> tuple[int, int]:
+    """First millisecond of a day (UTC) and of the next one."""
+    first = (date.fromisoformat(day) - date(1970, 1, 1)).days * MILLIS_PER_DAY
+    return first, first + MILLIS_PER_DAY
 
 
 def days_before(run_date: str | Column, days: int = 1) -> Column:

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from driftwell.functions.numbers import exact_sum
-
 # Columns of the auction file, by position, and the price an expensive one exceeds.
 AUCTIONS = (
     "`Auction Id` string, bid double, bidtime double, bidder string, bidderdate int, "
@@ -24,7 +22,7 @@ def bids_per_item(bids: DataFrame) -> DataFrame:
         F.count("*").alias("bids"),
         F.min("bid").alias("min_bid"),
         F.max("bid").alias("max_bid"),
-        (exact_sum(F.col("bid")) / F.count("bid")).alias("avg_bid"),
+        F.avg("bid").alias("avg_bid"),
     )
 
 

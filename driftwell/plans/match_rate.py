@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from driftwell.functions.numbers import percent
-from driftwell.functions.time import days_before, epoch_ms_to_day
+from driftwell.functions.time import day_bounds_ms, previous_day
 from driftwell.operators.joins import anti_nullsafe
 
-# Fixed value: the site whose ids are compared with the partners'.
+# The names of the result columns; the site whose ids are compared with the partners'.
 OWN_SITE = 1
 _COUNTS = ("matched", "unmatched", "own", "partner_b", "partner_t")
 
@@ -47,9 +47,12 @@ def match_rate(
     counts meet as rows of one long frame that is summed up: nothing is collected and nothing is
     cross joined.  A rate with a zero denominator is null.
     """
-    day = F.date_format(days_before(run_date), "yyyy-MM-dd")
+    day = previous_day(run_date)
+    first, past = day_bounds_ms(day)
     known = matched.select(F.col("pwid").alias("idvisitor")).distinct()
-    on_day = visits.where(epoch_ms_to_day(F.col("visit_last_action_time")) == day).select("idvisit", "idvisitor")
+    # constants on the column itself, which reach the scan
+    at = F.col("visit_last_action_time")
+    on_day = visits.where((at >= first) & (at < past)).select("idvisit", "idvisitor")
     hits = links.where("idaction_url is not null").join(
         actions_for_url(spark, actions, url), F.col("idaction_url") == F.col("idaction")
     )
@@ -73,7 +76,7 @@ def match_rate(
 
     total_users = F.col("matched") + F.col("unmatched")
     return totals.select(
-        day.alias("Date"),
+        F.lit(day).alias("Date"),
         F.lit(url).alias("url"),
         total_users.cast("double").alias("total_piwik_users"),
         F.col("matched").cast("double").alias("matched_piwik_users"),

@@ -79,14 +79,44 @@ def _entity_sql(entity: plan.Entity) -> str:
        {_joined(kind, 2)} AS "oldValue" FROM orders WHERE {KIND_SQL} = '{kind}'"""
 
 
+def _entries(kind: str) -> list[tuple[str, str, str, str]]:
+    """(name, new, old, condition) SQL of the fields of a kind's records."""
+    plain = [(*entry, "true") for entry in _field_lists(kind)]
+    if kind != plan.KEYWORD_SOURCE:
+        return plain
+    # pending orders are creations: medium ones lack the ad group, urgent ones give the state twice
+    day = "strftime(o_orderdate, '%Y-%m-%d')"
+    given = [
+        ("id", "CAST(o_orderkey AS VARCHAR)", "true"),
+        ("name", "nullif(o_orderpriority, '5-LOW')", "true"),
+        ("createdDateTime", day, "true"),
+        ("lastModifiedDateTime", day, "true"),
+        ("stateId", "'1'", "true"),
+        ("adGroupId", "CAST(o_custkey AS VARCHAR)", "o_orderpriority <> '3-MEDIUM'"),
+        ("stateId", "'2'", "o_orderpriority = '1-URGENT'"),
+    ]
+    created = [(f"'{name}'", new, "NULL", f"o_orderstatus = 'P' AND {condition}") for name, new, condition in given]
+    return [(*entry[:3], "o_orderstatus <> 'P'") for entry in plain] + created
+
+
 def _fields_sql(kind: str) -> str:
     return " UNION ALL ".join(
         f"""SELECT o_orderkey AS eid, {name} AS "fieldName", {new} AS "newValue", {old} AS "oldValue"
-        FROM orders WHERE {KIND_SQL} = '{kind}' AND NOT {_NO_FIELDS}"""
-        for name, new, old in _field_lists(kind)
+        FROM orders WHERE {KIND_SQL} = '{kind}' AND NOT {_NO_FIELDS} AND {condition}"""
+        for name, new, old, condition in _entries(kind)
     )
 
 
+def _lists_sql(kind: str) -> str:
+    """Names and new values of all fields of a record, joined; null for a record without any."""
+
+    def joined(part: int) -> str:
+        texts = [f"CASE WHEN {e[3]} THEN coalesce({e[part]}, 'null') END" for e in _entries(kind)]
+        return f"CASE WHEN NOT {_NO_FIELDS} THEN concat_ws('|', {', '.join(texts)}) END"
+
+    return f"""SELECT o_orderkey AS "Id", {joined(0)} AS names, {joined(1)} AS new_values FROM orders WHERE {KIND_SQL} = '{kind}'"""
+
+
 def _elements_sql(spec: plan.ElementField, side: str) -> str:
     def columns(element: str | None) -> str:
         """Values of an element, or nulls of the same types."""
@@ -177,24 +207,32 @@ def audit_rejects(t: Tables) -> DataFrame:
     return plan.rejects(plan.parse_log(audit_log(t)))
 
 
-@query(" UNION ALL ".join(_fields_sql(kind) for kind in KINDS[:-1]))
+@query(" UNION ALL ".join(_fields_sql(kind) for kind in KINDS))
 def explode_fields(t: Tables) -> DataFrame:
-    # all kinds but the keywords, whose fields the reports show
-    return plan.field_rows(plan.parse_log(audit_log(t).where(F.col("Source") != plan.KEYWORD_SOURCE)))
+    return plan.field_rows(plan.parse_log(audit_log(t)))
 
 
-@query(f"""
-SELECT o_orderkey AS "Id", {_joined('MV_Campaign', 0)} AS names, {_joined('MV_Campaign', 1)} AS new_values
-FROM orders WHERE {KIND_SQL} NOT IN ('MV_AdGroup', 'MV_Site', 'MV_Keyword')
-""")
+@query(" UNION ALL ".join(_lists_sql(kind) for kind in KINDS))
 def array_struct_project(t: Tables) -> DataFrame:
-    parsed = plan.parse_log(audit_log(t)).where("Source not in ('MV_AdGroup', 'MV_Site', 'MV_Keyword')")
-    return parsed.select(
+    return plan.parse_log(audit_log(t)).select(
         "Id", _text(F.col("details.fields.fieldName")).alias("names"), _text(F.col("details.fields.newValue")).alias("new_values")
     )
 
 
-@query(" UNION ALL ".join(f"SELECT '{name}' AS output, count(*) AS n FROM ({sql})" for name, sql in output_sql().items()))
+@query(f"""
+SELECT o_orderkey AS eid, 'audienceId' AS "fieldName", CAST(o_custkey AS VARCHAR) AS "newValue"
+FROM orders WHERE {KIND_SQL} = 'MV_AdGroup' AND {SLOT_SQL} = {SLOT_FIELDS.index(plan.AUDIENCE_FIELD)}
+""")
+def audit_rejected_values(t: Tables) -> DataFrame:
+    """Single values where an array is asked for."""
+    fields = plan.field_rows(plan.parse_log(audit_log(t)), plan.AD_GROUP.source)
+    return plan.rejected_values(fields, plan.ElementField(plan.AUDIENCE_FIELD, "", scalar_column="AudienceId"))
+
+
+_REJECTS_SQL = f"SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P' AND {KIND_SQL} = 'MV_Action'"
+
+
+@query(" UNION ALL ".join(f"SELECT '{name}' AS output, count(*) AS n FROM ({sql})" for name, sql in (output_sql() | {plan.REJECTS: _REJECTS_SQL}).items()))
 def audit_shred_day(t: Tables) -> DataFrame:
     """The whole job: all tables written for one day, then counted from the files."""
     target = t.scratch("shredded")

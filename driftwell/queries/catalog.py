@@ -16,8 +16,6 @@ class Tables:
     """Parquet tables of one directory, as attributes."""
 
     def __init__(self, spark: SparkSession, directory: str):
-        # The queries render days as text; the tables hold zone-less timestamps.
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark = spark
         self.directory = directory
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from driftwell.functions.numbers import percent, safe_ratio
 from driftwell.functions.text import jvm_split
 from driftwell.functions.time import days_before, epoch_ms_to_day
-from driftwell.operators.partitions import MAX_SLICES, first_per_partition, slice_by_id, tag_partition
+from driftwell.operators.partitions import first_per_partition, id_range, tag_partition
 from driftwell.operators.reshape import fill_null
 from driftwell.plans.match_rate import actions_for_url
 from driftwell.plans.quality import over_long
@@ -227,16 +227,33 @@ def prev_day_slice(t: Tables) -> DataFrame:
     return day_slice(days, "1998-10-04").select("o_orderkey", "o_totalprice")
 
 
-_WIDTH = f"(SELECT greatest(1000, (max(o_orderkey) + {MAX_SLICES}) // {MAX_SLICES}) FROM orders)"
+_PARTITIONS = 4
 
 
-@query(f"""
-SELECT CAST(o_orderkey // {_WIDTH} AS INTEGER) AS partition, min(o_orderkey) AS first FROM orders GROUP BY 1
-""")
+def _ids(t: Tables) -> DataFrame:
+    """All ids up to the largest order key; the one value fetched is that key."""
+    largest = t.orders.agg(F.max("o_orderkey")).first()[0]
+    return id_range(t.spark, 0, (-1 if largest is None else largest) + 1, partitions=_PARTITIONS)
+
+
+# A partition begins where its share of the ids does.
+_STARTS = f"""
+WITH size AS (SELECT coalesce(max(o_orderkey), -1) + 1 AS n FROM orders),
+     starts AS (SELECT CAST(i AS INTEGER) AS partition, i * n // {_PARTITIONS} AS first, (i + 1) * n // {_PARTITIONS} AS past
+                FROM size, range({_PARTITIONS}) r(i))
+"""
+
+
+@query(_STARTS + "SELECT unnest(range(first, past)) AS id FROM starts")
+def src_range(t: Tables) -> DataFrame:
+    return _ids(t)
+
+
+@query(_STARTS + "SELECT partition, first FROM starts WHERE first < past")
 def per_partition_first(t: Tables) -> DataFrame:
-    return first_per_partition(slice_by_id(t.orders.select("o_orderkey"), "o_orderkey"), "o_orderkey")
+    return first_per_partition(_ids(t), "id")
 
 
-@query(f"SELECT (o_orderkey // {_WIDTH}) || '|' || o_orderkey AS tagged FROM orders")
+@query(_STARTS + "SELECT partition || '|' || unnest(range(first, past)) AS tagged FROM starts")
 def partition_tag(t: Tables) -> DataFrame:
-    return tag_partition(slice_by_id(t.orders.select("o_orderkey"), "o_orderkey"), "o_orderkey")
+    return tag_partition(_ids(t), "id")

@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from driftwell.operators.keyed import sum_by_key
-from driftwell.operators.sampling import sample_with_replacement, stratified_downsample, train_test_split
+from driftwell.operators.sampling import (
+    POISSON_STEPS,
+    poisson_thresholds,
+    sample_with_replacement,
+    split_side,
+    stratified_downsample,
+)
 from driftwell.operators.sets import intersect, subtract_bag, union_all, union_distinct
 from driftwell.queries.catalog import Tables, query
 
@@ -53,10 +59,10 @@ def topk(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT * FROM (SELECT l_partkey, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS total, 'last' AS side
+SELECT * FROM (SELECT l_partkey, sum(l_quantity) AS total, 'last' AS side
                FROM lineitem GROUP BY 1 ORDER BY 1 DESC LIMIT 5)
 UNION ALL
-SELECT * FROM (SELECT l_partkey, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS total, 'first' AS side
+SELECT * FROM (SELECT l_partkey, sum(l_quantity) AS total, 'first' AS side
                FROM lineitem GROUP BY 1 ORDER BY 1 LIMIT 5)
 """)
 def kv_sort_topk(t: Tables) -> DataFrame:
@@ -65,13 +71,19 @@ def kv_sort_topk(t: Tables) -> DataFrame:
     return first.union(totals.orderBy(F.desc("l_partkey")).limit(5).withColumn("side", F.lit("last")))
 
 
-@query(None)
-def sample_replace(t: Tables) -> DataFrame:
-    return sample_with_replacement(t.orders.select("o_orderkey"), 0.4, seed=17)
+def bucket_sql(column: str, salt: int = 0, buckets: int = 100) -> str:
+    return f"(((({column} % 2147483647 + {salt}) % 2147483647) * 2654435761) % 4294967296) // 65536 % {buckets}"
+
 
+_RATE, _SEED = 0.4, 17
+_COPIES = " + ".join(
+    f"CASE WHEN {bucket_sql('o_orderkey', _SEED, POISSON_STEPS)} >= {limit} THEN 1 ELSE 0 END" for limit in poisson_thresholds(_RATE)
+)
 
-def bucket_sql(column: str, salt: int = 0) -> str:
-    return f"(((({column} % 2147483647 + {salt}) % 2147483647) * 2654435761) % 4294967296) // 65536 % 100"
+
+@query(f"SELECT o_orderkey FROM (SELECT o_orderkey, unnest(range({_COPIES})) FROM orders)")
+def sample_replace(t: Tables) -> DataFrame:
+    return sample_with_replacement(t.orders.select("o_orderkey"), "o_orderkey", _RATE, _SEED)
 
 
 @query(f"""
@@ -87,5 +99,4 @@ def stratified_orders(t: Tables) -> DataFrame:
 SELECT o_orderkey, CASE WHEN {bucket_sql('o_orderkey', 1000003)} < 70 THEN 'train' ELSE 'test' END AS side FROM orders
 """, name="train_test_split")
 def split_orders(t: Tables) -> DataFrame:
-    train, test = train_test_split(t.orders.select("o_orderkey"), "o_orderkey")
-    return train.withColumn("side", F.lit("train")).union(test.withColumn("side", F.lit("test")))
+    return t.orders.select("o_orderkey", split_side("o_orderkey").alias("side"))

@@ -54,6 +54,24 @@ def src_csv_header(t: Tables) -> DataFrame:
     return read_delimited(t.spark, path, _ORDERS, sep=",", header=True)
 
 
+@query("""
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, o_orderpriority FROM orders
+""")
+def src_csv_header_strings(t: Tables) -> DataFrame:
+    path = t.scratch("csv-strings")
+    write_report(_orders(t).drop("o_totalprice"), path, few_files=False)
+    return read_delimited(t.spark, path, sep=",", header=True)
+
+
+@query(_ORDERS_SQL)
+def src_csv_header_inferred(t: Tables) -> DataFrame:
+    path = t.scratch("csv-inferred")
+    write_report(_orders(t), path, few_files=False)
+    inferred = read_delimited(t.spark, path, sep=",", header=True, infer=True)
+    # inference picks the narrowest integer type the values need
+    return inferred.withColumns({c: F.col(c).cast("bigint") for c in ("o_orderkey", "o_custkey")})
+
+
 @query("SELECT l_orderkey, l_extendedprice FROM lineitem WHERE l_quantity >= 49")
 def src_parquet(t: Tables) -> DataFrame:
     return t.lineitem.where("l_quantity >= 49").select("l_orderkey", "l_extendedprice")
@@ -79,10 +97,10 @@ def src_text_split(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT o_orderkey, meaning FROM orders JOIN (VALUES ('F', 'finished'), ('O', 'open')) s(code, meaning) ON o_orderstatus = code
+SELECT o_orderkey, meaning FROM orders JOIN (VALUES ('F', 'finished'), ('O', 'open'), ('P', 'pending')) s(code, meaning) ON o_orderstatus = code
 """)
 def src_inline(t: Tables) -> DataFrame:
-    meanings = t.spark.createDataFrame([("F", "finished"), ("O", "open")], "o_orderstatus string, meaning string")
+    meanings = t.spark.createDataFrame([("F", "finished"), ("O", "open"), ("P", "pending")], "o_orderstatus string, meaning string")
     return t.orders.join(meanings, "o_orderstatus").select("o_orderkey", "meaning")
 
 

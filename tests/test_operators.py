@@ -1,5 +1,7 @@
 """Joins, keyed aggregation, sets, reshaping, partitions, expressions."""
 
+import math
+import time
 from collections import Counter
 
 import pytest
@@ -9,9 +11,9 @@ from pyspark.sql import functions as F
 from conftest import rows
 from driftwell.functions.numbers import percent, safe_ratio
 from driftwell.functions.text import is_json_array, jvm_split
-from driftwell.functions.time import days_before, epoch_ms_to_day, previous_day
+from driftwell.functions.time import day_bounds_ms, days_before, epoch_ms_to_day, previous_day
 from driftwell.operators import joins, keyed, partitions, reshape, sampling, sets
-from driftwell.operators.skew import hot_groups
+from driftwell.plans.auctions import bids_per_item
 
 
 def pairs(spark, data, schema="k int, v int"):
@@ -83,15 +85,23 @@ def test_values_by_key_splits_hot_keys_and_keeps_every_value(spark):
 
 def test_keyed_sums_and_counts(spark):
     frame = pairs(spark, [("a", "1"), ("a", "2"), ("b", "5")], "k string, v string")
-    assert rows(keyed.sum_by_key(frame, "k", "v")) == [("a", 3), ("b", 5)]
+    assert rows(keyed.sum_by_key(frame, "k", "v")) == [("a", 3.0), ("b", 5.0)]
     assert rows(keyed.count_by_key(frame, "k")) == [("a", 2), ("b", 1)]
 
 
+def test_sums_and_means_keep_every_digit(spark):
+    frame = spark.createDataFrame([("a", 0.9), ("a", 0.9), ("b", 1e17)], "k string, v double")
+    assert rows(keyed.sum_by_key(frame, "k", "v")) == [("a", 1.8), ("b", 1e17)]
+    bids = spark.createDataFrame([("x", 0.001), ("x", 0.002), ("x", 0.004), ("y", 1e17), ("z", None)], "item string, bid double")
+    means = {r["item"]: r["avg_bid"] for r in bids_per_item(bids).collect()}
+    assert means["x"] == pytest.approx(0.007 / 3) and means["y"] == 1e17 and means["z"] is None
+
+
 def test_pivot_takes_the_first_row_and_names_the_null_column(spark):
     data = [(1, "A", "201701", "I", 1), (1, "A", "201701", "Z", 2), (1, "A", "201702", "D", 3), (2, None, None, None, 4)]
     frame = spark.createDataFrame(data, "tid int, tkr string, dt string, stat string, id int")
     labelled = frame.withColumn("p", F.concat(F.lit("T"), "dt"))
-    wide = reshape.pivot_first(labelled, ["tid", "tkr"], "p", "stat", "id")
+    wide = reshape.pivot_first(labelled, ["tid", "tkr"], "p", "stat", "id", ["T201701", "T201702", "null"])
     assert rows(wide, "tid", "T201701", "T201702", "null") == [(1, "I", "D", None), (2, None, None, None)]
     filled = reshape.fill_null(wide, "N/A", ["T201701", "T209901"])
     assert rows(filled, "tid", "T201701", "T201702") == [(1, "I", "D"), (2, "N/A", None)]
@@ -116,19 +126,36 @@ def test_duplicate_profile(spark):
     assert rows(reshape.duplicate_profile(frame.limit(0))) == [(0, 0)]
 
 
-def test_partitions(spark):
-    sliced = partitions.slice_by_id(spark.range(2500), "id")
-    assert sliced.rdd.getNumPartitions() == 3
-    assert rows(partitions.first_per_partition(sliced, "id")) == [(0, 0), (1, 1000), (2, 2000)]
-    tagged = {r[0] for r in partitions.tag_partition(sliced, "id").collect()}
-    assert {"0|999", "1|1000", "2|2499"} <= tagged and len(tagged) == 2500
-    assert partitions.slice_by_id(spark.range(0), "id").count() == 0
+def test_values_by_key_depend_on_the_key_alone(spark):
+    """The same parts for any partitioning and whatever other keys hold."""
+    frame = spark.range(1050).selectExpr("1 AS k", "id AS v")
+    other = spark.range(5000).selectExpr("2 AS k", "id AS v")
+    expected = rows(keyed.values_by_key(frame, "k", "v", "v", part_size=1000))
+    assert [r[2] for r in expected] == [2, 2]
+    for n in (1, 3, 9):
+        found = keyed.values_by_key(frame.union(other).repartition(n), "k", "v", "v", part_size=1000)
+        assert rows(found.where("k = 1")) == expected
 
 
-def test_sample_with_replacement_can_repeat(spark):
-    drawn = sampling.sample_with_replacement(spark.range(5000), 0.4, 3)
-    assert 1700 < drawn.count() < 2300
-    assert drawn.distinct().count() < drawn.count()
+def test_partitions(spark):
+    ids = partitions.id_range(spark, 0, 10, partitions=4)
+    assert ids.rdd.getNumPartitions() == 4
+    assert rows(partitions.first_per_partition(ids, "id")) == [(0, 0), (1, 2), (2, 5), (3, 7)]
+    assert {"0|1", "3|9"} <= {r[0] for r in partitions.tag_partition(ids, "id").collect()}
+    assert rows(partitions.id_range(spark, 5, 11, step=5, partitions=1)) == [(5,), (10,)]
+    assert partitions.id_range(spark, 0, 0, partitions=3).count() == 0
+
+
+def test_sample_with_replacement_repeats_and_can_be_repeated(spark):
+    ids = spark.range(20_000)
+    drawn = sampling.sample_with_replacement(ids, "id", 0.4, 3)
+    copies = Counter(Counter(r[0] for r in drawn.collect()).values())
+    expected = [20_000 * share for share in (0.4 * math.exp(-0.4), 0.08 * math.exp(-0.4))]
+    assert all(abs(copies[n + 1] - e) < 0.1 * e for n, e in enumerate(expected))
+    for n in (2, 3, 5):
+        assert rows(sampling.sample_with_replacement(ids.repartition(n), "id", 0.4, 3)) == rows(drawn)
+    assert rows(sampling.sample_with_replacement(ids, "id", 0.4, 4)) != rows(drawn)
+    assert sampling.poisson_thresholds(2.5)[-1] == sampling.POISSON_STEPS
 
 
 @pytest.mark.parametrize(
@@ -143,6 +170,18 @@ def test_jvm_split(spark, text, separator, expected):
     assert frame.select(jvm_split(F.col("t"), separator)).first()[0] == expected
 
 
+def test_jvm_split_is_linear(spark):
+    """Long inner runs of the separator must not be looked at again and again."""
+    run = 100_000
+    frame = spark.range(20).select(F.concat(F.lit("a"), F.repeat(F.lit(" "), run), F.lit("b")).alias("t"))
+    frame.select(F.size(jvm_split(F.col("t"), " "))).first()
+    began = time.perf_counter()
+    assert {r[0] for r in frame.select(F.size(jvm_split(F.col("t"), " "))).collect()} == {run + 1}
+    assert time.perf_counter() - began < 10
+    with pytest.raises(ValueError):
+        jvm_split(F.col("t"), "||")
+
+
 def test_expressions(spark):
     frame = spark.createDataFrame([(1, 4, "[1]"), (1, 0, " [2]"), (None, 1, "x"), (2, 8, None)], "a int, b int, t string")
     assert [r[0] for r in frame.select(safe_ratio(F.col("a"), F.col("b"))).collect()] == [0.25, None, None, 0.25]
@@ -153,15 +192,10 @@ def test_expressions(spark):
 def test_dates(spark):
     frame = spark.createDataFrame([(1_704_931_199_999,), (1_704_931_200_000,), (-1,)], "ms bigint")
     assert [r[0] for r in frame.select(epoch_ms_to_day(F.col("ms"))).collect()] == ["2024-01-10", "2024-01-11", "1969-12-31"]
+    assert day_bounds_ms("2024-01-10") == (1_704_844_800_000, 1_704_931_200_000)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    assert [r[0] for r in frame.select(epoch_ms_to_day(F.col("ms"))).collect()] == ["2024-01-10", "2024-01-11", "1969-12-31"]
+    spark.conf.set("spark.sql.session.timeZone", zone)
     assert str(frame.select(days_before("2024-03-01")).first()[0]) == "2024-02-29"
     assert previous_day("2024-03-01") == "2024-02-29" and previous_day("2024-01-01", 2) == "2023-12-30"
-
-
-def test_hot_groups(spark):
-    frame = spark.range(60_000).selectExpr("CASE WHEN id % 3 = 0 THEN NULL ELSE id END AS k", "id")
-    [hot] = hot_groups(frame, ["k"], 10_000, 5)
-    assert hot["k"] is None and 15_000 < hot["_n"] < 25_000
-    assert hot_groups(frame, ["k"], 40_000, 5) == []
-    [everything] = hot_groups(frame, [], 50, 5)
-    assert everything["_n"] == 60_000
-    assert hot_groups(frame.limit(0), ["k"], 0, 5) == [] and hot_groups(frame.limit(0), [], 0, 5) == []

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from driftwell.operators import joins, keyed, windows
+from driftwell.plans import match_rate
 from driftwell.queries import QUERIES
 
 
@@ -26,8 +27,9 @@ def test_no_python_and_no_cross_join(spark, tables_dir, name):
         ("src_parquet", ["GreaterThanOrEqual(l_quantity,49.0)", "ReadSchema: struct<l_orderkey:bigint,l_quantity:double,l_extendedprice:double>"]),
         ("rpt_unassigned_groups", ["Not(EqualTo(s_suppkey,85))"]),
         ("kv_count", ["ReadSchema: struct<l_suppkey:bigint>", "partial_count"]),
-        ("agg_min_max_avg", ["partial_min", "partial_sum"]),
+        ("agg_min_max_avg", ["partial_min", "partial_avg"]),
         ("topk", ["TakeOrderedAndProject"]),
+        ("win_first_value", ["WindowGroupLimit"]),
     ],
 )
 def test_pushdown_pruning_and_partial_aggregates(spark, tables_dir, name, expected):
@@ -82,9 +84,27 @@ def _collected_plan(frame):
         lambda f: keyed.values_by_key(f, "k", "v", "id", part_size=1000),
         lambda f: joins.star_join(f, (f.sparkSession.range(5000).selectExpr("id AS k", "id * 2 AS w"), "k")),
         lambda f: joins.greatest_per_group(f.withColumn("v", F.lit(1)), "k", "v"),
-        lambda f: windows.rank(f.withColumn("o", F.lit(1)), ["k"], ["o"], "r", hot_rows=100),
+        lambda f: windows.rank(f.withColumn("o", F.lit(1)), ["k"], ["o"], "r", slices=8),
     ],
     ids=["count_back", "anti_nullsafe", "first_value", "values_by_key", "star_join", "greatest_per_group", "rank"],
 )
 def test_hot_keys_are_split(spark, small_thresholds, build):
     assert "skew=true" in _collected_plan(build(skewed(spark)))
+
+
+def test_day_of_visits_reaches_the_scan(spark, tmp_path):
+    visits = spark.range(10).selectExpr("id AS idvisit", "'u' AS idvisitor", "id * 86400000 AS visit_last_action_time")
+    visits.write.parquet(f"{tmp_path}/visits")
+    names = {
+        "matched": "mvid string, pwid string, pwsid int", "actions": "idaction bigint, name string",
+        "links": "idvisit bigint, idaction_url bigint", "profiles": "mvid string, tdid string, bmid string",
+    }
+    frames = {k: spark.createDataFrame([], v) for k, v in names.items() if k != "links"}
+    links = spark.range(10).selectExpr("id AS idvisit", "1L AS idaction_url")
+    frames["actions"] = spark.range(1, 2).selectExpr("id AS idaction", "'x' AS name")
+    rates = match_rate.match_rate(
+        spark, frames["matched"], frames["actions"], spark.read.parquet(f"{tmp_path}/visits"), links, frames["profiles"], url="x", run_date="1970-01-03"
+    )
+    plan = plan_of(rates)
+    assert "GreaterThanOrEqual(visit_last_action_time,86400000)" in plan and "LessThan(visit_last_action_time,172800000)" in plan
+    assert rates.first()["unmatched_piwik_users"] == 1.0
