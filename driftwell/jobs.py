@@ -3,7 +3,8 @@
     spark-submit driftwell/jobs.py <job> --root <path> --run-date <yyyy-MM-dd> [job options]
 
 A job works on the day before its run date.  Everything lies below ``--root``, on any file system
-Spark can reach; master files are headerless and ``|``-separated.  A rerun replaces its day.
+Spark can reach; master files are headerless and ``|``-separated.  A rerun replaces its day.  A day
+without a source is an error, or with ``--allow-missing`` leaves everything as it is.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from driftwell.functions.time import previous_day
@@ -20,9 +22,9 @@ from driftwell.operators.reshape import duplicate_profile
 from driftwell.operators.sampling import stratified_downsample, train_test_split
 from driftwell.plans import ad_groups, audit_log, auctions, features, keyword_reports, match_rate, quality
 from driftwell.schemas import AUDIT_LOG, KEYWORD_MASTER, WRITE_REPORT
-from driftwell.session import build_session, scratch_path
+from driftwell.session import build_session, delete_path, scratch
 from driftwell.sources.readers import read_delimited, read_ordinal, read_or_empty
-from driftwell.sources.writers import append_table, stage, write_lines, write_report, write_snapshot
+from driftwell.sources.writers import replace_partitions, stage, write_lines, write_report, write_snapshot
 from driftwell.streaming.word_count import file_lines, start_word_count
 
 # Positions of the used columns in the master files.
@@ -49,23 +51,50 @@ def persisted(frame: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DI
         frame.unpersist()
 
 
-def _log(spark: SparkSession, root: str, day: str) -> DataFrame:
-    """The log of a day.  JSON escapes its newlines, so a record is a line and large files can be split."""
+def _log(spark: SparkSession, root: str, day: str, allow_missing: bool) -> DataFrame | None:
+    """The log of a day.  JSON escapes its newlines, so a record is a line and large files can be split.
+
+    Without a source the result is None if that is allowed: an absent input must never replace a
+    day that is there.
+    """
     path = f"{root}/auditlog/source/dt={day}"
-    return read_or_empty(spark, lambda: read_delimited(spark, path, AUDIT_LOG), AUDIT_LOG)
+    try:
+        return read_delimited(spark, path, AUDIT_LOG)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND" or not allow_missing:
+            raise
+        return None
 
 
-def shred_audit_log(spark: SparkSession, root: str, run_date: str, *, min_rows: int = 1) -> list[str]:
+def shred_audit_log(
+    spark: SparkSession, root: str, run_date: str, *, min_rows: int = 1, allow_missing: bool = False
+) -> list[str]:
     """Shred the day's log; returns the names of the tables written."""
     day = previous_day(run_date)
-    staging = scratch_path(spark, "audit-log")
-    return audit_log.shred_day(_log(spark, root, day), f"{root}/auditlog", day, staging, min_rows=min_rows)
+    log = _log(spark, root, day, allow_missing)
+    if log is None:
+        return []
+    with scratch(spark, "audit-log") as staging:
+        return audit_log.shred_day(log, f"{root}/auditlog", day, staging, min_rows=min_rows)
+
+
+def report_keywords(
+    spark: SparkSession, root: str, run_date: str, *, min_rows: int = 1, allow_missing: bool = False
+) -> list[str]:
+    """Write, summary and create report of the day's keyword changes; returns those written.
+
+    Reports without enough rows are deleted, should an earlier run have left them.
+    """
+    log = _log(spark, root, previous_day(run_date), allow_missing)
+    if log is None:
+        return []
+    with scratch(spark, "keyword-records") as staging:
+        records = stage(keyword_reports.keyword_records(log), staging)
+        return _keyword_reports(spark, root, run_date, records, min_rows)
 
 
-def report_keywords(spark: SparkSession, root: str, run_date: str, *, min_rows: int = 1) -> list[str]:
-    """Write, summary and create report of the day's keyword changes; returns those written."""
+def _keyword_reports(spark: SparkSession, root: str, run_date: str, records: DataFrame, min_rows: int) -> list[str]:
     day = previous_day(run_date)
-    records = stage(keyword_reports.keyword_records(_log(spark, root, day)), scratch_path(spark, "keyword-records"))
     # at most one row per report
     kinds = records.where(F.col("Summary").isin(keyword_reports.WRITE, keyword_reports.CREATE))
     sizes = {r["Summary"]: r["count"] for r in kinds.groupBy("Summary").count().collect()}
@@ -81,6 +110,8 @@ def report_keywords(spark: SparkSession, root: str, run_date: str, *, min_rows:
         path = f"{root}/reports/keyword_create/dt={day}"
         write_report(keyword_reports.create_report(records), path, mode="overwrite")
         written.append("keyword_create")
+    for name in {"keyword_write", "keyword_summary", "keyword_create"} - set(written):
+        delete_path(spark, f"{root}/reports/{name}/dt={day}")
     return written
 
 
@@ -135,7 +166,7 @@ def snapshot_matches(spark: SparkSession, root: str, run_date: str) -> None:
 
 
 def record_match_rate(spark: SparkSession, root: str, run_date: str, *, url: str) -> None:
-    """Add the day's match rates of a url to the statistics table."""
+    """The day's match rates of a url in the statistics table, which has a partition for each."""
     rates = match_rate.match_rate(
         spark,
         spark.read.parquet(f"{root}/matched_daily/{previous_day(run_date)}"),
@@ -146,7 +177,7 @@ def record_match_rate(spark: SparkSession, root: str, run_date: str, *, url: str
         url=url,
         run_date=run_date,
     )
-    append_table(rates, STATISTICS)
+    replace_partitions(rates, STATISTICS, "Date", "url")
 
 
 def export_users(spark: SparkSession, root: str, run_date: str, *, table: str = USER_TABLE) -> None:
@@ -175,16 +206,18 @@ def check_events(spark: SparkSession, root: str, run_date: str, *, column: str =
 
 
 def prepare_flights(spark: SparkSession, root: str, run_date: str) -> None:
-    """Balanced training and test rows from flight lines."""
+    """Balanced training and test rows from flight lines; rows that lack a feature go to ``rejects``."""
     flights = spark.read.schema(features.FLIGHT).csv(f"{root}/flights")
     # the row id: a hash of the whole line, the same in every run
     identified = flights.withColumn("row_id", F.xxhash64(*flights.columns))
-    rows = stage(features.feature_rows(identified, ["row_id"]), scratch_path(spark, "flight-features"))
-    balanced = stratified_downsample(rows, "label", "row_id", {0.0: ON_TIME_KEPT})
     base = f"{root}/flight_features/dt={previous_day(run_date)}"
-    # from the staged rows, which are read once for each side
-    for name, part in zip(("train", "test"), train_test_split(balanced, "row_id")):
-        write_snapshot(features.labelled_points(part), f"{base}/{name}")
+    with scratch(spark, "flight-features") as staging:
+        rows = stage(features.feature_rows(identified, ["row_id"]), staging)
+        balanced = stratified_downsample(rows, "label", "row_id", {0.0: ON_TIME_KEPT})
+        # from the staged rows, which are read once for each side
+        for name, part in zip(("train", "test"), train_test_split(balanced, "row_id")):
+            write_snapshot(features.labelled_points(part), f"{base}/{name}")
+        write_snapshot(features.incomplete_rows(balanced), f"{base}/rejects")
 
 
 def count_words(spark: SparkSession, root: str, run_date: str, *, available_now: bool = False) -> None:
@@ -217,6 +250,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--root", required=True)
     parser.add_argument("--run-date", required=True)
     parser.add_argument("--url", help="record-match-rate: text the action's name must hold")
+    parser.add_argument("--allow-missing", action="store_true", help="audit log and keywords: accept a day without a source")
     parser.add_argument("--min-rows", type=int, help="audit log and keywords: fewest rows worth a table")
     chosen = parser.parse_args(arguments)
     options = {}
@@ -224,6 +258,8 @@ def main(arguments: list[str] | None = None) -> None:
         options["url"] = chosen.url
     if chosen.min_rows is not None:
         options["min_rows"] = chosen.min_rows
+    if chosen.allow_missing:
+        options["allow_missing"] = True
     spark = build_session(f"driftwell {chosen.job}")
     JOBS[chosen.job](spark, chosen.root, chosen.run_date, **options)
 

@@ -7,7 +7,8 @@ per-day schema, no shuffle.
 
 Old values are dispatched row by row.  An array gives one row for each element, in the typed
 columns, with ``OldValue`` null; anything else gives one row whose ``OldValue`` is its raw text
-(null for null).  New values are always exploded, so one that is not an array gives no row.
+(null for null).  New values are always exploded; one that is not an array is a reject, as is a
+record whose details are not JSON.
 """
 
 from __future__ import annotations
@@ -15,11 +16,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field as dataclass_field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from driftwell.functions.text import is_json_array
 from driftwell.schemas import DETAILS
+from driftwell.session import delete_path
 from driftwell.sources.readers import json_rows
 from driftwell.sources.writers import stage
 
@@ -50,7 +53,7 @@ class ElementField:
 
 
 # Record kinds, output names, and which kinds have a type and a parent.
-LOG_MASTER = "logmaster"
+LOG_MASTER, REJECTS = "logmaster", "rejects"
 AD_GROUP = Entity("MV_AdGroup", "logadgroup")
 AUDIENCE = Entity("Audience", "audience")
 SITE = Entity("MV_Site", "site", has_parent=False)
@@ -129,6 +132,25 @@ def rejects(parsed: DataFrame) -> DataFrame:
     return parsed.where("details._corrupt is not null").select("Id", "Source", F.col("details._corrupt").alias("Details"))
 
 
+def rejected_values(fields: DataFrame, spec: ElementField) -> DataFrame:
+    """New values of an array field that are not such an array: ``eid, fieldName, newValue``."""
+    given = fields.where((F.col("fieldName") == spec.name) & F.col("newValue").isNotNull())
+    return given.where(_array_of("newValue", spec).isNull()).select("eid", "fieldName", "newValue")
+
+
+def all_rejects(parsed: DataFrame, fields: DataFrame | None = None) -> DataFrame:
+    """What no other table holds: ``Id, Source, fieldName, text``; a whole record has no field name.
+
+    ``fields`` are the ad groups' field rows, where they are at hand.
+    """
+    group = AD_GROUP.source
+    rows = field_rows(parsed, group) if fields is None else fields
+    arrays = [_array_of("newValue", spec).isNull() & (F.col("fieldName") == spec.name) for spec in ELEMENT_FIELDS]
+    values = rows.where(F.col("newValue").isNotNull() & reduce(lambda a, b: a | b, arrays))
+    records = rejects(parsed).select("Id", "Source", F.lit(None).cast("string").alias("fieldName"), F.col("Details").alias("text"))
+    return records.unionAll(values.select("eid", F.lit(group), "fieldName", "newValue"))
+
+
 def log_master(log: DataFrame) -> DataFrame:
     return log.select("Id", "UserName", "AuditTypeId", "Source", "Summary", "LogDateTime", "WhoId")
 
@@ -248,6 +270,8 @@ class Output:
     source: str | None
     field_name: str | None
     build: Callable[[DataFrame], DataFrame]
+    # The same from field rows of the ad groups, for the tables of one field.
+    of_fields: Callable[[DataFrame], DataFrame] | None = None
 
 
 def _output_tables() -> dict[str, Output]:
@@ -260,13 +284,21 @@ def _output_tables() -> dict[str, Output]:
     tables[URLS_OUTPUT] = Output(SITE.source, None, lambda p: site_urls(field_rows(p, SITE.source)))
     group = AD_GROUP.source
     for spec in ELEMENT_FIELDS:
-        tables[f"{spec.output}/new"] = Output(group, spec.name, lambda p, s=spec: new_elements(field_rows(p, group), s))
-        tables[f"{spec.output}/old"] = Output(group, spec.name, lambda p, s=spec: old_elements(field_rows(p, group), s))
-    tables[AUDIENCE_OUTPUT] = Output(group, AUDIENCE_FIELD, lambda p: audience_changes(field_rows(p, group)))
+        for side, elements in (("new", new_elements), ("old", old_elements)):
+            of_fields = lambda f, s=spec, e=elements: e(f, s)
+            tables[f"{spec.output}/{side}"] = Output(
+                group, spec.name, lambda p, of=of_fields: of(field_rows(p, group)), of_fields
+            )
+    tables[AUDIENCE_OUTPUT] = Output(
+        group, AUDIENCE_FIELD, lambda p: audience_changes(field_rows(p, group)), audience_changes
+    )
+    tables[REJECTS] = Output(None, None, all_rejects)
     return tables
 
 
 OUTPUTS = _output_tables()
+# The staging directory of all records without an entity table.
+OTHER_KIND = "other"
 # Tables written at the same time.
 WRITERS = 4
 
@@ -282,25 +314,27 @@ def shred_day(
 ) -> list[str]:
     """Write all tables of one day below ``target`` and return the names of those written.
 
-    The parsed records are written to ``staging`` once, one directory per record kind; each table
-    then reads only its kind's directory, so the log is read and parsed once, and a lost executor
-    costs a re-read of parquet rather than a new parse.  A table is written if its record kind, and
-    its field where it has one, has at least ``min_rows`` rows.  Each table goes to ``dt=<day>``,
-    where an existing day is replaced, which makes a rerun safe; ``mode="errorifexists"`` refuses.
+    The parsed records are written below ``staging`` once, one directory per known record kind and
+    one for all others, in files sized by their bytes; the ad groups' special fields are exploded
+    once, one directory per field.  Each table then reads only its own directory, and a lost
+    executor costs a re-read of parquet rather than a new parse.  A table is written if its record
+    kind, and its field where it has one, has at least ``min_rows`` rows.  Each table goes to
+    ``dt=<day>``, where an existing day is replaced; where there is nothing to write it is deleted,
+    so a rerun leaves nothing of an earlier run.  ``mode="errorifexists"`` refuses instead.
+    The caller deletes ``staging``.
     """
-    parsed = stage(parse_log(log), staging, "Source")
-    special = [spec.name for spec in ELEMENT_FIELDS] + [AUDIENCE_FIELD]
-    # All gates from one pass.  The result has one row per record kind and one per special field.
-    kinds = parsed.groupBy("Source").agg(F.count("*").alias("n")).select("Source", F.lit(None).cast("string"), "n")
-    fields = (
-        field_rows(parsed, AD_GROUP.source)
-        .where(F.col("fieldName").isin(special))
-        .groupBy("fieldName")
-        .agg(F.count("*").alias("n"))
-        .select(F.lit(AD_GROUP.source), "fieldName", "n")
-    )
+    spark = log.sparkSession
     known = [e.source for e in ENTITIES] + [AUDIENCE.source]
-    sizes = {(r[0], r[1]): r[2] for r in kinds.where(F.col("Source").isin(known)).union(fields).collect()}
+    kind = F.when(F.col("Source").isin(*known), F.col("Source")).otherwise(OTHER_KIND)
+    parsed = stage(parse_log(log).withColumn("kind", kind).hint("rebalance", "kind"), f"{staging}/records", "kind")
+    special = [spec.name for spec in ELEMENT_FIELDS] + [AUDIENCE_FIELD]
+    of_group = parsed.where(F.col("kind") == AD_GROUP.source)
+    exploded = field_rows(of_group, AD_GROUP.source).where(F.col("fieldName").isin(*special))
+    fields = stage(exploded.hint("rebalance", "fieldName"), f"{staging}/fields", "fieldName")
+    # All gates: one row per record kind and one per special field.
+    kinds = parsed.groupBy("kind").agg(F.count("*").alias("n")).select("kind", F.lit(None).cast("string"), "n")
+    per_field = fields.groupBy("fieldName").agg(F.count("*").alias("n")).select(F.lit(AD_GROUP.source), "fieldName", "n")
+    sizes = {(r[0], r[1]): r[2] for r in kinds.union(per_field).collect()}
 
     def wanted(output: Output) -> bool:
         gates = [] if output.source is None else [(output.source, None)]
@@ -309,11 +343,19 @@ def shred_day(
         return all(sizes.get(gate, 0) >= min_rows for gate in gates)
 
     def write(name: str) -> None:
-        table = OUTPUTS[name].build(parsed)
-        # A single field's rows are a small share of what is read: fewer, fuller files.
-        arranged = table.hint("rebalance") if OUTPUTS[name].field_name is not None else table
-        arranged.write.mode(mode).parquet(f"{target}/{name}/dt={day}")
-
+        output = OUTPUTS[name]
+        if name == REJECTS:
+            table = all_rejects(parsed, fields)
+        elif output.of_fields is not None:
+            table = output.of_fields(fields.where(F.col("fieldName") == output.field_name))
+        else:
+            table = output.build(parsed if output.source is None else parsed.where(F.col("kind") == output.source))
+        table.write.mode(mode).parquet(f"{target}/{name}/dt={day}")
+
+    if mode == "overwrite":
+        for name, output in OUTPUTS.items():
+            if not wanted(output):
+                delete_path(spark, f"{target}/{name}/dt={day}")
     written = [name for name, output in OUTPUTS.items() if wanted(output)]
     # The tables do not depend on one another; side by side, the tail of one fills with the next.
     with ThreadPoolExecutor(max_workers=WRITERS) as pool:

@@ -115,14 +115,18 @@ def _values_of(name: str) -> Column:
 
 
 def create_report(records: DataFrame) -> DataFrame:
-    """Created keywords: one row per record that gives all six fields, each possibly null.
+    """Created keywords: one row per audit id that gives all six fields, each possibly null.
 
-    The fields of a record sit in one array, so no join and no shuffle is needed: each wanted field
-    is picked out of the array and exploded.  A missing field gives no row and a field given twice
-    gives a row for each, as joining the fields by audit id would.
+    The fields of an audit id may come from several of its records.  They are gathered per id, the
+    wanted ones only, and each is exploded: a missing field gives no row, one given several times a
+    row for each, and several records of an id are each shown with all of its fields, as joining
+    six frames by audit id would.
     """
-    rows = records.where(F.col("Summary") == CREATE).select("Id", "UserName", "LogDateTime", "details.fields")
+    creates = records.where((F.col("Summary") == CREATE) & F.col("Id").isNotNull())
+    users = creates.select("Id", "UserName", "LogDateTime")
+    wanted = F.filter("details.fields", lambda f: f["fieldName"].isin(*CREATE_FIELDS))
+    rows = creates.select("Id", wanted.alias("fields")).groupBy("Id").agg(F.flatten(F.collect_list("fields")).alias("fields"))
     for name in CREATE_FIELDS:
         rows = rows.withColumn(f"_{name}", F.explode(_values_of(name)))
     values = [F.col(f"_{name}.v") for name in CREATE_FIELDS]
-    return rows.select("Id", "UserName", "LogDateTime", *values).toDF(*CREATE_COLUMNS)
+    return users.join(rows, "Id").select("Id", "UserName", "LogDateTime", *values).toDF(*CREATE_COLUMNS)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -48,3 +50,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             _local_scratch = tempfile.mkdtemp(prefix="driftwell-")
         base = _local_scratch
     return f"{base.rstrip('/')}/driftwell/{label}-{uuid.uuid4().hex}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a path on whatever file system it names; one that is absent is fine."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """A scratch path for the length of a block; what was written there is deleted at its end."""
+    path = scratch_path(spark, label)
+    try:
+        yield path
+    finally:
+        delete_path(spark, path)

@@ -21,16 +21,19 @@ def read_delimited(
     header: bool = False,
     null_token: str | None = None,
     multi_line: bool = False,
+    infer: bool = False,
 ) -> DataFrame:
     """Delimited text.
 
-    ``schema`` None means all strings.  Quotes inside quoted fields are doubled.  ``multi_line``
+    ``schema`` None means all strings, or with ``infer`` types found in one more pass over the file.  Quotes inside quoted fields are doubled.  ``multi_line``
     lets a quoted field hold a newline; such a file can not be split among tasks, so leave it off
     where fields are known to be one line.
     """
     reader = spark.read.option("sep", sep).option("header", header).option("escape", '"')
     if schema is not None:
         reader = reader.schema(schema)
+    elif infer:
+        reader = reader.option("inferSchema", True)
     if null_token is not None:
         reader = reader.option("nullValue", null_token)
     if multi_line:

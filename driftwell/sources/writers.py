@@ -49,6 +49,20 @@ def append_table(frame: DataFrame, table: str, *, path: str | None = None) -> No
     writer.saveAsTable(table)
 
 
+def replace_partitions(frame: DataFrame, table: str, *partition_by: str) -> None:
+    """Write to a catalog table, made on first use, replacing the partitions the frame has rows of.
+
+    Running the same day again leaves the table as it was.
+    """
+    spark = frame.sparkSession
+    if not spark.catalog.tableExists(table):
+        frame.write.partitionBy(*partition_by).saveAsTable(table)
+        return
+    if spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() != "dynamic":
+        raise ValueError("set spark.sql.sources.partitionOverwriteMode to dynamic, or other partitions are lost")
+    frame.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+
+
 def write_report(
     frame: DataFrame,
     path: str,

@@ -1,6 +1,7 @@
 """The shredder on hand-made records."""
 
 import json
+import os
 
 import pytest
 
@@ -120,7 +121,7 @@ def test_whole_day(spark):
     assert set(names) == {
         "logmaster", "logadgroup", "site", "siteurls", "audience", "adgroup/audienceid",
         "adgroup/dayparting/new", "adgroup/dayparting/old", "adgroup/postal_codes/new", "adgroup/postal_codes/old",
-        "adgroup/geofences/new", "adgroup/geofences/old",
+        "adgroup/geofences/new", "adgroup/geofences/old", "rejects",
     }
     assert spark.read.parquet(f"{target}/logmaster").count() == len(LOG)
     assert spark.read.parquet(f"{target}/adgroup/dayparting/old").count() == 5
@@ -140,7 +141,7 @@ def test_gate_of_two_rows_leaves_out_single_records(spark):
 
 
 def test_output_names():
-    assert len(plan.OUTPUTS) == 31
+    assert len(plan.OUTPUTS) == 32
 
 
 def test_log_survives_a_delimited_file(spark):
@@ -157,3 +158,25 @@ def test_shred_undoes_wrapping(spark):
     wrapped = [record(i, "MV_Campaign", {"entityId": i, "fields": [change(f, n, o)]}) for i, f, n, o in fields]
     got = rows(plan.field_rows(plan.parse_log(spark.createDataFrame(wrapped, AUDIT_LOG)), "MV_Campaign"))
     assert got == fields
+
+
+def test_new_values_that_are_no_array_are_rejects(spark):
+    values = [{"x": 1}, 5, "text", [{"dayOfWeek": 1}], None, "[broken"]
+    log = [record(i, "MV_AdGroup", {"entityId": i, "fields": [change("dayPartings", v, None)]}) for i, v in enumerate(values)]
+    parsed = plan.parse_log(spark.createDataFrame([*log, (9, "u", 1, "MV_Site", "Write", "{broken", "d", "w")], AUDIT_LOG))
+    found = rows(plan.all_rejects(parsed), "Id", "Source", "fieldName")
+    assert [r[0] for r in found] == [0, 1, 2, 5, 9] and found[-1] == (9, "MV_Site", None)
+    assert rows(plan.rejected_values(plan.field_rows(parsed), plan.ELEMENT_FIELDS[0]), "eid") == [(0,), (1,), (2,), (5,)]
+
+
+def test_rerun_with_less_leaves_nothing_behind_and_empty_sources_survive(spark):
+    target = scratch_path(spark, "shred-less")
+    odd = [(50, "u", 1, "", "Write", None, "d", "w"), (51, "u", 1, None, "Write", None, "d", "w")]
+    plan.shred_day(spark.createDataFrame(LOG, AUDIT_LOG), target, "2024-01-01", f"{target}-a")
+    without = [r for r in LOG if r[3] != "MV_Site"] + odd
+    names = plan.shred_day(spark.createDataFrame(without, AUDIT_LOG), target, "2024-01-01", f"{target}-b")
+    assert "site" not in names and not os.path.exists(f"{target}/site/dt=2024-01-01")
+    master = spark.read.parquet(f"{target}/logmaster")
+    assert {r["Source"] for r in master.where("Id >= 50").collect()} == {"", None}
+    # one file for each kind, not one for each kind and task
+    assert all(len([f for f in os.listdir(d) if f.endswith(".parquet")]) <= 2 for d, _, _ in os.walk(f"{target}-b/records") if "kind=" in d)

@@ -4,10 +4,12 @@ import json
 import os
 import uuid
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import rows
-from driftwell import jobs
+from driftwell import jobs, session
 from driftwell.session import scratch_path
 from driftwell.schemas import AUDIT_LOG
 from driftwell.sources.writers import write_report
@@ -59,7 +61,7 @@ def test_audit_and_keyword_jobs(spark):
     masters(root)
     audit(spark, root)
     assert set(jobs.shred_audit_log(spark, root, RUN)) == {
-        "logmaster", "logadgroup", "adgroup/postal_codes/new", "adgroup/postal_codes/old",
+        "logmaster", "logadgroup", "adgroup/postal_codes/new", "adgroup/postal_codes/old", "rejects",
     }
     assert spark.read.parquet(f"{root}/auditlog/logmaster/dt={DAY}").count() == 3
     for _ in range(2):  # a rerun replaces the day
@@ -73,11 +75,50 @@ def test_audit_and_keyword_jobs(spark):
 
 def test_jobs_without_input(spark):
     root = scratch_path(spark, "jobs")
-    assert jobs.shred_audit_log(spark, root, RUN) == ["logmaster"]
-    assert jobs.report_keywords(spark, root, RUN) == []
+    for job in (jobs.shred_audit_log, jobs.report_keywords):
+        with pytest.raises(AnalysisException):
+            job(spark, root, RUN)
+        assert job(spark, root, RUN, allow_missing=True) == []
     assert jobs.summarize_keywords(spark, root, RUN) is False
 
 
+def test_absent_input_leaves_a_good_day(spark):
+    root = scratch_path(spark, "jobs")
+    masters(root)
+    audit(spark, root)
+    jobs.shred_audit_log(spark, root, RUN)
+    jobs.report_keywords(spark, root, RUN)
+    os.rename(f"{root}/auditlog/source", f"{root}/auditlog/gone")
+    for job in (jobs.shred_audit_log, jobs.report_keywords):
+        with pytest.raises(AnalysisException):
+            job(spark, root, RUN)
+        job(spark, root, RUN, allow_missing=True)
+    assert spark.read.parquet(f"{root}/auditlog/logmaster/dt={DAY}").count() == 3
+    assert len(text(spark, f"{root}/reports/keyword_summary/dt={DAY}")) == 2
+
+
+def test_rerun_with_other_input_replaces_the_reports(spark):
+    root = scratch_path(spark, "jobs")
+    masters(root)
+    audit(spark, root)
+    jobs.report_keywords(spark, root, RUN)
+    less = spark.createDataFrame([(3, "ann", 1, "MV_AdGroup", "Write", "{}", f"{DAY} 08:00", "w")], AUDIT_LOG)
+    write_report(less, f"{root}/auditlog/source/dt={DAY}", sep="|", header=False, quote_all=True, mode="overwrite")
+    assert jobs.report_keywords(spark, root, RUN) == []
+    assert not any(os.path.exists(f"{root}/reports/keyword_{name}/dt={DAY}") for name in ("write", "summary", "create"))
+
+
+def test_scratch_is_deleted_at_the_end_of_a_job(spark, monkeypatch):
+    root = scratch_path(spark, "jobs")
+    masters(root)
+    audit(spark, root)
+    used = []
+    monkeypatch.setattr(session, "scratch_path", lambda s, label: used.append(scratch_path(s, label)) or used[-1])
+    jobs.shred_audit_log(spark, root, RUN)
+    jobs.report_keywords(spark, root, RUN)
+    assert used and not any(os.path.exists(path) for path in used)
+
+
 def test_unassigned_ad_groups(spark):
     root = scratch_path(spark, "jobs")
     masters(root)
@@ -98,7 +139,7 @@ def test_match_jobs(spark, monkeypatch):
     jobs.snapshot_matches(spark, root, RUN)
     for _ in range(2):
         jobs.record_match_rate(spark, root, RUN, url="shop")
-    assert rows(spark.table(jobs.STATISTICS)) == [(DAY, "shop", 2.0, 1.0, 1.0, 50.0, 0.0, 100.0)] * 2
+    assert rows(spark.table(jobs.STATISTICS)) == [(2.0, 1.0, 1.0, 50.0, 0.0, 100.0, DAY, "shop")]
     spark.sql(f"DROP TABLE {jobs.STATISTICS}")
 
 
@@ -135,6 +176,16 @@ def test_flights(spark):
     assert delayed == sum(1 for i in range(600) if i % 60 > 40)
     assert 0.6 < train.count() / (train.count() + test.count()) < 0.8
     assert len(train.first()["features"]) == 8
+    assert spark.read.parquet(f"{base}/rejects").count() == 0
+
+
+def test_flights_that_lack_a_feature_are_set_aside(spark):
+    root = scratch_path(spark, "jobs")
+    put(f"{root}/flights", *[f"{1 + i % 28},{1 + i % 7},A{i % 3},N{i},1,1,JFK,2,LAX,{900 if i % 5 else ''},914,50,1225,1238,13,{i},2475" for i in range(100)])
+    jobs.prepare_flights(spark, root, RUN)
+    base = f"{root}/flight_features/dt={DAY}"
+    counts = [spark.read.parquet(f"{base}/{name}").count() for name in ("train", "test", "rejects")]
+    assert counts[2] == 20 and sum(counts) == 100
 
 
 def test_word_stream(spark):

@@ -93,6 +93,14 @@ def test_create_report_needs_every_field_and_keeps_nulls_and_repeats(spark):
     ]
 
 
+def test_create_report_gathers_the_records_of_an_audit_id(spark):
+    full = [(k, v, None) for k, v in zip(keyword_reports.CREATE_FIELDS, (5, "n", "c", "m", 8, 1))]
+    report = keyword_reports.create_report(
+        records(spark, keyword(1, "ann", 0, full[:3], summary="Create"), keyword(1, "bob", 0, full[3:], summary="Create"))
+    )
+    assert rows(report, "AUDIT ID", "USER ID", "KEYWORD ID", "STATE ID") == [(1, "ann", "5", "1"), (1, "bob", "5", "1")]
+
+
 def test_unassigned_ad_groups(spark):
     groups = spark.createDataFrame(
         [(1, "a", 7, 70, "null"), (2, "b", 7, 70, "33"), (3, "c", 8, 70, "null"), (4, "d", 7, 8583, "null"), (5, "e", 7, 71, None)],
@@ -175,8 +183,8 @@ def test_feature_rows(spark):
 
 def test_category_index_with_null(spark):
     frame = spark.createDataFrame([("b",), (None,), ("a",), ("b",)], "c string")
-    for hot_rows in (0, 10**9):
-        assert rows(features.category_index(frame, "c", hot_rows=hot_rows)) == [(None, 0), ("a", 1), ("b", 2)]
+    for slices in (None, 3):
+        assert rows(features.category_index(frame, "c", slices=slices)) == [(None, 0), ("a", 1), ("b", 2)]
 
 
 def test_samples_are_repeatable_and_sized(spark):
