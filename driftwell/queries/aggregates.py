@@ -10,7 +10,7 @@ from driftwell.operators.keyed import aggregate_by_key, count_by_key, sum_by_key
 from driftwell.operators.reshape import duplicate_profile, pivot_first
 from driftwell.plans.auctions import expensive_auctions
 from driftwell.plans.quality import distinct_ratio
-from driftwell.queries.catalog import Tables, query
+from driftwell.queries.catalog import Tables, exact_mean_sql, query
 
 
 @query("SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY 1, 2")
@@ -18,9 +18,8 @@ def agg_count(t: Tables) -> DataFrame:
     return t.lineitem.groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"))
 
 
-@query("""
-SELECT l_suppkey, min(l_extendedprice) AS min_bid, max(l_extendedprice) AS max_bid,
-       round(avg(l_extendedprice), 6) AS avg_bid
+@query(f"""
+SELECT l_suppkey, min(l_extendedprice) AS min_bid, max(l_extendedprice) AS max_bid, {exact_mean_sql("l_extendedprice")} AS avg_bid
 FROM lineitem GROUP BY 1
 """)
 def agg_min_max_avg(t: Tables) -> DataFrame:
@@ -28,8 +27,8 @@ def agg_min_max_avg(t: Tables) -> DataFrame:
     return t.lineitem.groupBy("l_suppkey").agg(
         F.min(price).alias("min_bid"),
         F.max(price).alias("max_bid"),
-        # rounded, as the last digits depend on the order of addition
-        F.round(F.avg(price), 6).alias("avg_bid"),
+        # as decimals, since the last digits of a mean of doubles depend on the order of addition
+        F.avg(price.cast("decimal(18,2)")).cast("double").alias("avg_bid"),
     )
 
 
@@ -123,14 +122,12 @@ def kv_count(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT round(sum(o_totalprice), 2) AS total, count(*) AS n, round(sum(o_totalprice) / count(*), 6) AS mean FROM orders
+SELECT round(sum(o_totalprice), 2) AS total, count(*) AS n, round(sum(o_totalprice), 2) / count(*) AS mean FROM orders
 """)
 def agg_sum_count_mean(t: Tables) -> DataFrame:
-    sums = t.orders.agg(F.sum("o_totalprice").alias("sum"), F.count("*").alias("n"))
-    # rounded, as the last digits depend on the order of addition
-    return sums.select(
-        F.round("sum", 2).alias("total"), "n", F.round(safe_ratio(F.col("sum"), F.col("n")), 6).alias("mean")
-    )
+    # rounded to the digits of the amounts, as those behind depend on the order of addition
+    sums = t.orders.agg(F.round(F.sum("o_totalprice"), 2).alias("total"), F.count("*").alias("n"))
+    return sums.withColumn("mean", safe_ratio(F.col("total"), F.col("n")))
 
 
 @query("""

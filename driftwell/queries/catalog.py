@@ -12,6 +12,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def exact_mean_sql(column: str) -> str:
+    """Mean of amounts of two digits, half up at the sixth: what the mean of ``decimal(18,2)`` is, in whole numbers."""
+    cents = f"CAST(sum(CAST({column} AS DECIMAL(18,2))) * 100 AS HUGEINT)"
+    return f"CAST(({cents} * 20000 + count({column})) // (2 * count({column})) AS DOUBLE) / 1000000"
+
+
 class Tables:
     """Parquet tables of one directory, as attributes."""
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from driftwell.operators.sampling import split_side, stratified_downsample
 from driftwell.plans import ad_groups, auctions, features, keyword_reports, match_rate, quality
 from driftwell.queries.audit_data import KIND_SQL, audit_log
-from driftwell.queries.catalog import Tables, query
+from driftwell.queries.catalog import Tables, exact_mean_sql, query
 from driftwell.queries.sets_and_samples import bucket_sql
 from driftwell.schemas import WRITE_REPORT
 from driftwell.sources.readers import read_delimited, wide_cells
@@ -196,14 +196,15 @@ def _bids(t: Tables) -> DataFrame:
     )
 
 
-@query("""
+@query(f"""
 SELECT l_partkey AS item, count(*) AS bids, min(l_extendedprice) AS min_bid, max(l_extendedprice) AS max_bid,
-       round(avg(l_extendedprice), 6) AS avg_bid
+       {exact_mean_sql("l_extendedprice")} AS avg_bid
 FROM lineitem GROUP BY 1
 """)
 def rpt_auction_summary(t: Tables) -> DataFrame:
-    # rounded, as the last digits depend on the order of addition
-    return auctions.bids_per_item(_bids(t)).withColumn("avg_bid", F.round("avg_bid", 6))
+    # as decimals, since the last digits of a mean of doubles depend on the order of addition
+    bids = _bids(t).withColumn("bid", F.col("bid").cast("decimal(18,2)"))
+    return auctions.bids_per_item(bids).withColumns({c: F.col(c).cast("double") for c in ("min_bid", "max_bid", "avg_bid")})
 
 
 @query("SELECT count(DISTINCT l_orderkey) AS auctions FROM lineitem")
