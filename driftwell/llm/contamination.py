@@ -48,29 +48,35 @@ class _Vocabulary(dict):
     """What a raw word is: ``(hash, flags)`` with number 1, unit 2, title case 4, sentence end 8, dropped 16."""
 
     def __missing__(self, raw: str) -> tuple[int, int]:
-        core = _EDGES.sub("", raw)
-        flags = 8 if raw.rstrip("\"')]}»”’")[-1:] in tuple(".!?") else 0
-        if not any(c.isalnum() for c in core):
+        # Most words are letters only, perhaps with a mark behind them: the patterns are for the rest.
+        core = raw if raw.isalnum() else raw[:-1] if raw[:-1].isalnum() and raw[-1] in ",.;:!?" else _EDGES.sub("", raw)
+        flags = 8 if not raw[-1].isalnum() and raw.rstrip("\"')]}»”’")[-1:] in tuple(".!?") else 0
+        lower = core.lower()
+        if not core.isalnum() and not any(c.isalnum() for c in core):
             flags |= 16
-        elif _NUMBER.fullmatch(core):
+        elif not core.isalpha() and _NUMBER.fullmatch(core):
             flags |= 1
         else:
-            flags |= 2 * (core.lower() in _UNIT_SET) | 4 * (len(core) > 1 and core.istitle())
+            flags |= 2 * (lower in _UNIT_SET) | 4 * (len(core) > 1 and core.istitle())
         if len(self) >= 500_000:
             self.clear()
-        self[raw] = found = (xxhash.xxh64_intdigest(core.lower().encode("utf-8", "replace")), flags)
+        self[raw] = found = (xxhash.xxh64_intdigest(lower.encode("utf-8", "replace")), flags)
         return found
 
 
 _UNIT_SET = frozenset(UNITS)
 
 
+# Kept by a Python worker from task to task.
+_VOCABULARY = _Vocabulary()
+
+
 class Template:
     """The canonical form of one text."""
 
-    def __init__(self, text: str | None, vocabulary: _Vocabulary):
+    def __init__(self, text: str | None):
         raw = (text or "").split()
-        known = [vocabulary[w] for w in raw]
+        known = list(map(_VOCABULARY.__getitem__, raw))
         hashes = np.fromiter((k[0] for k in known), dtype=np.uint64, count=len(known))
         flags = np.fromiter((k[1] for k in known), dtype=np.int64, count=len(known))
         ends = (flags & 8) > 0
@@ -116,11 +122,10 @@ def _window_rows(docs: DataFrame, sizes: list[int], chosen: np.ndarray | None) -
         table[(chosen >> np.uint64(44)).astype(np.int64)] = True
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary = _Vocabulary()
         for batch in batches:
             out = []
             for row, doc_id, text in zip(batch["row"], batch["doc_id"], batch["text"]):
-                template = Template(text, vocabulary)
+                template = Template(text)
                 for size in sizes:
                     hashes, usable = template.windows(size)
                     if chosen is not None and len(hashes):
@@ -145,11 +150,10 @@ def _item_windows(items: DataFrame, window: int, least: int) -> DataFrame:
     """``item, item_id, item_at, window, item_slots, size, of``; ``of`` is the number of windows."""
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary = _Vocabulary()
         for batch in batches:
             out = []
             for item, item_id, text in zip(batch["row"], batch["doc_id"], batch["text"]):
-                template = Template(text, vocabulary)
+                template = Template(text)
                 size = min(window, len(template))
                 if size < least:
                     continue
