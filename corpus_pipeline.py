@@ -16,8 +16,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from driftwell.llm import contamination, language, packing, recompression, simhash
-from driftwell.llm.common import ship_package, staged, table
+from driftwell.llm.common import ship_package, table
 from driftwell.llm.queries import tokenizer_path
+from driftwell.session import delete_path, scratch_path
+from driftwell.sources.writers import stage
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,7 +78,12 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the table ``documents``; the last one's frame is read from what was written."""
     ship_package(spark)
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    docs, before = table(spark, sf_dir, "documents"), None
+    for name, step in STAGES:
+        path = scratch_path(spark, f"pipeline-{name}")
+        docs = stage(step(spark, docs, sf_dir), path)
+        # What the step has read is no longer needed.
+        if before is not None:
+            delete_path(spark, before)
+        before = path
     return docs

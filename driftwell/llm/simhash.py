@@ -29,8 +29,9 @@ from driftwell.llm.components import connected_components
 
 SHINGLE = 3
 DISTANCE = 2
-# The tree is fitted on at most this many fingerprints; all are routed through it.
+# The tree is fitted on at most this many fingerprints, and this share; all are routed through it.
 SAMPLE = 40_000
+MOST_SAMPLED = 0.25
 SHARD = 4_096
 MOST_SHARDS = 16_384
 _ROWS = 16_384
@@ -191,7 +192,7 @@ def near_edges(fingerprints: DataFrame, *, distance: int = DISTANCE, shard_rows:
     """Edges ``a, b`` that connect the distinct ``fp`` within ``distance`` bits as all pairs would."""
     rows = fingerprints.count()
     shards = max(1, min(MOST_SHARDS, -(-rows // shard_rows)))
-    fraction = min(1.0, sample / max(rows, 1))
+    fraction = min(MOST_SAMPLED, sample / max(rows, 1))
     seen = fingerprints.where(
         F.pmod(F.xxhash64("fp", F.lit(3)), F.lit(1 << 40)) <= int(fraction * (1 << 40))
     ).select("fp").collect()
