@@ -58,7 +58,7 @@ class _Vocabulary(dict):
             flags |= 1
         else:
             flags |= 2 * (lower in _UNIT_SET) | 4 * (len(core) > 1 and core.istitle())
-        if len(self) >= 500_000:
+        if len(self) >= 200_000:
             self.clear()
         self[raw] = found = (xxhash.xxh64_intdigest(lower.encode("utf-8", "replace")), flags)
         return found

@@ -50,7 +50,7 @@ class _Words(dict):
     """Hashes of words; forgets all when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1_000_000:
+        if len(self) >= 250_000:
             self.clear()
         self[word] = found = xxhash.xxh64_intdigest(word, 17)
         return found
