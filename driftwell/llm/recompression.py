@@ -25,7 +25,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from driftwell.llm.repeats import NO_ID, Scheme, covered, mark_of, prepared, repeated_spans
+from driftwell.llm.repeats import CROWD, NO_ID, Scheme, covered, mark_of, prepared, repeated_spans
 
 WINDOW = 35
 # The longest symbol, in words, that each round of pairs may make.
@@ -104,8 +104,8 @@ def symbol_starts(words: np.ndarray, begins: np.ndarray, rounds: tuple[int, ...]
 class SharedSymbols(Scheme):
     earlier = False
 
-    def __init__(self, window: int = WINDOW, rounds: tuple[int, ...] = ROUNDS):
-        self.window, self.rounds = window, rounds
+    def __init__(self, window: int = WINDOW, rounds: tuple[int, ...] = ROUNDS, crowd: int = CROWD):
+        self.window, self.rounds, self.crowd = window, rounds, crowd
         self.least = _reach(rounds)
         self.most = self.least + max(rounds) - 1
         if self.most + self.least > window:
@@ -140,11 +140,11 @@ def _cut(text: bytes, spans: np.ndarray | None, window: int) -> tuple[int, int,
 
 
 def remove_repeated_words(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, crowd: int = CROWD
 ) -> DataFrame:
     """``doc_id, n_words, n_removed, kept, kept_sha256`` of every row; kept words joined by a blank."""
     rows = prepared(docs, id_col, text_col)
-    marked = rows.join(repeated_spans(rows, SharedSymbols(window)), ["doc", "mark"], "left")
+    marked = rows.join(repeated_spans(rows, SharedSymbols(window, crowd=crowd)), ["doc", "mark"], "left")
 
     @F.pandas_udf("n_words long, n_removed long, kept string, kept_sha256 string")
     def cut(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:

@@ -7,7 +7,8 @@ rounds, each a map over texts and an exchange of packed tuples by key:
 
 1. anchors whose key occurs once are left out;
 2. of the others, the whole stretch of windows around the anchor is compared at once;
-3. where stretches share a key but differ, windows are compared one by one.
+3. where stretches share a key but differ, windows are compared one by one: those of a crowded key
+   by their own hashes, those of other keys by what stands around the anchor.
 
 A stretch is named by its key and a hash of its own, 96 bits and the target, a window by 128 bits.
 Tuples travel as packed columns, one row for each task and target, since a row per tuple would cost
@@ -15,14 +16,17 @@ several times the bytes.  The texts are dealt out once; all joins with them use
 
 Hot keys: what a map task can settle among its own tuples it does, and only two tuples (or those of
 the smallest document) of a key or stretch go on to be compared; settled ones are dealt out evenly.
-So a passage that stands in a third of all documents costs a comparing task a few tuples per map task.
+Where a key has more than ``crowd`` differing stretches in a pack of tuples, only two of them go to
+the key's target, to tell it; the others are dealt out, and all windows of that key are compared
+where their own hashes send them.  So a passage that stands in a third of all documents, among other
+words each time, costs a comparing task a few tuples per pack.  The way taken never changes a result.
 """
 
 from __future__ import annotations
 
 import zlib
 from abc import ABC, abstractmethod
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +38,12 @@ NO_ID = (1 << 63) - 1
 # Tuples that a map task packs at a time, and units that it looks at together.
 PACK = 400_000
 TOGETHER = 1 << 18
+# Stretches of one key that a pack may send to the key's target.
+CROWD = 256
+
+# What a map task knows of a tuple.  The lower bit: dealt out evenly, not sent to its key's target;
+# the upper one: its key is crowded.
+LOOSE, SETTLED, TELLS, APART = range(4)
 
 _K1, _K2, _K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
@@ -115,6 +125,7 @@ class Scheme(ABC):
     least: int
     most: int
     earlier: bool
+    crowd: int = CROWD
 
     @abstractmethod
     def units(self, text: bytes) -> np.ndarray:
@@ -195,12 +206,12 @@ class _Packer:
         [
             ("bucket", pa.int32()), ("docs", pa.binary()), ("marks", pa.binary()), ("owner_low", pa.binary()),
             ("owner_high", pa.binary()), ("place_low", pa.binary()), ("place_high", pa.binary()), ("keys", pa.binary()),
-            ("rest", pa.binary()), ("offsets", pa.binary()), ("settled", pa.binary()),
+            ("rest", pa.binary()), ("offsets", pa.binary()), ("settled", pa.binary()), ("crowded", pa.binary()),
         ]
     )
     ddl = (
         "bucket int, docs binary, marks binary, owner_low binary, owner_high binary, place_low binary, place_high binary, "
-        "keys binary, rest binary, offsets binary, settled binary"
+        "keys binary, rest binary, offsets binary, settled binary, crowded binary"
     )
 
     def __init__(self, buckets: int, key_type: type, settle=None, compress: bool = False):
@@ -230,8 +241,8 @@ class _Packer:
         owners, places, keys = (np.concatenate([p[i] for p in self.parts]) for i in range(3))
         rest, offsets = (None if self.parts[0][i] is None else np.concatenate([p[i] for p in self.parts]) for i in (3, 4))
         self.parts, self.docs, self.marks, self.size = [], [], [], 0
-        settled = np.zeros(len(keys), dtype=bool) if self.settle is None else self.settle(keys, rest, docs[owners])
-        target = np.where(settled, owners.astype(np.uint64) * _K1 >> np.uint64(32), keys & np.uint64(0xFFFFFFFF))
+        state = np.zeros(len(keys), dtype=np.uint8) if self.settle is None else self.settle(keys, rest, docs[owners])
+        target = np.where(state & 1, owners.astype(np.uint64) * _K1 >> np.uint64(32), keys & np.uint64(0xFFFFFFFF))
         bucket = (target % np.uint64(self.buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[order])) + 1
@@ -243,7 +254,8 @@ class _Packer:
                 (
                     int(bucket[chosen[0]]), docs[present].tobytes(), marks[present].tobytes(), *_planes(owner),
                     *_planes(places[chosen]), stored.tobytes(), b"" if rest is None else self.store(rest[chosen]),
-                    b"" if offsets is None else offsets[chosen].tobytes(), np.packbits(settled[chosen]).tobytes(),
+                    b"" if offsets is None else offsets[chosen].tobytes(),
+                    np.packbits(state[chosen] & 1).tobytes(), np.packbits(state[chosen] >> 1).tobytes(),
                 )
             )
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), self.schema.types)], schema=self.schema)
@@ -252,27 +264,32 @@ class _Packer:
 class _Tuples:
     """The packed tuples of one target, as arrays."""
 
-    def __init__(self, batches: Iterator[pa.RecordBatch], key_type: type, compressed: bool = False):
-        parts: dict[str, list] = {n: [] for n in ("doc", "mark", "place", "key", "rest", "offset", "settled")}
-        for batch in batches:
-            for row in batch.to_pylist():
-                owner = _from_planes(row["owner_low"], row["owner_high"])
-                parts["doc"].append(np.frombuffer(row["docs"], np.int64)[owner])
-                parts["mark"].append(np.frombuffer(row["marks"], np.int32)[owner])
-                parts["place"].append(_from_planes(row["place_low"], row["place_high"]))
-                parts["key"].append(np.frombuffer(row["keys"], key_type))
-                parts["rest"].append(zlib.decompress(row["rest"]) if compressed else row["rest"])
-                parts["offset"].append(np.frombuffer(row["offsets"], np.uint8))
-                parts["settled"].append(np.unpackbits(np.frombuffer(row["settled"], np.uint8), count=len(owner)).astype(bool))
+    def __init__(self, rows: Iterable[dict], key_type: type, compressed: bool = False):
+        parts: dict[str, list] = {n: [] for n in ("doc", "mark", "place", "key", "rest", "offset", "settled", "crowded")}
+        for row in rows:
+            owner = _from_planes(row["owner_low"], row["owner_high"])
+            parts["doc"].append(np.frombuffer(row["docs"], np.int64)[owner])
+            parts["mark"].append(np.frombuffer(row["marks"], np.int32)[owner])
+            parts["place"].append(_from_planes(row["place_low"], row["place_high"]))
+            parts["key"].append(np.frombuffer(row["keys"], key_type))
+            parts["rest"].append(zlib.decompress(row["rest"]) if compressed else row["rest"])
+            parts["offset"].append(np.frombuffer(row["offsets"], np.uint8))
+            for name in ("settled", "crowded"):
+                parts[name].append(np.unpackbits(np.frombuffer(row[name], np.uint8), count=len(owner)).astype(bool))
         self.empty = not parts["doc"]
         if not self.empty:
-            self.doc, self.mark, self.place, self.key, offset, self.settled = (
-                np.concatenate(parts[n]) for n in ("doc", "mark", "place", "key", "offset", "settled")
+            self.doc, self.mark, self.place, self.key, offset, self.settled, self.crowded = (
+                np.concatenate(parts[n]) for n in ("doc", "mark", "place", "key", "offset", "settled", "crowded")
             )
             self.rest = np.frombuffer(b"".join(parts["rest"]), np.uint8)
             self.low, self.high = offset.reshape(-1, 2).T.astype(np.int64) if len(offset) else (None, None)
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        yield from batch.to_pylist()
+
+
 def _first_of_groups(*sorted_keys: np.ndarray) -> np.ndarray:
     """True at the first row of each group of equal keys."""
     first = np.ones(len(sorted_keys[0]), dtype=bool)
@@ -293,6 +310,43 @@ def _beyond_two(order: np.ndarray, first: np.ndarray) -> np.ndarray:
     return found
 
 
+def _settle_equals(scheme: Scheme, keys: np.ndarray, rest: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Tuples equal in key and rest are repeated; the smallest document or two of them go on."""
+    order = np.lexsort((docs, rest, keys))
+    first = _first_of_groups(keys[order], rest[order])
+    if not scheme.earlier:
+        return _beyond_two(order, first).astype(np.uint8)
+    state = np.zeros(len(order), dtype=np.uint8)
+    state[order] = docs[order] > _per_group(first, docs[order], np.minimum)
+    return state
+
+
+def _repeated(scheme: Scheme, first: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Which rows are repeated, of groups of equal ones sorted by document."""
+    if scheme.earlier:
+        return docs > _per_group(first, docs, np.minimum)
+    return _per_group(first, np.ones(len(docs), np.int64), np.add) > 1
+
+
+def settle_stretches(scheme: Scheme, keys: np.ndarray, whole: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Stretches that a task sees repeated are; of a crowded key two different ones tell its target.
+
+    The others of that key stay open without having met; whatever equals them stays open too,
+    since its target knows of two different stretches.
+    """
+    state = _settle_equals(scheme, keys, whole, docs)
+    loose = np.flatnonzero(state == LOOSE)
+    loose = loose[np.lexsort((whole[loose], keys[loose]))]
+    if len(loose):
+        first = _first_of_groups(keys[loose])
+        different = _per_group(first, _first_of_groups(keys[loose], whole[loose]).astype(np.int64), np.add)
+        crowded = different > scheme.crowd
+        last = np.concatenate((first[1:], [True]))
+        state[loose[crowded]] = APART
+        state[loose[crowded & (first | last)]] = TELLS
+    return state
+
+
 def _first_round(scheme: Scheme, rows: DataFrame, buckets: int) -> DataFrame:
     """``doc, mark, place`` of the anchors whose key also occurs elsewhere."""
 
@@ -301,13 +355,13 @@ def _first_round(scheme: Scheme, rows: DataFrame, buckets: int) -> DataFrame:
         order = np.lexsort((docs, keys)) if scheme.earlier else np.argsort(keys, kind="stable")
         first = _first_of_groups(keys[order])
         if not scheme.earlier:
-            return _beyond_two(order, first)
+            return _beyond_two(order, first).astype(np.uint8)
         doc = docs[order]
         least, most = _per_group(first, doc, np.minimum), _per_group(first, doc, np.maximum)
         last = np.concatenate((first[1:], [True]))
-        found = np.zeros(len(order), dtype=bool)
-        found[order[(least < most) & ~first & ~last]] = True
-        return found
+        state = np.zeros(len(order), dtype=np.uint8)
+        state[order[(least < most) & ~first & ~last]] = SETTLED
+        return state
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = _Packer(buckets, np.uint32, settle)
@@ -318,7 +372,7 @@ def _first_round(scheme: Scheme, rows: DataFrame, buckets: int) -> DataFrame:
         yield from packer.pack()
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tuples = _Tuples(batches, np.uint32)
+        tuples = _Tuples(_packed(batches), np.uint32)
         if tuples.empty:
             return
         loose = np.flatnonzero(~tuples.settled)
@@ -340,27 +394,18 @@ def _first_round(scheme: Scheme, rows: DataFrame, buckets: int) -> DataFrame:
     return packed.repartitionById(buckets, "bucket").mapInArrow(shared, "doc long, mark int, place long")
 
 
-_FOUND = "doc long, mark int, place long, low int, high int, repeated boolean, open boolean"
+_FOUND = "doc long, mark int, place long, low int, high int, repeated boolean, open boolean, crowded boolean"
 
 
 def _second_round(scheme: Scheme, asked: DataFrame, buckets: int) -> DataFrame:
     """``_FOUND`` of the anchors in ``asked`` (``doc, mark, text, places``).
 
-    ``repeated``: all windows of the anchor are; ``open``: they must be looked at one by one.
+    ``repeated``: all windows of the anchor are; ``open``: they must be looked at one by one;
+    ``crowded``: by their own hashes, as all open windows of that key.
     """
 
-    def settle(keys: np.ndarray, whole: np.ndarray, docs: np.ndarray) -> np.ndarray:
-        """Stretches that a task sees repeated are; the smallest document or two tuples go on."""
-        order = np.lexsort((docs, whole, keys))
-        first = _first_of_groups(keys[order], whole[order])
-        if not scheme.earlier:
-            return _beyond_two(order, first)
-        found = np.zeros(len(order), dtype=bool)
-        found[order] = docs[order] > _per_group(first, docs[order], np.minimum)
-        return found
-
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = _Packer(buckets, np.uint32, settle)
+        packer = _Packer(buckets, np.uint32, lambda *columns: settle_stretches(scheme, *columns))
         for texts in _in_texts(scheme, batches, ("doc", "mark", "text", "places")):
             places, low, high = scheme.anchors(texts.units, texts.begins, texts.ends)
             owner, asked = texts.wanted()
@@ -373,10 +418,11 @@ def _second_round(scheme: Scheme, asked: DataFrame, buckets: int) -> DataFrame:
         yield from packer.pack()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tuples = _Tuples(batches, np.uint32)
+        tuples = _Tuples(_packed(batches), np.uint32)
         if tuples.empty:
             return
-        repeated, open_ = tuples.settled.copy(), np.zeros(len(tuples.doc), dtype=bool)
+        repeated, open_ = tuples.settled & ~tuples.crowded, tuples.settled & tuples.crowded
+        crowded = open_.copy()
         loose = np.flatnonzero(~tuples.settled)
         if len(loose):
             whole = tuples.rest.view(np.uint64)[loose]
@@ -385,12 +431,9 @@ def _second_round(scheme: Scheme, asked: DataFrame, buckets: int) -> DataFrame:
             doc, key = tuples.doc[order], tuples.key[order]
             of_key, of_whole = _first_of_groups(key), _first_of_groups(key, whole)
             several = _per_group(of_key, of_whole.astype(np.int64), np.add) > 1
-            if scheme.earlier:
-                repeated[order] = doc > _per_group(of_whole, doc, np.minimum)
-                open_[order] = several & ~repeated[order]
-            else:
-                repeated[order] = _per_group(of_whole, np.ones(len(doc), np.int64), np.add) > 1
-                open_[order] = several & of_whole
+            repeated[order] = _repeated(scheme, of_whole, doc)
+            open_[order] = several & (~repeated[order] if scheme.earlier else of_whole)
+            crowded[order] = _per_group(of_key, tuples.crowded[order], np.logical_or)
         kept = np.flatnonzero(repeated | open_)
         for at in range(0, len(kept), PACK):
             part = kept[at : at + PACK]
@@ -398,7 +441,7 @@ def _second_round(scheme: Scheme, asked: DataFrame, buckets: int) -> DataFrame:
                 {
                     "doc": tuples.doc[part], "mark": tuples.mark[part], "place": tuples.place[part],
                     "low": tuples.low[part].astype(np.int32), "high": tuples.high[part].astype(np.int32),
-                    "repeated": repeated[part], "open": open_[part],
+                    "repeated": repeated[part], "open": open_[part], "crowded": crowded[part],
                 }
             )
 
@@ -411,22 +454,57 @@ def _third_round(scheme: Scheme, asked: DataFrame, buckets: int, kind: type) ->
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = _Packer(buckets, np.uint64, compress=True)
+        apart = _Packer(buckets, np.uint64, lambda *columns: _settle_equals(scheme, *columns))
         for texts in _in_texts(scheme, batches, ("doc", "mark", "text", "places")):
             owner, codes = texts.wanted()
-            places = texts.begins[owner] + (codes >> 16)
-            low, high = codes >> 8 & 255, codes & 255
+            places = texts.begins[owner] + (codes >> 17)
+            low, high, crowded = codes >> 8 & 255, codes & 255, (codes >> 16 & 1).astype(bool)
             # Texts that share an id and a mark are asked for each other's places.
-            inside = np.flatnonzero((places - high >= texts.begins[owner]) & (places - low + scheme.window <= texts.ends[owner]))
-            for at in range(0, len(inside), PACK // 8):
-                part = inside[at : at + PACK // 8]
+            inside = (places - high >= texts.begins[owner]) & (places - low + scheme.window <= texts.ends[owner])
+            usual, others = np.flatnonzero(inside & ~crowded), np.flatnonzero(inside & crowded)
+            for at in range(0, len(usual), PACK // 8):
+                part = usual[at : at + PACK // 8]
                 offsets = np.stack([low[part], high[part]], axis=1).astype(np.uint8)
                 keys, contexts = scheme.keys(texts.units, places[part]), scheme.contexts(texts.units, places[part])
                 if packer.add(texts, places[part], keys, contexts, offsets):
                     yield from packer.pack()
+            for at in range(0, len(others), PACK // 128):
+                part = others[at : at + PACK // 128]
+                sizes = high[part] - low[part] + 1
+                number = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                starts = np.repeat(places[part] - high[part], sizes) + number
+                windows = texts.units[starts[:, None] + np.arange(scheme.window)]
+                if apart.add(texts, starts, mix(windows, 4), mix(windows, 5)):
+                    yield from apart.pack()
         yield from packer.pack()
+        yield from apart.pack()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tuples = _Tuples(batches, np.uint64, compressed=True)
+        # Windows that came by their own hashes have no offsets.
+        usual, apart = [], []
+        for row in _packed(batches):
+            (usual if row["offsets"] else apart).append(row)
+        yield from by_offset(_Tuples(usual, np.uint64, compressed=True))
+        yield from by_hash(_Tuples(apart, np.uint64))
+
+    def spans(doc: np.ndarray, mark: np.ndarray, begin: np.ndarray, more: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(doc), PACK):
+            part = slice(at, at + PACK)
+            yield pa.RecordBatch.from_pydict({"doc": doc[part], "mark": mark[part], "span": begin[part] << 8 | more[part]})
+
+    def by_hash(tuples: _Tuples) -> Iterator[pa.RecordBatch]:
+        if tuples.empty:
+            return
+        two = tuples.rest.view(np.uint64)
+        repeated = tuples.settled.copy()
+        loose = np.flatnonzero(~repeated)
+        if len(loose):
+            order = loose[np.lexsort((tuples.doc[loose], two[loose], tuples.key[loose]))]
+            repeated[order] = _repeated(scheme, _first_of_groups(tuples.key[order], two[order]), tuples.doc[order])
+        found = np.flatnonzero(repeated)
+        yield from spans(tuples.doc[found], tuples.mark[found], tuples.place[found], np.zeros(len(found), np.int64))
+
+    def by_offset(tuples: _Tuples) -> Iterator[pa.RecordBatch]:
         if tuples.empty:
             return
         contexts = tuples.rest.view(kind).reshape(-1, width)
@@ -440,24 +518,12 @@ def _third_round(scheme: Scheme, asked: DataFrame, buckets: int, kind: type) ->
             one, two, doc = mix(windows, 4), mix(windows, 5), tuples.doc[chosen]
             order = np.lexsort((doc, two, one))
             first, doc = _first_of_groups(one[order], two[order]), doc[order]
-            if scheme.earlier:
-                hit = doc > _per_group(first, doc, np.minimum)
-            else:
-                hit = _per_group(first, np.ones(len(doc), np.int64), np.add) > 1
-            flags[chosen[order], offset] = hit
+            flags[chosen[order], offset] = _repeated(scheme, first, doc)
         # Runs of neighbouring offsets make one span.
         edges = np.diff(flags.astype(np.int8), axis=1, prepend=0)
         row, begin = np.nonzero(edges == 1)
         _, end = np.nonzero(edges == -1)
-        for at in range(0, len(row), PACK):
-            part = slice(at, at + PACK)
-            place = tuples.place[row[part]]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc": tuples.doc[row[part]], "mark": tuples.mark[row[part]],
-                    "span": (place - (end[part] - 1)) << 8 | end[part] - 1 - begin[part],
-                }
-            )
+        yield from spans(tuples.doc[row], tuples.mark[row], tuples.place[row] - (end - 1), end - 1 - begin)
 
     packed = asked.mapInArrow(emit, _Packer.ddl)
     return packed.repartitionById(buckets, "bucket").mapInArrow(compare, "doc long, mark int, span long")
@@ -497,7 +563,8 @@ def repeated_spans(rows: DataFrame, scheme: Scheme) -> DataFrame:
     whole = found.where("repeated").select(
         *same, F.shiftleft(F.col("place") - F.col("high"), 8).bitwiseOR(reach).alias("span")
     )
-    code = F.shiftleft("place", 16).bitwiseOR(F.shiftleft("low", 8)).bitwiseOR(F.col("high")).alias("code")
+    code = F.shiftleft("place", 17).bitwiseOR(F.shiftleft(F.col("crowded").cast("long"), 16))
+    code = code.bitwiseOR(F.shiftleft("low", 8)).bitwiseOR(F.col("high")).alias("code")
     unsettled = found.where("open").select(*same, code).groupBy(*same).agg(F.collect_list("code").alias("places"))
     single = _third_round(scheme, rows.join(unsettled, same), buckets, kind)
     spans = whole.unionAll(single)

@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from driftwell.llm.repeats import NO_ID, Scheme, covered, prepared, repeated_spans
+from driftwell.llm.repeats import CROWD, NO_ID, Scheme, covered, prepared, repeated_spans
 
 WINDOW = 50
 PREFIX = 16
@@ -37,10 +37,10 @@ class SampledSuffixes(Scheme):
     least = 0
     earlier = True
 
-    def __init__(self, window: int = WINDOW, prefix: int = PREFIX):
+    def __init__(self, window: int = WINDOW, prefix: int = PREFIX, crowd: int = CROWD):
         if prefix != 16 or window < prefix:
             raise ValueError("a prefix is two words of eight bytes, and a window holds one")
-        self.window, self.most = window, window - prefix
+        self.window, self.most, self.crowd = window, window - prefix, crowd
 
     def units(self, text: bytes) -> np.ndarray:
         return np.frombuffer(text, dtype=np.uint8)
@@ -84,11 +84,11 @@ class SampledSuffixes(Scheme):
 
 
 def remove_repeated_bytes(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, crowd: int = CROWD
 ) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept (binary), kept_sha256`` of every row."""
     rows = prepared(docs, id_col, text_col)
-    marked = rows.join(repeated_spans(rows, SampledSuffixes(window)), ["doc", "mark"], "left")
+    marked = rows.join(repeated_spans(rows, SampledSuffixes(window, crowd=crowd)), ["doc", "mark"], "left")
 
     @F.pandas_udf("n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
     def cut(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:

@@ -9,7 +9,7 @@ import pytest
 from cases import AWKWARD, documents, words
 
 from driftwell.llm import recompression, suffixes
-from driftwell.llm.repeats import Ranges, mix
+from driftwell.llm.repeats import APART, LOOSE, SETTLED, TELLS, Ranges, mix, settle_stretches
 
 
 def brute_bytes(rows, window=50):
@@ -90,6 +90,43 @@ def test_many_copies_and_one_passage(spark):
     assert sorted((tuple(r) for r in recompression.remove_repeated_words(docs).drop("kept").collect()), key=str) == brute_words(rows)
 
 
+@pytest.mark.parametrize("crowd", [1, 8])
+def test_crowded_keys_give_the_same_rows(spark, crowd):
+    """A passage among other words each time, and texts of few words, whichever way their windows go."""
+    rng = random.Random(11)
+    passage = words(rng, 60)
+    texts = [" ".join([*words(rng, 15, 40), *passage[rng.randrange(3) :], *words(rng, 15, 40)]) for _ in range(200)]
+    texts += corpus(2, 12) + corpus(3, 3)
+    ids = rng.sample(range(2000), len(texts))
+    ids[5] = ids[6] = None
+    ids[8] = ids[9]
+    docs = documents(spark, texts, ids).repartition(4)
+    rows = list(zip(ids, texts))
+    found = suffixes.remove_repeated_bytes(docs, crowd=crowd).drop("kept")
+    assert sorted((tuple(r) for r in found.collect()), key=str) == brute_bytes(rows)
+    found = recompression.remove_repeated_words(docs, crowd=crowd).drop("kept")
+    assert sorted((tuple(r) for r in found.collect()), key=str) == brute_words(rows)
+
+
+def test_a_crowded_key_sends_two_stretches_to_its_target():
+    """Tuples that all share a key spread over the targets, but for two of them."""
+    scheme = recompression.SharedSymbols(crowd=4)
+    rng = random.Random(12)
+    middle = [f"m{i}" for i in range(40)]
+    texts = [" ".join([*words(rng, 30), *middle, *words(rng, 30)]).encode() for _ in range(50)]
+    units = [scheme.units(t) for t in texts]
+    places = [scheme.anchors(u, np.array([0]), np.array([len(u)]))[0] for u in units]
+    keys = [scheme.keys(u, p) for u, p in zip(units, places)]
+    shared = set.intersection(*(set(k.tolist()) for k in keys))
+    assert shared
+    key = np.full(50, next(iter(shared)), dtype=np.uint64)
+    state = settle_stretches(scheme, key, np.arange(50, dtype=np.uint64), np.arange(50))
+    assert sorted(state.tolist()) == [TELLS] * 2 + [APART] * 48
+    # Equal stretches stay with their key.
+    state = settle_stretches(scheme, key, np.zeros(50, dtype=np.uint64), np.arange(50))
+    assert sorted(state.tolist()) == [LOOSE] * 2 + [SETTLED] * 48
+
+
 def test_repeated_rows_and_empty_table(spark):
     text = " ".join(f"w{i}" for i in range(60))
     twice = documents(spark, [text, text], [4, 4])
