@@ -82,3 +82,18 @@ def test_awkward_rows(spark):
     assert leaks(spark, []) == {} and leaks(spark, texts, []) == {} and leaks(spark, texts, [(9, None), (8, "")]) == {}
     twice = [(2, ITEMS[1][1]), (2, ITEMS[1][1])]
     assert leaks(spark, [ITEMS[1][1]], twice) == {(0, 2): 0}
+
+
+def test_names_at_sentence_starts_and_in_any_case(spark):
+    rows = [
+        (1, "Alice has 3 apples. Alice buys 5 more. How many apples does Alice have?"),
+        (2, "On Monday the farmer Hans sold apples to Anna in Berlin while Otto and Emma from Hamburg went to Bremen with Karl."),
+    ]
+    texts = [
+        "Bob has 8 apples. Bob buys 9 more. How many apples does Bob have?",
+        rows[0][1].lower(),
+        rows[1][1].lower(),
+        rows[1][1].upper(),
+        "Bob has 8 pears. Bob eats 9 more. How few pears are left?",
+    ]
+    assert leaks(spark, texts, rows) == {(0, 1): 3, (1, 1): 0, (2, 2): 0, (3, 2): 0}
