@@ -176,7 +176,7 @@ class Template:
         """``at, window, slots``: as template where usable, and as plain words, which have no slots."""
         typed, usable, plain, mixed = self.windows(size)
         # Without placeholders both are the same.
-        for hashes, wanted, slotted in ((typed, usable, True), (plain, mixed & usable, False)):
+        for hashes, wanted, slotted in ((typed, usable, True), (plain, mixed, False)):
             places = chosen(hashes, np.flatnonzero(wanted))
             for at, window in zip(places.tolist(), hashes[places].view(np.int64).tolist()):
                 yield at, window, self.slots(at, size) if slotted else []
