@@ -199,6 +199,15 @@ def _from_planes(low: bytes, high: bytes) -> np.ndarray:
     return np.frombuffer(low, np.uint16).astype(np.int64) | np.frombuffer(high, np.uint16).astype(np.int64) << 16
 
 
+def _byte_planes(values: np.ndarray) -> bytes:
+    """Ids by the bytes of each rank; most of the upper ones are alike and compress to nothing."""
+    return values.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _from_byte_planes(stored: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(stored, np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+
+
 class _Packer:
     """Gathers tuples of many documents, settles what it can and packs the tuples by target."""
 
@@ -237,7 +246,7 @@ class _Packer:
     def pack(self) -> Iterator[pa.RecordBatch]:
         if not self.parts:
             return
-        docs, marks = np.array(self.docs, dtype=np.int64), np.array(self.marks, dtype=np.int32)
+        docs, marks = np.array(self.docs, dtype=np.int64), np.array(self.marks, dtype=np.int64)
         owners, places, keys = (np.concatenate([p[i] for p in self.parts]) for i in range(3))
         rest, offsets = (None if self.parts[0][i] is None else np.concatenate([p[i] for p in self.parts]) for i in (3, 4))
         self.parts, self.docs, self.marks, self.size = [], [], [], 0
@@ -252,7 +261,7 @@ class _Packer:
             stored = keys[chosen] if self.key_type is np.uint64 else (keys[chosen] >> np.uint64(32)).astype(self.key_type)
             rows.append(
                 (
-                    int(bucket[chosen[0]]), docs[present].tobytes(), marks[present].tobytes(), *_planes(owner),
+                    int(bucket[chosen[0]]), _byte_planes(docs[present]), marks[present].tobytes(), *_planes(owner),
                     *_planes(places[chosen]), stored.tobytes(), b"" if rest is None else self.store(rest[chosen]),
                     b"" if offsets is None else offsets[chosen].tobytes(),
                     np.packbits(state[chosen] & 1).tobytes(), np.packbits(state[chosen] >> 1).tobytes(),
@@ -268,8 +277,8 @@ class _Tuples:
         parts: dict[str, list] = {n: [] for n in ("doc", "mark", "place", "key", "rest", "offset", "settled", "crowded")}
         for row in rows:
             owner = _from_planes(row["owner_low"], row["owner_high"])
-            parts["doc"].append(np.frombuffer(row["docs"], np.int64)[owner])
-            parts["mark"].append(np.frombuffer(row["marks"], np.int32)[owner])
+            parts["doc"].append(_from_byte_planes(row["docs"])[owner])
+            parts["mark"].append(np.frombuffer(row["marks"], np.int64)[owner])
             parts["place"].append(_from_planes(row["place_low"], row["place_high"]))
             parts["key"].append(np.frombuffer(row["keys"], key_type))
             parts["rest"].append(zlib.decompress(row["rest"]) if compressed else row["rest"])
@@ -391,10 +400,10 @@ def _first_round(scheme: Scheme, rows: DataFrame, buckets: int) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"doc": tuples.doc[part], "mark": tuples.mark[part], "place": tuples.place[part]})
 
     packed = rows.mapInArrow(emit, _Packer.ddl)
-    return packed.repartitionById(buckets, "bucket").mapInArrow(shared, "doc long, mark int, place long")
+    return packed.repartitionById(buckets, "bucket").mapInArrow(shared, "doc long, mark long, place long")
 
 
-_FOUND = "doc long, mark int, place long, low int, high int, repeated boolean, open boolean, crowded boolean"
+_FOUND = "doc long, mark long, place long, low int, high int, repeated boolean, open boolean, crowded boolean"
 
 
 def _second_round(scheme: Scheme, asked: DataFrame, buckets: int) -> DataFrame:
@@ -526,12 +535,15 @@ def _third_round(scheme: Scheme, asked: DataFrame, buckets: int, kind: type) ->
         yield from spans(tuples.doc[row], tuples.mark[row], tuples.place[row] - (end - 1), end - 1 - begin)
 
     packed = asked.mapInArrow(emit, _Packer.ddl)
-    return packed.repartitionById(buckets, "bucket").mapInArrow(compare, "doc long, mark int, span long")
+    return packed.repartitionById(buckets, "bucket").mapInArrow(compare, "doc long, mark long, span long")
 
 
 def mark_of(text: Column) -> Column:
-    """A small hash that tells texts of one id apart; never null, so joins on it add no filter."""
-    return F.xxhash64(text).bitwiseAND(F.lit((1 << 20) - 1)).cast("int")
+    """A hash that tells texts of one id apart; never null, so joins on it add no filter.
+
+    All 64 bits: rows without an id share one, and spans are joined back by id and mark.
+    """
+    return F.xxhash64(text)
 
 
 def prepared(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

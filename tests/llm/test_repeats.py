@@ -1,11 +1,13 @@
 """Suffix and substring deduplication against brute force on every window."""
 
 import hashlib
+import itertools
 import random
 from collections import defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from cases import AWKWARD, documents, words
 
 from driftwell.llm import recompression, suffixes
@@ -79,6 +81,24 @@ def test_bytes_and_words_agree_with_brute_force(spark, seed, vocabulary):
     assert sorted((tuple(r) for r in found.collect()), key=str) == brute_words(rows)
 
 
+@pytest.mark.parametrize("shared", [None, 7])
+def test_texts_of_one_id_are_never_mixed_up(spark, shared):
+    rng = random.Random(21)
+    passage = words(rng, 60)
+    long = " ".join([*words(rng, 200), *passage])
+    low = lambda t: xxhash.xxh64_intdigest(t, 42) & ((1 << 20) - 1)
+    # A short text whose hash has the lower 20 bits of the long one's.
+    short = next(t for t in (f"clean words of a text {i} that is short" for i in itertools.count()) if low(t) == low(long))
+    texts, ids = [" ".join(passage), long, short], [1, shared, shared]
+    docs, rows = documents(spark, texts, ids).repartition(3), list(zip(ids, texts))
+    found = suffixes.remove_repeated_bytes(docs).drop("kept")
+    assert sorted((tuple(r) for r in found.collect()), key=str) == brute_bytes(rows)
+    found = recompression.remove_repeated_words(docs).drop("kept")
+    assert sorted((tuple(r) for r in found.collect()), key=str) == brute_words(rows)
+    kept = recompression.without_repeated_words(docs, size_col="n_chars")
+    assert short in {r["text"] for r in kept.collect()}
+
+
 def test_many_copies_and_one_passage(spark):
     rng = random.Random(9)
     passage = words(rng, 60)
