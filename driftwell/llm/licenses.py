@@ -3,11 +3,13 @@
 A notice that occurs with at most ``k`` edits has at least one of ``k + 1`` pieces of it unchanged,
 so each notice is cut into that many pieces; every exact occurrence of a piece gives a window, and
 the ``regex`` library's bounded-error matching decides in the window and says where the match lies.
+A license is told from others by words that must stand as they are; the edits are in the others.
 
 Texts are compared as words: lower-cased (A-Z only), joined by single spaces.
 
 Defined cases: a null text counts as empty; an empty text has no match, a score of 0 and empty
-labels.  Repeated documents give repeated rows; overlapping occurrences all count.
+labels.  Repeated documents give repeated rows; overlapping occurrences all count, but of several
+notices with the same span only those with the fewest edits.
 """
 
 from __future__ import annotations
@@ -25,12 +27,16 @@ from driftwell.llm.common import id_and_text
 
 @dataclass(frozen=True)
 class Notice:
-    """Words that stand for a license; ``edits`` is the largest number of character edits."""
+    """Words that stand for a license; ``edits`` is the largest number of character edits.
+
+    ``telling`` is the word that tells it from other licenses: in a scan it must be unchanged.
+    """
 
     words: str
     label: str
     edits: int
     exact: bool = False
+    telling: str = ""
 
 
 # The phrases that count wherever their words stand side by side.
@@ -41,15 +47,15 @@ BASE_NOTICES = (
 )
 # Notices searched with errors.
 FUZZY_NOTICES = (
-    Notice("released under the mit license", "mit", 3),
+    Notice("released under the mit license", "mit", 3, telling="mit"),
     Notice("permission is hereby granted free of charge to any person obtaining a copy", "mit", 7),
-    Notice("licensed under the apache license version 2 0", "apache-2", 4),
-    Notice("licensed under cc by nc 4 0", "cc-by-nc", 2),
+    Notice("licensed under the apache license version 2 0", "apache-2", 4, telling="2"),
+    Notice("licensed under cc by nc 4 0", "cc-by-nc", 2, telling="nc"),
     Notice("licensed under the creative commons attribution noncommercial", "cc-by-nc", 6),
-    Notice("licensed under the gnu general public license version 3", "gpl-3", 5),
-    Notice("licensed under the gnu general public license version 2", "gpl-2", 5),
+    Notice("licensed under the gnu general public license version 3", "gpl-3", 5, telling="3"),
+    Notice("licensed under the gnu general public license version 2", "gpl-2", 5, telling="2"),
     Notice("redistribution and use in source and binary forms with or without modification", "bsd", 7),
-    Notice("licensed under the mozilla public license version 2 0", "mpl-2", 5),
+    Notice("licensed under the mozilla public license version 2 0", "mpl-2", 5, telling="2"),
 )
 
 _DROPPED = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
@@ -79,18 +85,27 @@ def _word_numbers(line: bytes, places: Sequence[int]) -> dict[int, int]:
     return numbers
 
 
+def _fuzzy(words: bytes, edits: int) -> bytes:
+    return b"(?:" + regex.escape(words, special_only=True) + b"){e<=%d}" % edits
+
+
 @lru_cache(maxsize=256)
-def _prepared(notice: Notice) -> tuple[tuple[tuple[int, bytes], ...], regex.Pattern]:
-    """Pieces with their offsets, and the pattern that allows the edits."""
+def _prepared(notice: Notice, told: bool) -> tuple[tuple[tuple[int, bytes], ...], regex.Pattern]:
+    """Pieces with their offsets, and the pattern that allows the edits, if ``told`` not in the telling word."""
     whole = notice.words.encode()
     bounds = [len(whole) * i // (notice.edits + 1) for i in range(notice.edits + 2)]
     pieces = tuple((a, whole[a:b]) for a, b in zip(bounds, bounds[1:]))
-    return pieces, regex.compile(b"(?b)(?:" + regex.escape(whole, special_only=True) + b"){e<=%d}" % notice.edits)
+    pattern = _fuzzy(whole, notice.edits)
+    if told and notice.telling:
+        before, telling, after = (b" %b " % whole).partition(b" %b " % notice.telling.encode())
+        fuzzy = [_fuzzy(x, notice.edits) if x else b"" for x in (before.strip(), after.strip())]
+        pattern = fuzzy[0] + (telling if after else telling[:-1] + b"(?= )") + fuzzy[1]
+    return pieces, regex.compile(b"(?b)" + pattern)
 
 
-def fuzzy_spans(line: bytes, notice: Notice) -> list[tuple[int, int, int]]:
+def fuzzy_spans(line: bytes, notice: Notice, told: bool = False) -> list[tuple[int, int, int]]:
     """``(start, end, edits)`` in bytes of the matches of one notice, from left to right."""
-    pieces, pattern = _prepared(notice)
+    pieces, pattern = _prepared(notice, told)
     size, slack = len(notice.words.encode()), notice.edits
     windows = sorted(
         (max(0, at - offset - slack), at - offset + size + slack) for offset, piece in pieces for at in _starts(line, piece)
@@ -103,7 +118,9 @@ def fuzzy_spans(line: bytes, notice: Notice) -> list[tuple[int, int, int]]:
             merged.append([a, b])
     spans = []
     for a, b in merged:
-        spans += [(*m.span(), sum(m.fuzzy_counts)) for m in pattern.finditer(line, a, min(b, len(line)))]
+        # One more place, for the blank behind a telling word.
+        b = min(b + 1, len(line))
+        spans += [(*m.span(), edits) for m in pattern.finditer(line, a, b) if (edits := sum(m.fuzzy_counts)) <= slack]
     return spans
 
 
@@ -122,10 +139,15 @@ def scan_text(text: str | None, base: Sequence[Notice], fuzzy: Sequence[Notice])
             best = 1.0
     labels, spans = set(base_labels), []
     for notice in fuzzy:
-        for a, b, edits in fuzzy_spans(line, notice):
-            labels.add(notice.label)
-            best = max(best, 1.0 - edits / len(notice.words))
-            spans.append((a, b, edits, notice.label))
+        spans += [(a, b, edits, notice) for a, b, edits in fuzzy_spans(line, notice, told=True)]
+    fewest: dict[tuple[int, int], int] = {}
+    for a, b, edits, _ in spans:
+        fewest[a, b] = min(edits, fewest.get((a, b), edits))
+    spans = [x for x in spans if x[2] == fewest[x[:2]]]
+    for _, _, edits, notice in spans:
+        labels.add(notice.label)
+        best = max(best, 1.0 - edits / len(notice.words))
+    spans = [(a, b, edits, notice.label) for a, b, edits, notice in spans]
     first = {a: line.rfind(b" ", 0, a + 1) for a, *_ in spans}
     numbers = _word_numbers(line, [*places, *first.values()])
     return (

@@ -161,6 +161,44 @@ def test_errors_within_the_bound_are_found_with_their_span():
     assert licenses.scan_text("the quick brown fox under the table", licenses.BASE_NOTICES, licenses.FUZZY_NOTICES)[5] == ""
 
 
+@pytest.mark.parametrize(
+    ("text", "labels", "score"),
+    [
+        ("Released under the BSD license.", "", 0.0),
+        ("licensed under CC BY-SA 4.0", "", 0.0),
+        ("licensed under CC BY-ND 4.0", "", 0.0),
+        ("Licensed under the GNU General Public License, version 2.", "gpl-2", 1.0),
+        ("Licensed under the GNU General Public License, version 3", "gpl-3", 1.0),
+        ("Licensed under the Mozilla Public License, version 1.1", "", 0.0),
+        ("Licensed under the Mozilla Public License, version 2.0", "mpl-2", 1.0),
+        ("Licensed under the Apache License, version 1.1", "", 0.0),
+        ("released under the permit license", "", 0.0),
+        ("relesed undr the MIT license", "mit", 1 - 2 / 30),
+        ("licenced under the GNU General Publc License version 3 and more", "gpl-3", 1 - 2 / 55),
+        ("some words licensd under CC BY-NC 4.0 here", "cc-by-nc", 1.0),
+    ],
+)
+def test_notices_of_other_licenses_are_told_apart(text, labels, score):
+    found = licenses.scan_text(text, licenses.BASE_NOTICES, licenses.FUZZY_NOTICES)
+    assert (found[5], found[6]) == (labels, pytest.approx(score))
+
+
+def test_edits_beside_the_telling_word_are_all_found():
+    rng = random.Random(8)
+    for notice in [n for n in licenses.FUZZY_NOTICES if n.telling]:
+        before, telling, after = f" {notice.words} ".partition(f" {notice.telling} ")
+        for _ in range(25):
+            parts = [list(before.strip()), list(after.strip())]
+            for _ in range(notice.edits):
+                part = rng.choice([p for p in parts if len(p) > 4])
+                at = rng.randrange(1, len(part) - 1)
+                rng.choice([lambda: part.__setitem__(at, "q"), lambda: part.pop(at), lambda: part.insert(at, "q")])()
+            changed = " ".join(["".join(parts[0]), notice.telling, "".join(parts[1])]).strip()
+            line = f" {' '.join(words(rng, 8))} {changed} {' '.join(words(rng, 8))} ".encode()
+            spans = licenses.fuzzy_spans(line, notice, told=True)
+            assert spans and all(edits <= notice.edits and edit_distance(line[a:b].decode(), notice.words) <= edits for a, b, edits in spans)
+
+
 # Fingerprints
 
 
