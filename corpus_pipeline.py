@@ -3,20 +3,21 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a frame that is written as Parquet and read
 again as the next one's ``docs``; all but the last keep the columns of ``documents``.
 
-Defined cases: empty tables pass through; null texts are rejected by the first stage; a row without
-``doc_id`` can not be named as a member of a group or as leaked, so the two stages that name
-documents by their id let it pass; of rows that share an id the near-duplicate stage keeps the
-first by their other columns.
+Defined cases: empty tables pass through; null texts are rejected by the first stage.  The two
+stages that filter by other documents number the rows and decide row by row, so rows without
+``doc_id`` or with a shared one are treated like all others.  The id only says which row of a group
+stays: a missing one counts as larger than all others, and of equal ones the row whose other columns
+have the smallest hash stays.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from driftwell.llm import contamination, language, packing, recompression, simhash
-from driftwell.llm.common import ship_package, table
+from driftwell.llm.common import ship_package, staged, table
 from driftwell.llm.queries import tokenizer_path
 from driftwell.session import delete_path, scratch_path
 from driftwell.sources.writers import stage
@@ -34,14 +35,20 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where(F.col("__language") != language.UNKNOWN).drop("__language")
 
 
+def _numbered(docs: DataFrame, label: str) -> DataFrame:
+    """``docs`` with a number for each row, staged, since every reading must give the same numbers."""
+    return staged(docs.withColumn("__row", F.monotonically_increasing_id()), label)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id."""
-    groups = simhash.simhash_duplicates(docs)
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    others = [c for c in docs.columns if c != "doc_id"]
-    number = F.row_number().over(Window.partitionBy("doc_id").orderBy(*[F.col(f"`{c}`") for c in others]))
-    first = docs.join(kept, "doc_id", "left_semi").withColumn("__number", number).where("__number = 1").drop("__number")
-    return first.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.where("doc_id IS NULL"))
+    """Of each group of near copies the row with the smallest id."""
+    numbered = _numbered(docs, "near-duplicates")
+    groups = simhash.simhash_duplicates(numbered, id_col="__row").select(F.col("doc_id").alias("__row"), "component_id")
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "doc_id"]
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", F.xxhash64(*others).alias("hash"), "__row")
+    ordered = numbered.select("__row", order.alias("__order")).join(groups, "__row")
+    kept = ordered.groupBy("component_id").agg(F.min("__order").alias("__order")).select("__order.__row")
+    return numbered.join(kept, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +58,10 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item leaks."""
-    leaks = contamination.find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    numbered = _numbered(docs, "decontamination")
+    leaks = contamination.find_contamination(numbered, table(spark, sf_dir, "benchmark"), id_col="__row")
+    leaked = leaks.select(F.col("doc_id").alias("__row")).distinct()
+    return numbered.join(leaked, "__row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

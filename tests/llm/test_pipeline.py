@@ -136,6 +136,21 @@ def test_rows_that_share_an_id_leave_one(spark, planted):
     assert sorted(map(tuple, kept.collect())) == [(1, "same text of two rows"), (2, "another one is here")]
 
 
+def test_rows_without_or_with_shared_ids_are_filtered_like_others(spark, planted):
+    directory, _, items = planted
+    quoted = items[0][1]
+    rows = [
+        (None, "some text that stands here twice"), (None, "some text that stands here twice"), (3, "some text that stands here twice"),
+        (None, "a clean text that has no id"), (4, "one of two texts that share their id"), (4, "the other text is of another kind"),
+        (None, f"without an id {quoted}"), (5, f"with a shared id {quoted} again"), (5, "nothing from the items in here"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = corpus_pipeline.near_duplicates(spark, docs, directory)
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(rows[2:], key=str)
+    kept = corpus_pipeline.decontamination(spark, kept, directory)
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([*rows[2:6], rows[8]], key=str)
+
+
 def test_the_rest_works_without_this_package(tmp_path):
     for name in ("driftwell", "tests", "__spark_entry__.py"):
         source = os.path.join(ROOT, name)
