@@ -118,10 +118,17 @@ def fuzzy_spans(line: bytes, notice: Notice, told: bool = False) -> list[tuple[i
             merged.append([a, b])
     spans = []
     for a, b in merged:
-        # One more place, for the blank behind a telling word.
-        b = min(b + 1, len(line))
-        spans += [(*m.span(), edits) for m in pattern.finditer(line, a, b) if (edits := sum(m.fuzzy_counts)) <= slack]
-    return spans
+        # One more place, for the blank behind a telling word.  The best match is found first, so others
+        # may stand before it as well as behind it.
+        parts = [(a, min(b + 1, len(line)))]
+        while parts:
+            a, b = parts.pop()
+            found = pattern.search(line, a, b) if b - a >= size - slack else None
+            if found:
+                if (edits := sum(found.fuzzy_counts)) <= slack:
+                    spans.append((*found.span(), edits))
+                parts += [(a, found.start()), (found.end(), b)]
+    return sorted(spans)
 
 
 def scan_text(text: str | None, base: Sequence[Notice], fuzzy: Sequence[Notice]) -> tuple:

@@ -183,6 +183,14 @@ def test_notices_of_other_licenses_are_told_apart(text, labels, score):
     assert (found[5], found[6]) == (labels, pytest.approx(score))
 
 
+def test_edited_notices_before_and_behind_a_better_one():
+    notice, exact = licenses.FUZZY_NOTICES[0], "released under the mit license"
+    for told in (False, True):
+        line = f" released under teh mit license {exact} relesed under the mit license ".encode()
+        assert [edits for *_, edits in licenses.fuzzy_spans(line, notice, told)] == [2, 0, 1]
+    assert len(licenses.fuzzy_spans(f" {exact}".encode() * 3000 + b" ", notice, True)) == 3000
+
+
 def test_edits_beside_the_telling_word_are_all_found():
     rng = random.Random(8)
     for notice in [n for n in licenses.FUZZY_NOTICES if n.telling]:
