@@ -1,12 +1,10 @@
-"""Suffix-array deduplication of byte strings.
-
-Suffixes are sorted by induction from a sample, over shards that Spark exchanges and sorts on disk.
-The sample are the suffixes that begin at local minima: of the 16-byte prefixes in each window, the
-one with the smallest hash, the first of them in a tie.  Sampled suffixes meet by their common
-prefix (round one); the order of the suffixes that start up to 34 bytes before them is induced from
-theirs, as stretches at first and one by one where common prefixes end inside a stretch.  See
-``repeats`` for the rounds.  Only windows are compared, so a suffix is followed for ``WINDOW``
-bytes and no further.
+"""Deduplication of byte strings by windows that meet at sampled suffixes.
+
+No suffixes are sorted: that would take more disk than is allowed.  The sample are the suffixes that
+begin at local minima: of the 16-byte prefixes in each window, the one with the smallest hash, the
+first of them in a tie.  Sampled suffixes meet by a hash of their prefix (round one); the windows
+that start up to 34 bytes before them are compared by hash, as stretches at first and one by one
+where stretches differ.  See ``repeats`` for the rounds.
 
 A byte is removed if it lies in a window that also starts in a document with a smaller id; windows
 never cross documents and are judged on the input.
