@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from driftwell.llm import chat, contamination, language, licenses, minhash, packing, quality, recompression, simhash, suffixes
+from driftwell.llm import (
+    chat,
+    contamination,
+    language,
+    licenses,
+    merkle,
+    minhash,
+    packing,
+    quality,
+    recompression,
+    simhash,
+    suffixes,
+    whitening,
+)
 from driftwell.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -178,3 +191,82 @@ def op9_suffix_dedup(spark: SparkSession, directory: str) -> DataFrame:
 )
 def op10_substring_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return recompression.remove_repeated_words(table(spark, directory, "documents")).drop("kept")
+
+
+# A text field as a leaf takes it in; crc32 by its polynomial, eight steps for each byte.
+_FIELD = "coalesce(octet_length(encode(CAST({0} AS VARCHAR))) || ':' || CAST({0} AS VARCHAR), '-')"
+_CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT),
+        flatten([[CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0] FOR c IN string_split(CAST(doc_id AS VARCHAR), '')])),
+    lambda crc, byte: xor(xor(crc, byte) >> 1, 3988292384 * (xor(crc, byte) & 1))))"""
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(_FIELD.format(f) for f in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _tree_sql(name: str, leaves: str) -> str:
+    """All nodes ``g, level, idx, n, digest`` above ``leaves``."""
+    return f"""{name} AS (
+        SELECT g, 0 AS level, idx, n, digest FROM {leaves}
+        UNION ALL
+        SELECT g, level + 1, idx // 8, CAST(ceil(max(n) / 8) AS BIGINT), sha256(string_agg(digest, '' ORDER BY idx))
+        FROM {name} WHERE n > 1 GROUP BY g, level, idx // 8
+    )"""
+
+
+@query(
+    f"""
+    WITH RECURSIVE described AS (
+        SELECT doc_id, coalesce('=' || lang, '-') AS g, {_leaf_sql("text")} AS digest,
+            CASE WHEN ({_CRC32}) % 3 = 0
+                THEN {_leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS altered
+        FROM documents
+    ), leaves AS (
+        SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, digest) - 1 AS idx,
+            count(*) OVER (PARTITION BY g) AS n
+        FROM described
+    ), {_tree_sql("nodes", "leaves")}, subroots AS (
+        SELECT g, digest, 0 AS one, row_number() OVER (ORDER BY g) - 1 AS idx, count(*) OVER () AS n FROM nodes WHERE n = 1
+    ), named AS (
+        SELECT one AS g, idx, n, digest FROM subroots
+    ), {_tree_sql("uppers", "named")}, places AS (
+        SELECT l.doc_id, l.g, l.idx AS row, k.level, l.idx // CAST(power(8, k.level) AS BIGINT) AS idx, 0 AS upper
+        FROM leaves l JOIN (SELECT DISTINCT g, level FROM nodes WHERE n > 1) k USING (g)
+        UNION ALL
+        SELECT l.doc_id, l.g, l.idx, k.level, s.idx // CAST(power(8, k.level) AS BIGINT), 1
+        FROM leaves l JOIN subroots s USING (g) CROSS JOIN (SELECT DISTINCT level FROM uppers WHERE n > 1) k
+    ), beside AS (
+        SELECT p.g, p.row, 0 AS upper, p.level, x.idx - p.idx AS place, x.digest
+        FROM places p JOIN nodes x ON p.upper = 0 AND x.g = p.g AND x.level = p.level AND x.idx // 8 = p.idx // 8 AND x.idx <> p.idx
+        UNION ALL
+        SELECT p.g, p.row, 1, p.level, x.idx - p.idx, x.digest
+        FROM places p JOIN uppers x ON p.upper = 1 AND x.level = p.level AND x.idx // 8 = p.idx // 8 AND x.idx <> p.idx
+    ), steps AS (
+        SELECT p.g, p.row, row_number() OVER (PARTITION BY p.g, p.row ORDER BY p.upper, p.level) AS step,
+            coalesce(string_agg(b.digest, '' ORDER BY b.place) FILTER (b.place < 0), '') AS before,
+            coalesce(string_agg(b.digest, '' ORDER BY b.place) FILTER (b.place > 0), '') AS behind
+        FROM places p LEFT JOIN beside b USING (g, row, upper, level) GROUP BY p.g, p.row, p.upper, p.level
+    ), proofs AS (
+        SELECT g, row, sha256(string_agg(before || behind, '' ORDER BY step)) AS proof FROM steps GROUP BY g, row
+    ), folds AS (
+        SELECT g, idx AS row, CAST(0 AS BIGINT) AS step, coalesce(altered, digest) AS folded FROM leaves
+        UNION ALL
+        SELECT f.g, f.row, s.step, sha256(s.before || f.folded || s.behind)
+        FROM folds f JOIN steps s ON s.g = f.g AND s.row = f.row AND s.step = f.step + 1
+    ), ends AS (
+        SELECT g, row, max_by(folded, step) AS folded_root FROM folds GROUP BY g, row
+    )
+    SELECT l.doc_id, l.digest AS leaf, s.digest AS subroot, r.digest AS root,
+        coalesce(p.proof, sha256('')) AS proof_sha256, e.folded_root, e.folded_root = r.digest AS verified
+    FROM leaves l JOIN subroots s USING (g) JOIN ends e ON e.g = l.g AND e.row = l.idx
+    LEFT JOIN proofs p ON p.g = l.g AND p.row = l.idx CROSS JOIN (SELECT digest FROM uppers WHERE n = 1) r
+    """
+)
+def op12_merkle(spark: SparkSession, directory: str) -> DataFrame:
+    return merkle.merkle_manifest(table(spark, directory, "documents")).drop("path")
+
+
+@query()
+def op13_whitening(spark: SparkSession, directory: str) -> DataFrame:
+    return whitening.whiten_embeddings(table(spark, directory, "embeddings"))

@@ -1,0 +1,106 @@
+"""The manifest against a tree built node by node."""
+
+import random
+import zlib
+from hashlib import sha256
+
+import pytest
+from cases import AWKWARD, documents
+
+from driftwell.llm import merkle
+
+
+def h(*parts):
+    return sha256("".join(parts).encode()).hexdigest()
+
+
+def encoded(value):
+    return "-" if value is None else f"{len(str(value).encode())}:{value}"
+
+
+def lowered(text):
+    return None if text is None else "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+
+
+def tree(digests, arity):
+    """The root, and for each leaf the siblings left and right of its node at each level."""
+    paths, places = [[] for _ in digests], list(range(len(digests)))
+    while len(digests) > 1:
+        for path, place in zip(paths, places):
+            start = place - place % arity
+            path.append(("".join(digests[start:place]), "".join(digests[place + 1 : start + arity])))
+        digests = [h(*digests[i : i + arity]) for i in range(0, len(digests), arity)]
+        places = [p // arity for p in places]
+    return digests[0], paths
+
+
+def brute(rows, arity):
+    """``rows``: doc_id, text, lang, source, n_chars."""
+    groups = {}
+    for doc_id, text, lang, source, n_chars in rows:
+        leaf = h(*map(encoded, (doc_id, source, lang, n_chars, text)))
+        hit = doc_id is not None and zlib.crc32(str(doc_id).encode()) % 3 == 0
+        start = h(*map(encoded, (doc_id, source, lang, n_chars, lowered(text)))) if hit else leaf
+        groups.setdefault(lang, []).append((doc_id is not None, doc_id or 0, leaf, doc_id, start))
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {}
+    for name in names:
+        groups[name].sort(key=lambda r: r[:3])
+        trees[name] = tree([r[2] for r in groups[name]], arity)
+    root, upper = tree([trees[name][0] for name in names], arity)
+    out = []
+    for name, above in zip(names, upper):
+        for (_, _, leaf, doc_id, start), path in zip(groups[name], trees[name][1]):
+            steps, folded = path + above, start
+            for left, right in steps:
+                folded = h(left, folded, right)
+            proof = h(*[left + right for left, right in steps])
+            out.append((doc_id, leaf, trees[name][0], root, proof, folded, folded == root))
+    return out
+
+
+COLUMNS = ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+
+
+def agree(docs, arity):
+    inputs = [tuple(r) for r in docs.select("doc_id", "text", "lang", "source", "n_chars").collect()]
+    found = merkle.merkle_manifest(docs, arity=arity).select(*COLUMNS).collect()
+    assert sorted(map(tuple, found), key=repr) == sorted(brute(inputs, arity), key=repr)
+    return found
+
+
+@pytest.mark.parametrize("arity", [8, 2])
+def test_agrees_with_a_tree_built_by_hand(spark, arity):
+    rng = random.Random(5)
+    texts = [f"Text {i} of {rng.choice(['A', 'b'])}" for i in range(150)] + AWKWARD + ["twin"] * 20
+    ids = rng.sample(range(1000), len(texts) - 20) + [7000] * 20
+    ids[3] = ids[70] = None
+    langs = [rng.choice(["en", "en", "en", "de", None, "é", "z"]) for _ in texts]
+    langs[10] = "alone"
+    found = agree(documents(spark, texts, ids, langs).repartition(5), arity)
+    assert {r["verified"] for r in found} == {True, False}
+
+
+def test_more_groups_than_a_run_holds(spark):
+    langs = [f"l{i % 75}" for i in range(200)]
+    agree(documents(spark, ["Some Text"] * 200, langs=langs), 8)
+
+
+@pytest.mark.parametrize("n", [1, 8, 9, 64, 65])
+def test_sizes_at_the_edges_of_a_run(spark, n):
+    agree(documents(spark, ["A"] * n), 8)
+
+
+def test_equal_rows_without_id(spark):
+    found = agree(documents(spark, ["Same"] * 100, [None] * 100, [None] * 100), 8)
+    assert all(r["verified"] for r in found)
+
+
+def test_empty_and_long(spark):
+    assert merkle.merkle_manifest(documents(spark, [])).count() == 0
+    agree(documents(spark, ["Word " * 200_000, "x"]), 8)
+
+
+def test_untampered_rows_all_verify(spark):
+    docs = documents(spark, [f"Text {i}" for i in range(30)])
+    assert all(r["verified"] for r in merkle.merkle_manifest(docs, tampered=False).collect())
