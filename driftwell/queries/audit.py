@@ -6,10 +6,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from driftwell.plans import audit_log as plan
+from driftwell.plans import audit_log as plan, schema_drift
 from driftwell.queries.audit_data import (
     AUDIENCE_NEW_SQL,
     AUDIENCE_OLD_SQL,
+    DETAILS_SQL,
     ENTITY_TYPE_SQL,
     GROUP_FIELD_SQL,
     GROUP_NEW_SQL,
@@ -243,3 +244,40 @@ def audit_shred_day(t: Tables) -> DataFrame:
         for name in written
     ]
     return reduce(DataFrame.union, tables).groupBy("output").agg(F.count("*").alias("n"))
+
+
+# The same tree walked by the other engine; a field's values are counted under its name.
+_PATHS_SQL = rf"""
+WITH log AS (SELECT {KIND_SQL} AS kind, {DETAILS_SQL} AS details FROM orders),
+     good AS (SELECT kind, CAST(details AS JSON) AS doc FROM log WHERE coalesce(json_valid(details), false)),
+     parts AS (
+       SELECT kind, CAST(NULL AS VARCHAR) AS field, doc, '$' AS top FROM good
+       UNION ALL
+       SELECT kind, json_extract_string(e, '$.fieldName'), e, '$.fields[]' FROM (SELECT kind, unnest(json_extract(doc, '$.fields[*]')) AS e FROM good)),
+     walked AS (
+       SELECT kind, field, top || substr(regexp_replace(t.fullkey, '\[[0-9]+\]', '[]', 'g'), 2) AS path,
+              CASE t.type WHEN 'UBIGINT' THEN 'BIGINT' WHEN 'DOUBLE' THEN 'DECIMAL' WHEN 'NULL' THEN 'VOID' WHEN 'VARCHAR' THEN 'STRING' ELSE t.type END AS type,
+              top
+       FROM parts, json_tree(parts.doc) t),
+     paths AS (
+       SELECT kind AS "Source", field AS "fieldName", path, type, count(*) AS n FROM walked
+       WHERE NOT (top = '$' AND starts_with(path, '$.fields[]')) GROUP BY ALL
+       UNION ALL
+       SELECT kind, NULL, '$', CASE WHEN details IS NULL THEN 'MISSING' ELSE 'MALFORMED' END, count(*) FROM log
+       WHERE NOT coalesce(json_valid(details), false) GROUP BY ALL)
+"""
+
+
+@query(f"{_PATHS_SQL} SELECT * FROM paths")
+def audit_schema_paths(t: Tables) -> DataFrame:
+    return schema_drift.log_paths(audit_log(t))
+
+
+# Drift of the made-up log: old values of array fields that are single values, and unread documents.
+@query(f"""{_PATHS_SQL}
+SELECT * FROM paths WHERE type IN ('MISSING', 'MALFORMED')
+  OR ("Source" = 'MV_AdGroup' AND "fieldName" IN ({", ".join(f"'{s.name}'" for s in plan.ELEMENT_FIELDS)})
+      AND path = '$.fields[].oldValue' AND type NOT IN ('ARRAY', 'VOID'))
+""")
+def audit_schema_drift(t: Tables) -> DataFrame:
+    return schema_drift.schema_drift(audit_log(t))
