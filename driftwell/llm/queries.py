@@ -13,6 +13,7 @@ from driftwell.llm import (
     licenses,
     merkle,
     minhash,
+    neighbours,
     packing,
     quality,
     recompression,
@@ -193,6 +194,12 @@ def op10_substring_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return recompression.remove_repeated_words(table(spark, directory, "documents")).drop("kept")
 
 
+@query()
+def op11_neighbours(spark: SparkSession, directory: str) -> DataFrame:
+    vectors = table(spark, directory, "embeddings")
+    return neighbours.nearest_neighbours(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 # A text field as a leaf takes it in; crc32 by its polynomial, eight steps for each byte.
 _FIELD = "coalesce(octet_length(encode(CAST({0} AS VARCHAR))) || ':' || CAST({0} AS VARCHAR), '-')"
 _CRC32 = """xor(4294967295, list_reduce(

@@ -1,0 +1,135 @@
+"""Neighbours against brute force: recall, exact distances, ties, copies, crowded lists."""
+
+import math
+
+import numpy as np
+import pytest
+
+from driftwell.llm import neighbours
+
+SCHEMA = "vec_id long, embedding array<double>, label int, vector string, lists int, entry string, score double"
+
+
+def frame(spark, vectors, ids=None):
+    ids = range(len(vectors)) if ids is None else ids
+    return spark.createDataFrame([(i, v, 1, "v", 2, "e", -1.0) for i, v in zip(ids, vectors)], SCHEMA)
+
+
+def distance(a, b):
+    total = 0.0
+    for x, y in zip(a, b):
+        total += (x - y) * (x - y)
+    return math.sqrt(total)
+
+
+def brute(vectors, ids, wanted, k=10):
+    """Per query row: all other rows by distance and id, cut to k."""
+    out = []
+    for at, (i, v) in enumerate(zip(ids, vectors)):
+        if wanted(i):
+            others = sorted((distance(v, w), j) for n, (j, w) in enumerate(zip(ids, vectors)) if n != at)
+            out += [(i, rank + 1, j, d) for rank, (d, j) in enumerate(others[:k])]
+    return sorted(out)
+
+
+def rows(found):
+    return sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found.collect())
+
+
+def clustered(rng, n, width=16, centres=30, spread=0.15):
+    middles = rng.normal(size=(centres, width))
+    return (middles[rng.integers(0, centres, n)] + spread * rng.normal(size=(n, width))).tolist()
+
+
+def recall(found, expected):
+    truth, got = {}, {}
+    for q, _, v, _ in expected:
+        truth.setdefault(q, set()).add(v)
+    for q, _, v, _ in found:
+        got.setdefault(q, set()).add(v)
+    return sum(len(truth[q] & got.get(q, set())) for q in truth) / sum(map(len, truth.values()))
+
+
+@pytest.mark.parametrize("shape", ["clustered", "isotropic"])
+def test_recall_and_exact_scores(spark, shape):
+    rng = np.random.default_rng(1)
+    vectors = clustered(rng, 3000) if shape == "clustered" else rng.normal(size=(3000, 16)).tolist()
+    docs = frame(spark, vectors).repartition(6)
+    found = rows(neighbours.nearest_neighbours(docs, docs.where("vec_id % 25 = 0")))
+    expected = brute(vectors, range(3000), lambda i: i % 25 == 0)
+    assert [r[:2] for r in found] == [r[:2] for r in expected]
+    assert recall(found, expected) >= 0.95
+    by = {(q, v): d for q, _, v, d in expected}
+    assert all(by[q, v] == d for q, _, v, d in found if (q, v) in by)
+
+
+def test_lists_are_pruned_where_the_rows_allow_it(spark):
+    rng = np.random.default_rng(2)
+    docs = frame(spark, clustered(rng, 6000, centres=60, spread=0.05))
+    index = neighbours.build_index(docs)
+    assert len(index.graph.points) == 47
+    rows_ = np.array([r["embedding"] for r in docs.where("vec_id % 100 = 0").collect()])
+    read = [len(nodes) for nodes, _ in index.graph.near(rows_, index.ratio, neighbours.LEAST_LISTS)]
+    assert np.mean(read) < 10
+    # Every row is indexed once as its nearest list's; boundary rows are in more.
+    assert index.nearest.sum() == 6000 < index.sizes.sum()
+    assert index.nearest.max() < 4 * neighbours.LIST_ROWS
+
+
+def test_all_lists_give_the_exact_result_with_ties_copies_and_small_cells(spark, monkeypatch):
+    """Whole numbers tie often; copies crowd one list; ids repeat; cells are far smaller than lists."""
+    monkeypatch.setattr(neighbours, "CELL_VECTORS", 50)
+    monkeypatch.setattr(neighbours, "CELL_QUERIES", 7)
+    rng = np.random.default_rng(3)
+    vectors = rng.integers(-2, 3, size=(900, 3)).astype(float).tolist()
+    vectors = [v if any(v) else [1.0, 0.0, 0.0] for v in vectors] + [[5.0, 5.0, 5.0]] * 400
+    ids = [*range(1290), *[20, 40, 40, 1280, 7, 7, 7, 7, 7, 7]]
+    docs = frame(spark, vectors, ids).repartition(5)
+    index = neighbours.build_index(docs)
+    found = neighbours.search(index, docs.where("vec_id % 20 = 0"), ratio=float("inf"))
+    assert rows(found) == brute(vectors, ids, lambda i: i % 20 == 0)
+
+
+def test_copies_cost_a_bounded_entry(spark):
+    docs = frame(spark, [[1.0, 2.0]] * 3000 + [[3.0, 1.0]] * 2).repartition(8)
+    index = neighbours.build_index(docs)
+    assert sorted(len(r["ids"]) for r in index.entries.collect()) == [2, 11]
+    found = rows(neighbours.search(index, docs.where("vec_id % 100 = 0")))
+    assert found[:10] == [(0, i, i, 0.0) for i in range(1, 11)]
+    assert [r for r in found if r[0] == 2900] == [(2900, i + 1, i, 0.0) for i in range(10)]
+
+
+def test_awkward_rows(spark):
+    bad = [None, [], [0.0, 0.0], [1.0, None], [float("nan"), 1.0], [float("inf"), 1.0], [1.0], [1.0, 2.0, 3.0]]
+    good = [[1.0, 0.0], [0.0, 1.0], [-0.0, 1.0], [2.0, 2.0]]
+    docs = frame(spark, bad + good + [[9.0, 9.0]], [*range(len(bad)), 100, 200, 201, 300, None])
+    found = rows(neighbours.nearest_neighbours(docs, docs.where("vec_id % 100 = 0")))
+    assert found == brute(good, [100, 200, 201, 300], lambda i: i % 100 == 0)
+    assert neighbours.nearest_neighbours(frame(spark, []), frame(spark, [])).count() == 0
+    assert neighbours.nearest_neighbours(docs, docs.where("vec_id < 0")).count() == 0
+    alone = frame(spark, [[1.0, 1.0]], [0])
+    assert neighbours.nearest_neighbours(alone, alone).count() == 0
+    with pytest.raises(ValueError):
+        neighbours.search(neighbours.build_index(docs, k=3), docs, k=4)
+
+
+def test_walks_find_what_a_look_at_all_centroids_finds():
+    rng = np.random.default_rng(7)
+    points = rng.normal(size=(700, 8))
+    graph = neighbours.CentroidGraph.build(points)
+    queries = rng.normal(size=(300, 8))
+    hits = total = 0
+    for (nodes, far), q in zip(graph.near(queries, 1.3), queries):
+        true = np.sqrt(((points - q) ** 2).sum(axis=1))
+        expected = set(np.flatnonzero(true <= 1.3 * true.min()))
+        hits += len(expected & set(nodes))
+        total += len(expected)
+        assert np.allclose(far, true[nodes]) and (np.diff(far) >= 0).all()
+    assert hits / total > 0.99
+
+
+def test_cells_of_the_sample_are_equally_full():
+    rng = np.random.default_rng(8)
+    sample = np.vstack([rng.normal(size=(900, 4)) * 0.01, rng.normal(size=(100, 4)) + 5])
+    assert len(neighbours.balanced_centroids(sample, 37)) == 37
+    assert len(neighbours.balanced_centroids(np.ones((50, 3)), 8)) == 8
