@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from driftwell.functions.numbers import safe_ratio
 from driftwell.functions.text import jvm_split
+from driftwell.operators import folds
 from driftwell.operators.keyed import aggregate_by_key, count_by_key, sum_by_key, values_by_key, word_counts
 from driftwell.operators.reshape import duplicate_profile, pivot_first
 from driftwell.plans.auctions import expensive_auctions
@@ -148,3 +149,51 @@ FROM lineitem
 """)
 def dup_profile(t: Tables) -> DataFrame:
     return duplicate_profile(t.lineitem)
+
+
+# The smallest power of two with which the bins between least and greatest value suffice.
+_HISTOGRAM_SQL = """
+WITH given AS (SELECT {key} AS k, CAST(round({value} * 100) AS BIGINT) AS v FROM {table}),
+     ranges AS (SELECT k, min(v) AS low, max(v) AS high FROM given GROUP BY k),
+     fitted AS (SELECT k, min(width) AS width, any_value(low) AS low, any_value(high) AS high
+                FROM ranges, (SELECT CAST(power(2, s) AS BIGINT) AS width FROM range(50) t(s))
+                WHERE high // width - low // width < {bins} GROUP BY k),
+     slots AS (SELECT k, width, low // width * width AS first, unnest(range(low // width, high // width + 1)) AS place FROM fitted),
+     filled AS (SELECT s.k, s.width, s.first, s.place, count(g.v) AS n
+                FROM slots s LEFT JOIN given g ON g.k = s.k AND g.v // s.width = s.place GROUP BY ALL)
+SELECT {named} width, first, string_agg(n, ',' ORDER BY place) AS counts, CAST(sum(n) AS BIGINT) AS n FROM filled GROUP BY k, width, first
+"""
+
+
+def _cents(column: str) -> Column:
+    return F.round(F.col(column) * 100).cast("bigint")
+
+
+@query(_HISTOGRAM_SQL.format(key="l_suppkey", value="l_extendedprice", table="lineitem", bins=16, named="k AS l_suppkey,"))
+def kv_fold_histogram(t: Tables) -> DataFrame:
+    """A state no built-in aggregate has: counts in at most 16 bins that widen as the values spread."""
+    prices = t.lineitem.select("l_suppkey", _cents("l_extendedprice").alias("cents"))
+    found = folds.fold_by_key(prices, ["l_suppkey"], ["cents"], folds.bounded_histogram(16))
+    return found.withColumn("counts", F.concat_ws(",", F.col("counts").cast("array<string>")))
+
+
+@query(_HISTOGRAM_SQL.format(key="0", value="o_totalprice", table="orders", bins=40, named=""))
+def fold_histogram(t: Tables) -> DataFrame:
+    """The same over all rows, without a key."""
+    prices = t.orders.select(_cents("o_totalprice").alias("cents"))
+    found = folds.fold_by_key(prices, [], ["cents"], folds.bounded_histogram(40))
+    return found.withColumn("counts", F.concat_ws(",", F.col("counts").cast("array<string>")))
+
+
+@query("SELECT l_partkey, CAST(sum(l_orderkey % 100) AS BIGINT) AS total, count(*) AS n FROM lineitem GROUP BY 1")
+def kv_fold_each(t: Tables) -> DataFrame:
+    """A zero, a function of state and value, and one that merges states; the values are text."""
+    given = t.lineitem.select("l_partkey", (F.col("l_orderkey") % 100).cast("string").alias("text"))
+    fold = folds.Fold(
+        zero=lambda: (0, 0),
+        seq=folds.each(lambda state, text: (state[0] + int(text), state[1] + 1)),
+        comb=lambda a, b: (a[0] + b[0], a[1] + b[1]),
+        finish=lambda state: state,
+        schema="total long, n long",
+    )
+    return folds.fold_by_key(given, ["l_partkey"], ["text"], fold)
