@@ -43,10 +43,11 @@ MOST_LISTS = 16_384
 SAMPLE = 65_536
 SAMPLE_VALUES = 1 << 22
 MOST_SAMPLED = 0.25
-# A vector has at most so many lists, with centroids up to this ratio of the nearest one's distance.
+# A vector has at most so many lists.  A boundary vector's centroids are up to a ratio of the nearest
+# one's distance away; the ratio makes this share of the sample boundary vectors.
 COPIES = 3
-BOUNDARY = 1.05
-RECALL = 0.985
+BOUNDARY_SHARE = 0.25
+RECALL = 0.95
 TRIALS = 512
 # At least so many lists are read by a query.
 LEAST_LISTS = 4
@@ -171,17 +172,26 @@ class CentroidGraph:
         return out
 
 
-def _homes(graph: CentroidGraph, rows: np.ndarray) -> list[np.ndarray]:
-    """The lists of each row, its nearest first."""
-    return [nodes[:COPIES] for nodes, _ in graph.near(rows, BOUNDARY)]
+def _nearest_lists(graph: CentroidGraph, rows: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    return [(nodes[:COPIES], far[:COPIES]) for nodes, far in graph.near(rows, 1.0, COPIES)]
 
 
-def fitted_ratio(graph: CentroidGraph, sample: np.ndarray, k: int, recall: float = RECALL) -> float:
+def _homes(near: list[tuple[np.ndarray, np.ndarray]], boundary: float) -> list[np.ndarray]:
+    """The lists of each row, its nearest first, from its nearest centroids."""
+    return [nodes[(far <= boundary * far[0]) | (np.arange(len(far)) == 0)] for nodes, far in near]
+
+
+def fitted_boundary(near: list[tuple[np.ndarray, np.ndarray]], share: float = BOUNDARY_SHARE) -> float:
+    """The ratio of the two nearest centroids' distances that ``share`` of the rows stays below."""
+    ratios = [far[1] / max(far[0], 1e-300) for _, far in near if len(far) > 1]
+    return float(np.quantile(ratios, share)) if ratios else 1.0
+
+
+def fitted_ratio(graph: CentroidGraph, sample: np.ndarray, homes: list[np.ndarray], k: int, recall: float = RECALL) -> float:
     """The smallest ratio at which queries of the sample meet ``recall`` of their neighbours in it."""
     if len(sample) <= k:
         return np.inf
     trials = np.unique(np.linspace(0, len(sample) - 1, TRIALS).astype(np.int64))
-    homes = _homes(graph, sample)
     needed = []
     for at in range(0, len(trials), 64):
         some = trials[at : at + 64]
@@ -246,13 +256,15 @@ def build_index(rows: DataFrame, *, id_col: str = "vec_id", vector_col: str = "e
         drawn = distinct.select("entry", "vector").limit(1).toPandas()
     sample = _matrix(drawn.sort_values("entry")["vector"])
     graph = CentroidGraph.build(balanced_centroids(sample, max(1, min(MOST_LISTS, -(-count // LIST_ROWS), len(sample) // 4))))
-    ratio = fitted_ratio(graph, sample, k)
+    near = _nearest_lists(graph, sample)
+    boundary = fitted_boundary(near)
+    ratio = fitted_ratio(graph, sample, _homes(near, boundary), k)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at in range(0, len(batch), 2_048):
                 part = batch.iloc[at : at + 2_048]
-                yield part.assign(lists=_homes(graph, _matrix(part["vector"])))
+                yield part.assign(lists=_homes(_nearest_lists(graph, _matrix(part["vector"])), boundary))
 
     kind = distinct.schema["vector"].dataType.simpleString()
     entries = staged(distinct.mapInPandas(assign, f"entry long, ids array<long>, vector {kind}, lists array<int>"), "neighbours-index")
