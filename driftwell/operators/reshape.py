@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+
+# Pivot columns beyond this number are taken for a mistake.
+MOST_PIVOT_COLUMNS = 1_000
+
+
+def _label(pivot: str) -> Column:
+    return F.coalesce(F.col(pivot).cast("string"), F.lit("null"))
 
 
 def pivot_first(
@@ -20,11 +28,44 @@ def pivot_first(
     ``values`` are given, so there is no hidden pass to find them.  A null pivot value makes the
     column ``null``.
     """
-    labelled = frame.withColumn(pivot, F.coalesce(F.col(pivot).cast("string"), F.lit("null")))
+    labelled = frame.withColumn(pivot, _label(pivot))
     grouped = labelled.groupBy(*keys).pivot(pivot, list(values))
     return grouped.agg(F.min_by(value, order))
 
 
+def pivot_values(frame: DataFrame, pivot: str, *, limit: int = MOST_PIVOT_COLUMNS) -> list[str]:
+    """The values of a column as names of pivot columns, in order, ``null`` for null.
+
+    At most one more than ``limit`` of them reach the driver; more than ``limit`` are an error, since
+    leaving some out would leave rows out.
+    """
+    labels = frame.select(_label(pivot).alias("label")).distinct()
+    found = sorted(r["label"] for r in labels.limit(limit + 1).collect())
+    if len(found) > limit:
+        raise ValueError(f"{pivot} has more than {limit} values; raise the limit, or group by it instead")
+    return found
+
+
+def pivot_discovered(
+    frame: DataFrame,
+    keys: Sequence[str],
+    pivot: str,
+    value: str,
+    order: str,
+    *,
+    limit: int = MOST_PIVOT_COLUMNS,
+) -> DataFrame:
+    """``pivot_first`` for all values the column has, which a first pass over that column finds.
+
+    The columns stand in the order of their names, whatever the order of the rows.  A value named
+    like a key is an error.
+    """
+    values = pivot_values(frame, pivot, limit=limit)
+    if clashing := sorted(set(values) & set(keys)):
+        raise ValueError(f"pivot values named like keys: {clashing}")
+    return pivot_first(frame, keys, pivot, value, order, values)
+
+
 def fill_null(frame: DataFrame, text: str, columns: Sequence[str]) -> DataFrame:
     """Replace nulls in those of the columns the frame has."""
     present = [c for c in columns if c in frame.columns]

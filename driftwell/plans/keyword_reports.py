@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from driftwell.operators.joins import join_aggregate, star_join
+from driftwell.operators.products import product_by_key
 from driftwell.plans.audit_log import KEYWORD_SOURCE, parse_log
 from driftwell.schemas import WRITE_REPORT_COLUMNS
 
@@ -35,6 +36,10 @@ CREATE_COLUMNS = (
 )
 
 
+# Parts of a created keyword: its record, that is who and when, and what is given for each field.
+RECORD, GIVEN = "record", "new "
+
+
 def keyword_records(log: DataFrame) -> DataFrame:
     """The keyword records of a change log, parsed.
 
@@ -108,25 +113,25 @@ def write_summary(report: DataFrame, ad_groups: DataFrame, campaigns: DataFrame,
     )
 
 
-def _values_of(name: str) -> Column:
-    """New values given for a field, each in a struct so that a null one is still an element."""
-    found = F.filter("fields", lambda f: f["fieldName"] == name)
-    return F.transform(found, lambda f: F.struct(f["newValue"].alias("v")))
-
-
 def create_report(records: DataFrame) -> DataFrame:
     """Created keywords: one row per audit id that gives all six fields, each possibly null.
 
-    The fields of an audit id may come from several of its records.  They are gathered per id, the
-    wanted ones only, and each is exploded: a missing field gives no row, one given several times a
-    row for each, and several records of an id are each shown with all of its fields, as joining
-    six frames by audit id would.
+    The fields of an audit id may come from several of its records.  A missing field gives no row,
+    one given several times a row for each, and several records of an id are each shown with all of
+    its fields, as joining seven frames by audit id would; see ``product_by_key`` for how an id with
+    very many of them is spread over tasks.
     """
     creates = records.where((F.col("Summary") == CREATE) & F.col("Id").isNotNull())
-    users = creates.select("Id", "UserName", "LogDateTime")
+
+    def entry(part: Column, *value: Column) -> Column:
+        return F.struct(part.alias("part"), F.array(*value).alias("value"))
+
+    record = F.array(entry(F.lit(RECORD), F.col("UserName"), F.col("LogDateTime")))
     wanted = F.filter("details.fields", lambda f: f["fieldName"].isin(*CREATE_FIELDS))
-    rows = creates.select("Id", wanted.alias("fields")).groupBy("Id").agg(F.flatten(F.collect_list("fields")).alias("fields"))
-    for name in CREATE_FIELDS:
-        rows = rows.withColumn(f"_{name}", F.explode(_values_of(name)))
-    values = [F.col(f"_{name}.v") for name in CREATE_FIELDS]
-    return users.join(rows, "Id").select("Id", "UserName", "LogDateTime", *values).toDF(*CREATE_COLUMNS)
+    given = F.transform(wanted, lambda f: entry(F.concat(F.lit(GIVEN), f["fieldName"]), f["newValue"]))
+    entries = F.concat(record, F.coalesce(given, F.array().cast("array<struct<part:string,value:array<string>>>")))
+    values = creates.select("Id", F.explode(entries).alias("e")).select("Id", "e.part", "e.value")
+    named = [GIVEN + name for name in CREATE_FIELDS]
+    rows = product_by_key(values, "Id", "part", "value", (RECORD, *named))
+    fields = [F.col(f"`{name}`")[0] for name in named]
+    return rows.select("Id", F.col(RECORD)[0], F.col(RECORD)[1], *fields).toDF(*CREATE_COLUMNS)

@@ -8,7 +8,7 @@ from driftwell.functions.numbers import safe_ratio
 from driftwell.functions.text import jvm_split
 from driftwell.operators import folds
 from driftwell.operators.keyed import aggregate_by_key, count_by_key, sum_by_key, values_by_key, word_counts
-from driftwell.operators.reshape import duplicate_profile, pivot_first
+from driftwell.operators.reshape import duplicate_profile, pivot_discovered, pivot_first
 from driftwell.plans.auctions import expensive_auctions
 from driftwell.plans.quality import distinct_ratio
 from driftwell.queries.catalog import Tables, exact_mean_sql, query
@@ -82,6 +82,17 @@ def pivot_agg(t: Tables) -> DataFrame:
     return pivot_first(labelled, ["o_custkey"], "p", "o_totalprice", "o_orderkey", ["TF", "TO", "null"])
 
 
+_FOUND_SQL = ", ".join(
+    f"min_by(value, event_id) FILTER (WHERE event_type = '{kind}') AS \"{kind}\"" for kind in ("click", "error", "purchase", "signup", "view")
+)
+
+
+@query(f"SELECT user_id, {_FOUND_SQL} FROM events GROUP BY 1")
+def pivot_found(t: Tables) -> DataFrame:
+    """The columns are those of the data: no value of the pivot column is named here."""
+    return pivot_discovered(t.events, ["user_id"], "event_type", "value", "event_id")
+
+
 @query("SELECT l_partkey, sum(l_quantity) AS total FROM lineitem GROUP BY 1")
 def kv_sum(t: Tables) -> DataFrame:
     return sum_by_key(t.lineitem, "l_partkey", "l_quantity")
