@@ -23,6 +23,7 @@ Without queries or candidates there are no rows.  Other columns are not looked a
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,8 +37,8 @@ from driftwell.session import delete_path, scratch_path
 from driftwell.sources.writers import stage
 
 K = 10
-# Rows to a list, and the most lists there are; beyond it lists grow and are cut into more cells.
-LIST_ROWS = 128
+# There are as many lists as the root of the number of vectors, so that looking at centroids and looking
+# at a list cost alike; beyond the most there are, lists grow and are cut into more cells.
 MOST_LISTS = 16_384
 # The index is fitted on at most so many rows, numbers and this share; all rows are indexed.
 SAMPLE = 65_536
@@ -255,7 +256,7 @@ def build_index(rows: DataFrame, *, id_col: str = "vec_id", vector_col: str = "e
     if drawn.empty:
         drawn = distinct.select("entry", "vector").limit(1).toPandas()
     sample = _matrix(drawn.sort_values("entry")["vector"])
-    graph = CentroidGraph.build(balanced_centroids(sample, max(1, min(MOST_LISTS, -(-count // LIST_ROWS), len(sample) // 4))))
+    graph = CentroidGraph.build(balanced_centroids(sample, max(1, min(MOST_LISTS, math.isqrt(count), len(sample) // 4))))
     near = _nearest_lists(graph, sample)
     boundary = fitted_boundary(near)
     ratio = fitted_ratio(graph, sample, _homes(near, boundary), k)

@@ -67,13 +67,13 @@ def test_lists_are_pruned_where_the_rows_allow_it(spark):
     rng = np.random.default_rng(2)
     docs = frame(spark, clustered(rng, 6000, centres=60, spread=0.05))
     index = neighbours.build_index(docs)
-    assert len(index.graph.points) == 47
+    assert len(index.graph.points) == 77
     rows_ = np.array([r["embedding"] for r in docs.where("vec_id % 100 = 0").collect()])
     read = [len(nodes) for nodes, _ in index.graph.near(rows_, index.ratio, neighbours.LEAST_LISTS)]
     assert np.mean(read) < 10
     # Every row is indexed once as its nearest list's; boundary rows are in more.
     assert index.nearest.sum() == 6000 < index.sizes.sum()
-    assert index.nearest.max() < 4 * neighbours.LIST_ROWS
+    assert index.nearest.max() < 4 * 6000 / 77
 
 
 def test_all_lists_give_the_exact_result_with_ties_copies_and_small_cells(spark, monkeypatch):
