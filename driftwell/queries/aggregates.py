@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from driftwell.functions.numbers import safe_ratio
 from driftwell.functions.text import jvm_split
-from driftwell.operators import folds
+from driftwell.operators import bitmaps, folds
 from driftwell.operators.keyed import aggregate_by_key, count_by_key, sum_by_key, values_by_key, word_counts
 from driftwell.operators.reshape import duplicate_profile, pivot_discovered, pivot_first
 from driftwell.plans.auctions import expensive_auctions
@@ -208,3 +208,27 @@ def kv_fold_each(t: Tables) -> DataFrame:
         schema="total long, n long",
     )
     return folds.fold_by_key(given, ["l_partkey"], ["text"], fold)
+
+
+@query("""
+SELECT CAST(count(DISTINCT user_id) FILTER (event_type = 'purchase') AS BIGINT) AS first_ids, count(DISTINCT user_id) AS second_ids,
+       CAST(count(DISTINCT user_id) FILTER (event_type = 'purchase') AS DOUBLE) / nullif(CAST(count(DISTINCT user_id) AS DOUBLE), 0) AS ratio
+FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-09'
+""")
+def distinct_over_days(t: Tables) -> DataFrame:
+    """Buyers among the visitors of a week, from the bitmaps that each day has left."""
+    path = t.scratch("day-bitmaps")
+    events = t.events.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    buyer = F.when(F.col("event_type") == "purchase", F.col("user_id"))
+    bitmaps.write_days(events, path, {"buyers": buyer, "visitors": F.col("user_id")}, "day")
+    return bitmaps.distinct_ratio_between(bitmaps.stored_bitmaps(t.spark, path), "buyers", "visitors", "2024-01-03", "2024-01-09")
+
+
+@query("SELECT strftime(ts, '%Y-%m-%d') AS dt, event_type AS measure, count(DISTINCT user_id) AS n FROM events GROUP BY 1, 2")
+def distinct_by_day(t: Tables) -> DataFrame:
+    """Distinct visitors of each day and kind of event, counted in one pass as bitmaps."""
+    events = t.events.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    kinds = ("click", "error", "purchase", "signup", "view")
+    measures = {kind: F.when(F.col("event_type") == kind, F.col("user_id")) for kind in kinds}
+    found = bitmaps.id_bitmaps(events, measures, "day")
+    return found.groupBy("dt", "measure").agg(F.sum(F.bitmap_count("bitmap")).alias("n"))

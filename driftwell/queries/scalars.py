@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from driftwell.functions.numbers import percent, safe_ratio
 from driftwell.functions.text import jvm_split
 from driftwell.functions.time import days_before, epoch_ms_to_day
-from driftwell.operators.partitions import first_per_partition, id_range, tag_partition
+from driftwell.operators.partitions import first_per_partition, first_rows, id_range, laid_out, tag_partition, tag_rows
 from driftwell.operators.reshape import fill_null
 from driftwell.plans.match_rate import actions_for_url
 from driftwell.plans.quality import over_long
@@ -257,3 +257,22 @@ def per_partition_first(t: Tables) -> DataFrame:
 @query(_STARTS + "SELECT partition || '|' || unnest(range(first, past)) AS tagged FROM starts")
 def partition_tag(t: Tables) -> DataFrame:
     return tag_partition(_ids(t), "id")
+
+
+@query(f"""
+SELECT CAST(o_orderkey % {_PARTITIONS} AS INTEGER) AS partition, min_by(o_orderkey, o_totalprice * 1000000000 + o_orderkey) AS o_orderkey,
+       min_by(o_custkey, o_totalprice * 1000000000 + o_orderkey) AS o_custkey
+FROM orders GROUP BY 1
+""")
+def partition_first_row(t: Tables) -> DataFrame:
+    """The first row of each partition by its iterator, over given rows in a fixed layout."""
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    placed = laid_out(rows, F.col("o_orderkey") % _PARTITIONS, _PARTITIONS, ["o_totalprice", "o_orderkey"])
+    return first_rows(placed).select("partition", "o_orderkey", "o_custkey")
+
+
+@query(f"SELECT (o_orderkey % {_PARTITIONS}) || '|' || o_custkey AS tagged FROM orders")
+def partition_index_rows(t: Tables) -> DataFrame:
+    """Every row with its partition's number, as it passes through the iterator."""
+    rows = t.orders.select("o_orderkey", "o_custkey")
+    return tag_rows(laid_out(rows, F.col("o_orderkey") % _PARTITIONS, _PARTITIONS, ["o_orderkey"]), "o_custkey")

@@ -8,7 +8,15 @@ from driftwell.functions.text import jvm_split
 from driftwell.queries.catalog import Tables, query
 from driftwell.sources.readers import csv_text_rows, long_cells, read_delimited, read_ordinal, wide_cells
 from driftwell.sources.writers import append_table, write_days, write_lines, write_report, write_snapshot
-from driftwell.streaming.word_count import file_lines, read_batches, start_word_count
+from driftwell.streaming.word_count import (
+    file_lines,
+    file_lines_with_origin,
+    read_batches,
+    read_manifest,
+    read_timed_batches,
+    start_timed_word_count,
+    start_word_count,
+)
 
 _ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string"
 _ORDERS_SQL = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders"
@@ -220,3 +228,31 @@ def stream_wordcount(t: Tables) -> DataFrame:
     running = start_word_count(lines, f"{base}/counts", f"{base}/checkpoint", available_now=True)
     running.awaitTermination()
     return read_batches(t.spark, f"{base}/counts").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+_STREAM_PARTS = 4
+
+
+# Which batch a file falls into is up to the source; the file's part says whose words they are.
+@query(f"""
+SELECT part, CAST(1 AS BIGINT) AS files, CAST(1 AS BIGINT) AS attempts, word, count(*) AS n FROM (
+  SELECT part, unnest(CASE WHEN line = '' THEN [''] ELSE
+           list_filter(string_split(regexp_replace(line, ' +$', ''), ' '), lambda x: regexp_replace(line, ' +$', '') <> '')
+         END) AS word
+  FROM (SELECT CAST(conv_id % {_STREAM_PARTS} AS INTEGER) AS part, unnest(CASE WHEN text = '' THEN [''] ELSE
+                 list_filter(string_split(regexp_replace(text, '\\n+$', ''), chr(10)), lambda x: regexp_replace(text, '\\n+$', '') <> '')
+               END) AS line FROM conversations))
+GROUP BY part, word
+""")
+def stream_batches(t: Tables) -> DataFrame:
+    """Words of each batch on their own, over several files, one to a batch; batches are known by their files."""
+    base = t.scratch("stream-batches")
+    given = t.conversations.select("text", (F.col("conv_id") % _STREAM_PARTS).cast("int").alias("part"))
+    given.repartition(_STREAM_PARTS, "part").write.partitionBy("part").parquet(f"{base}/in")
+    words = file_lines_with_origin(t.spark, f"{base}/in/part=*", "text string", "text", files_per_batch=1)
+    running = start_timed_word_count(words, f"{base}/counts", f"{base}/manifest", f"{base}/checkpoint", available_now=True)
+    running.awaitTermination()
+    part = F.regexp_extract(F.col("files")[0], "part=([0-9]+)", 1).cast("int").alias("part")
+    batches = read_manifest(t.spark, f"{base}/manifest").select("batch", "attempts", F.size("files").cast("bigint").alias("files"), part)
+    counts = read_timed_batches(t.spark, f"{base}/counts", f"{base}/manifest")
+    return counts.join(batches, "batch").select("part", "files", "attempts", "word", "n")
