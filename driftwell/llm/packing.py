@@ -8,8 +8,8 @@ Only the last window is padded.
 The ids of pass one are written to the shared folder, so that an executor lost in pass two costs no
 new tokenising and can not change a total.
 
-Defined cases: a null or empty text is its end id alone; control strings of the tokenizer inside a
-text are ordinary text; repeated rows and null ids are documents of their own.
+Defined cases: a null or empty text is its end id alone; a control string of the tokenizer inside a
+text is that string's id, as ``encode(text, add_special_tokens=False)`` has it; repeated rows and null ids are documents of their own.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ WINDOW = 2048
 END_ID = 1
 # Runs of one kind of character beyond this length go to the tokenizer's own merge loop.
 LONG_RUN = 2_000
-_PROBES = ["", "Hello, wörld!  It's 12 o'clock\n\n\tok <|endoftext|> ", "éàü ñ 漢字 🙂 a b  x", "x" * 50, " " * 40 + "y"]
+_PROBES = ["", "Hello, wörld!  It's 12 o'clock\n\n\tok <|end of text|> ", "éàü ñ 漢字 🙂 a b  x", "x" * 50, " " * 40 + "y"]
 
 
 class ByteBpe:
@@ -37,14 +37,15 @@ class ByteBpe:
 
     The vocabulary is read from the file.  Where its pre-tokeniser is the common byte-level one,
     ``tiktoken`` runs the same merges over the same ranks several times faster; probes at loading
-    time and the tests hold both to the same ids, and any other file is left to ``tokenizers``.
+    time and the tests hold both to the same ids.  Texts in which an added token of the file stands,
+    and all texts of any other file, are left to ``tokenizers``.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.slow = Tokenizer.from_file(path)
-        self.slow.encode_special_tokens = True
+        self.added = [t.content for t in self.slow.get_added_tokens_decoder().values()]
         self.fast = self._ranks(path)
         if self.fast and [self.fast.encode_ordinary(p) for p in _PROBES] != [self._by_file(p) for p in _PROBES]:
             self.fast = None
@@ -73,7 +74,7 @@ class ByteBpe:
         return tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> list[int]:
-        if self.fast is None:
+        if self.fast is None or any(token in text for token in self.added):
             return self._by_file(text)
         if len(text) > LONG_RUN:
             words = text.split()

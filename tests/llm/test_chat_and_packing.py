@@ -81,7 +81,6 @@ def by_file():
     from tokenizers import Tokenizer
 
     found = Tokenizer.from_file(tokenizer_path())
-    found.encode_special_tokens = True
     return lambda text: found.encode(text, add_special_tokens=False).ids
 
 
@@ -101,9 +100,26 @@ def test_ids_of_the_given_documents(spark, tables_dir, by_file):
         assert bpe.encode(text) == by_file(text)
 
 
+CONTROL = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y", "<|endoftext", "<|ENDOFTEXT|>", "é <|endoftext|>" + "w" * 3000]
+
+
+def test_control_strings_have_the_ids_of_the_plain_call(by_file):
+    bpe = packing.tokenizer(tokenizer_path())
+    assert len(by_file("a <|endoftext|> b")) == 4 and 50256 in by_file("a <|endoftext|> b")
+    for text in CONTROL:
+        assert bpe.encode(text) == by_file(text)
+
+
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|", "|>", " ", "end", "oftext", "é"]), max_size=12))
+@settings(max_examples=200, deadline=None)
+def test_ids_around_control_strings(parts):
+    bpe = packing.tokenizer(tokenizer_path())
+    assert bpe.encode("".join(parts)) == bpe.slow.encode("".join(parts), add_special_tokens=False).ids
+
+
 def test_pieces_hold_every_id_once(spark, by_file):
     rng = random.Random(3)
-    texts = [" ".join(words(rng, rng.choice([1, 40, 400, 4000]))) for _ in range(60)] + AWKWARD + ["<|endoftext|> in a text"]
+    texts = [" ".join(words(rng, rng.choice([1, 40, 400, 4000]))) for _ in range(60)] + AWKWARD + ["<|endoftext|> in a text", *CONTROL]
     ids = [None, *range(1, len(texts))]
     pieces = packing.pack_documents(documents(spark, texts, ids).repartition(7), tokenizer_path(), window=256).collect()
     expected = {i: [*by_file(t or ""), 1] for i, t in zip(ids, texts)}
