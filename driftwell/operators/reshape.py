@@ -93,9 +93,15 @@ def eav_to_wide(
 
 
 def duplicate_profile(frame: DataFrame) -> DataFrame:
-    """One row: the number of rows and of distinct rows, nulls counted, from one pass."""
-    copies = frame.groupBy(*frame.columns).agg(F.count("*").alias("_copies"))
-    return copies.agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).cast("bigint").alias("rows"),
-        F.count("*").alias("distinct_rows"),
-    )
+    """One row: the number of rows and of distinct rows, nulls counted.
+
+    What is shuffled is a hash of each row.  A hash met once is a distinct row; only rows whose hash
+    is met again, copies and the few rows that share a hash by chance, are compared as they are.
+    """
+    columns = [F.col(f"`{c}`") for c in frame.columns]
+    hashes = frame.select(F.xxhash64(*columns).alias("_hash")).groupBy("_hash").agg(F.count("*").alias("_n"))
+    alone = hashes.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows"), F.count_if(F.col("_n") == 1).alias("distinct_rows"))
+    again = hashes.where("_n > 1").select("_hash")
+    repeated = frame.withColumn("_hash", F.xxhash64(*columns)).join(again, "_hash", "left_semi").groupBy("_hash", *columns).agg(F.lit(1))
+    compared = repeated.agg(F.lit(0).cast("bigint").alias("rows"), F.count("*").alias("distinct_rows"))
+    return alone.unionAll(compared).agg(F.sum("rows").alias("rows"), F.sum("distinct_rows").alias("distinct_rows"))

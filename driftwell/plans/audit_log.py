@@ -14,7 +14,6 @@ record whose details are not JSON.
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field as dataclass_field
 from functools import reduce
 
@@ -22,8 +21,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from driftwell.functions.text import is_json_array
 from driftwell.schemas import DETAILS
-from driftwell.session import delete_path
 from driftwell.sources.readers import json_rows
+from driftwell.sources.publish import publish_day
 from driftwell.sources.writers import stage
 
 
@@ -299,8 +298,6 @@ def _output_tables() -> dict[str, Output]:
 OUTPUTS = _output_tables()
 # The staging directory of all records without an entity table.
 OTHER_KIND = "other"
-# Tables written at the same time.
-WRITERS = 4
 
 
 def shred_day(
@@ -318,9 +315,11 @@ def shred_day(
     one for all others, in files sized by their bytes; the ad groups' special fields are exploded
     once, one directory per field.  Each table then reads only its own directory, and a lost
     executor costs a re-read of parquet rather than a new parse.  A table is written if its record
-    kind, and its field where it has one, has at least ``min_rows`` rows.  Each table goes to
-    ``dt=<day>``, where an existing day is replaced; where there is nothing to write it is deleted,
-    so a rerun leaves nothing of an earlier run.  ``mode="errorifexists"`` refuses instead.
+    kind, and its field where it has one, has at least ``min_rows`` rows.  Tables of one schema are
+    written by one job, and all tables are published together (``sources.publish``): each goes to
+    ``dt=<day>``, where an existing day is replaced, and where there is nothing to write it is
+    deleted, so a rerun leaves nothing of an earlier run; a run that fails leaves the old day whole.
+    ``mode="errorifexists"`` refuses instead.
     The caller deletes ``staging``.
     """
     spark = log.sparkSession
@@ -342,22 +341,15 @@ def shred_day(
             gates.append((output.source, output.field_name))
         return all(sizes.get(gate, 0) >= min_rows for gate in gates)
 
-    def write(name: str) -> None:
+    def table(name: str) -> DataFrame:
         output = OUTPUTS[name]
         if name == REJECTS:
-            table = all_rejects(parsed, fields)
-        elif output.of_fields is not None:
-            table = output.of_fields(fields.where(F.col("fieldName") == output.field_name))
-        else:
-            table = output.build(parsed if output.source is None else parsed.where(F.col("kind") == output.source))
-        table.write.mode(mode).parquet(f"{target}/{name}/dt={day}")
-
-    if mode == "overwrite":
-        for name, output in OUTPUTS.items():
-            if not wanted(output):
-                delete_path(spark, f"{target}/{name}/dt={day}")
+            return all_rejects(parsed, fields)
+        if output.of_fields is not None:
+            return output.of_fields(fields.where(F.col("fieldName") == output.field_name))
+        return output.build(parsed if output.source is None else parsed.where(F.col("kind") == output.source))
+
     written = [name for name, output in OUTPUTS.items() if wanted(output)]
-    # The tables do not depend on one another; side by side, the tail of one fills with the next.
-    with ThreadPoolExecutor(max_workers=WRITERS) as pool:
-        list(pool.map(write, written))
+    tables = {name: table(name) for name in written}
+    publish_day(spark, target, day, tables, set(OUTPUTS) - set(written), overwrite=mode == "overwrite")
     return written
