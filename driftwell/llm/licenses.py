@@ -14,6 +14,7 @@ notices with the same span only those with the fewest edits.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import lru_cache
@@ -107,28 +108,61 @@ def fuzzy_spans(line: bytes, notice: Notice, told: bool = False) -> list[tuple[i
     """``(start, end, edits)`` in bytes of the matches of one notice, from left to right."""
     pieces, pattern = _prepared(notice, told)
     size, slack = len(notice.words.encode()), notice.edits
-    windows = sorted(
-        (max(0, at - offset - slack), at - offset + size + slack) for offset, piece in pieces for at in _starts(line, piece)
-    )
-    merged: list[list[int]] = []
-    for a, b in windows:
-        if merged and a <= merged[-1][1]:
-            merged[-1][1] = max(merged[-1][1], b)
-        else:
-            merged.append([a, b])
-    spans = []
-    for a, b in merged:
-        # One more place, for the blank behind a telling word.  The best match is found first, so others
-        # may stand before it as well as behind it.
-        parts = [(a, min(b + 1, len(line)))]
-        while parts:
-            a, b = parts.pop()
-            found = pattern.search(line, a, b) if b - a >= size - slack else None
-            if found:
-                if (edits := sum(found.fuzzy_counts)) <= slack:
-                    spans.append((*found.span(), edits))
-                parts += [(a, found.start()), (found.end(), b)]
-    return sorted(spans)
+    # The window of a seed holds every match the seed can be part of, and one more place, for the blank
+    # behind a telling word.  Pieces of one match mostly give the same window.
+    windows = {
+        (max(0, at - offset - slack), min(at - offset + size + slack + 1, len(line))) for offset, piece in pieces for at in _starts(line, piece)
+    }
+    spans: list[tuple[int, int, int]] = []
+    while windows:
+        found: dict[tuple[int, int, int], list[tuple[int, int]]] = {}
+        for a, b in windows:
+            match = pattern.search(line, a, b) if b - a >= size - slack and _possible(line[a:b], notice, told) else None
+            if match and (edits := sum(match.fuzzy_counts)) <= slack:
+                found.setdefault((edits, *match.span()), []).append((a, b))
+        # Of matches that overlap the one with the fewest edits stays; the windows of the others are
+        # searched again beside it, and become shorter each time.
+        windows = set()
+        for (edits, start, end), own in sorted(found.items()):
+            at = bisect_left(spans, (start, end, 0))
+            if (at and spans[at - 1][1] > start) or (at < len(spans) and spans[at][0] < end):
+                windows |= {part for a, b in own for part in _beside(spans, a, b)}
+            else:
+                spans.insert(at, (start, end, edits))
+    return spans
+
+
+@lru_cache(maxsize=256)
+def _letters(words: str) -> tuple[tuple[bytes, int], ...]:
+    whole = words.encode()
+    return tuple((bytes([c]), whole.count(c)) for c in sorted(set(whole), key=whole.count, reverse=True))
+
+
+def _possible(window: bytes, notice: Notice, told: bool) -> bool:
+    """False where the window lacks the telling word, or more letters of the notice than there may be edits."""
+    if told and notice.telling and b" %b " % notice.telling.encode() not in b" %b " % window:
+        return False
+    lacking = 0
+    for letter, wanted in _letters(notice.words):
+        if (given := window.count(letter)) < wanted:
+            lacking += wanted - given
+            if lacking > notice.edits:
+                return False
+    return True
+
+
+def _beside(spans: list[tuple[int, int, int]], a: int, b: int) -> list[tuple[int, int]]:
+    """What the spans, which are sorted and do not overlap, leave of a window."""
+    parts, at = [], bisect_left(spans, (a, a, 0))
+    if at and spans[at - 1][1] > a:
+        at -= 1
+    for start, end, _ in spans[at:]:
+        if start >= b:
+            break
+        if a < start:
+            parts.append((a, start))
+        a = max(a, end)
+    return [*parts, (a, b)] if a < b else parts
 
 
 def scan_text(text: str | None, base: Sequence[Notice], fuzzy: Sequence[Notice]) -> tuple:

@@ -265,3 +265,27 @@ def test_fingerprints_stay_in_the_jvm(spark, tables_dir):
 def test_sha_of_edited_text(spark):
     row = minhash.edited_neighbours(documents(spark, ["é1", "z"])).selectExpr("doc_id", "sha2(edited, 256) AS h").orderBy("doc_id").first()
     assert row["h"] == hashlib.sha256("éz".encode()).hexdigest()
+
+
+def test_many_edited_notices_take_time_in_proportion(spark):
+    """A text that is nothing but notices with one edit each; a megabyte of them takes seconds."""
+    import time
+
+    rng = random.Random(9)
+
+    def text(n):
+        out = []
+        for _ in range(n):
+            at = rng.randrange(3, 8)
+            out.append("released under the mit license"[:at] + rng.choice("xyz") + "released under the mit license"[at + 1 :])
+        return " ".join(out)
+
+    def seconds(n):
+        given, began = text(n), time.process_time()
+        found = licenses.scan_text(given, licenses.BASE_NOTICES, licenses.FUZZY_NOTICES)
+        assert [x.rpartition(":")[2] for x in found[7]] == ["1"] * n
+        return time.process_time() - began
+
+    seconds(200)
+    short, long = seconds(2_000), seconds(32_000)
+    assert long < 30 * short and long < 60
