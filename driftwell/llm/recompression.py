@@ -166,23 +166,25 @@ def without_repeated_words(
     Texts that lose nothing keep their line breaks.  ``size_col`` is set to the new number of
     characters.
     """
-    columns = docs.columns
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    keyed = docs.withColumns(
-        {
-            "__doc": F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)),
-            "__mark": mark_of(text),
-        }
-    )
-    spans = repeated_words(docs, id_col=id_col, text_col=text_col, window=window)
-    spans = spans.select(F.col("doc").alias("__doc"), F.col("mark").alias("__mark"), F.col("spans").alias("__spans"))
+    rows = prepared(docs, id_col, text_col)
+    marked = rows.join(repeated_words(docs, id_col=id_col, text_col=text_col, window=window), ["doc", "mark"], "left")
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, found: pd.Series) -> pd.Series:
         pairs = zip(texts, found)
-        return pd.Series([t if s is None else _cut(t.encode("utf-8", "replace"), s, window)[2].decode("utf-8", "replace") for t, s in pairs], dtype=object)
-
-    joined = keyed.join(spans, ["__doc", "__mark"], "left").withColumn("__kept", cut(text, F.col("__spans")))
-    new = F.when(F.col(f"`{text_col}`").isNotNull(), F.col("__kept"))
+        return pd.Series([(t if s is None else _cut(t, s, window)[2]).decode("utf-8", "replace") for t, s in pairs], dtype=object)
+
+    # The texts are dealt out by (doc, mark) once, in the form in which the search deals them out too;
+    # rows with the same id and text share what is left of it.  The other columns follow without it.
+    distinct = marked.groupBy("doc", "mark").agg(F.first("text").alias("text"), F.first("spans").alias("spans"))
+    text = F.col(f"`{text_col}`")
+    others = docs.select(
+        F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("doc"),
+        mark_of(F.coalesce(text, F.lit(""))).alias("mark"),
+        text.isNotNull().alias("given"),
+        F.struct(*[F.col(f"`{c}`").alias(c) for c in docs.columns if c != text_col], F.lit(0).alias("__")).alias("rest"),
+    )
+    new = F.when(F.col("given"), F.col("kept"))
     changed = {text_col: new} | ({size_col: F.char_length(new).cast(docs.schema[size_col].dataType)} if size_col else {})
-    return joined.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in columns])
+    joined = others.join(distinct, ["doc", "mark"]).withColumn("kept", cut("text", "spans"))
+    return joined.select(*[changed[c].alias(c) if c in changed else F.col("rest")[c].alias(c) for c in docs.columns])
