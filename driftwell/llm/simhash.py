@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from driftwell.llm.common import id_and_text, staged
 from driftwell.llm.components import connected_components
+from driftwell.operators.joins import join_aggregate
 
 SHINGLE = 3
 DISTANCE = 2
@@ -251,7 +252,8 @@ def simhash_duplicates(
     groups = connected_components(near_edges(distinct, distance=distance))
     linked = staged(groups.join(distinct, groups["node"] == distinct["fp"]).select("fp", "component", "least", "n"), "simhash-linked")
     named = linked.groupBy("component").agg(F.min("least").alias("component_id"), F.sum("n").alias("size"))
-    joined = linked.select("fp", "component").join(named, "component").drop("component")
+    # In a form in which the rows of a large component can be split.
+    joined = join_aggregate(linked.select("fp", "component"), named, ["component"]).drop("component")
     answer = distinct.join(joined, "fp", "left").select(
         "fp",
         F.coalesce("component_id", "least").alias("component_id"),
