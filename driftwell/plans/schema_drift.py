@@ -16,6 +16,8 @@ from driftwell.plans.audit_log import AD_GROUP, ELEMENT_FIELDS, ElementField
 FIELDS = f"{ROOT}.fields"
 ELEMENT = f"{FIELDS}[]"
 SIDES = ("newValue", "oldValue")
+# Levels looked into: as many as the fixed schema has below a field, and one more.
+LEVELS = 6
 # Types of documents that have no paths.
 MALFORMED, MISSING = "MALFORMED", "MISSING"
 # JSON types that each type of the fixed schema reads; null is foreseen everywhere.
@@ -71,7 +73,7 @@ def log_paths(log: DataFrame) -> DataFrame:
     parts = parsed.where("_v IS NOT NULL").select("Source", F.explode(F.concat(record, F.coalesce(named, F.array()))).alias("_p"))
     values = parts.select("Source", F.col("_p.name").alias("fieldName"), F.col("_p.path").alias("_root"), F.col("_p.value").alias("_v"))
     # The elements of a fields array are parts of their own; where it is no array it is looked into as it is.
-    counts = path_counts(values, "_v", ["Source", "fieldName"], root=F.col("_root"), skip=[FIELDS])
+    counts = path_counts(values, "_v", ["Source", "fieldName"], root=F.col("_root"), depth=LEVELS, skip=[FIELDS])
     unread = parsed.where("_v IS NULL").select("Source", F.when(F.col("Details").isNull(), MISSING).otherwise(MALFORMED).alias("type"))
     others = unread.groupBy("Source", "type").agg(F.count("*").alias("n"))
     return counts.unionByName(others.select("Source", none.alias("fieldName"), F.lit(ROOT).alias("path"), "type", "n"))
