@@ -12,7 +12,7 @@ have the smallest hash stays.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -22,33 +22,61 @@ from driftwell.llm.queries import tokenizer_path
 from driftwell.session import delete_path, scratch_path
 from driftwell.sources.writers import stage
 
+# A document's main language makes up at least this share of it.
+LEAST_SHARE = 0.3
 
-def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that could be told; null texts and texts without a letter go.
 
-    Where there is no row to learn languages from, only those go.
+def language_id(
+    spark: SparkSession,
+    docs: DataFrame,
+    sf_dir: str,
+    *,
+    languages: Sequence[str] | None = None,
+    least_share: float = LEAST_SHARE,
+) -> DataFrame:
+    """Documents whose main language is known and makes up enough of them.
+
+    The model decides: a document goes if its main language has less than ``least_share`` of it, or
+    is not among ``languages`` (all that were learned, if not given).  Where ``lang`` is null the main
+    language is written into it.  Null texts and texts without a letter go; where there is no row to
+    learn languages from, only those do.
     """
     model = language.learn_from(docs)
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    found = docs.withColumn("__language", language.detect_column(model, F.col("text"))["lang_pred"])
-    return found.where(F.col("__language") != language.UNKNOWN).drop("__language")
+    # The document travels as one column, so that none of its own can clash with what is found.
+    found = docs.select(F.struct("*").alias("doc"), language.detect_column(model, F.col("text")).alias("found"))
+    main = F.col("found.lang_pred")
+    kept = found.where((main != language.UNKNOWN) & (F.col("found.score") >= least_share))
+    if languages is not None:
+        kept = kept.where(main.isin(*languages))
+    columns = [F.coalesce(F.col("doc")[c], main) if c == "lang" else F.col("doc")[c] for c in docs.columns]
+    return kept.select(*[column.alias(c) for column, c in zip(columns, docs.columns)])
 
 
 def _numbered(docs: DataFrame, label: str) -> DataFrame:
-    """``docs`` with a number for each row, staged, since every reading must give the same numbers."""
-    return staged(docs.withColumn("__row", F.monotonically_increasing_id()), label)
+    """``row, doc``: a number for each row and the row, staged, since every reading must give the same numbers."""
+    return staged(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")), label)
+
+
+def _texts(numbered: DataFrame) -> DataFrame:
+    return numbered.select("row", F.col("doc")["text"].alias("text"))
+
+
+def _kept(numbered: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    return numbered.join(rows, "row", how).select("doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the row with the smallest id."""
     numbered = _numbered(docs, "near-duplicates")
-    groups = simhash.simhash_duplicates(numbered, id_col="__row").select(F.col("doc_id").alias("__row"), "component_id")
-    others = [F.col(f"`{c}`") for c in docs.columns if c != "doc_id"]
-    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", F.xxhash64(*others).alias("hash"), "__row")
-    ordered = numbered.select("__row", order.alias("__order")).join(groups, "__row")
-    kept = ordered.groupBy("component_id").agg(F.min("__order").alias("__order")).select("__order.__row")
-    return numbered.join(kept, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    groups = simhash.simhash_duplicates(_texts(numbered), id_col="row").select(F.col("doc_id").alias("row"), "component_id")
+    doc = F.col("doc")
+    others = F.xxhash64(*[doc[c] for c in docs.columns if c != "doc_id"])
+    order = F.struct(doc["doc_id"].isNull().alias("missing"), doc["doc_id"].alias("id"), others.alias("hash"), "row")
+    ordered = numbered.select("row", order.alias("order")).join(groups, "row")
+    first = ordered.groupBy("component_id").agg(F.min("order").alias("order")).select("order.row")
+    return _kept(numbered, first, "left_semi")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,9 +87,8 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item leaks."""
     numbered = _numbered(docs, "decontamination")
-    leaks = contamination.find_contamination(numbered, table(spark, sf_dir, "benchmark"), id_col="__row")
-    leaked = leaks.select(F.col("doc_id").alias("__row")).distinct()
-    return numbered.join(leaked, "__row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    leaks = contamination.find_contamination(_texts(numbered), table(spark, sf_dir, "benchmark"), id_col="row")
+    return _kept(numbered, leaks.select(F.col("doc_id").alias("row")).distinct(), "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
