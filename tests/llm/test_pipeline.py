@@ -10,6 +10,7 @@ import sys
 import oracle
 import pytest
 from cases import words
+from pyspark.sql import functions as F
 from test_contamination import brute as brute_leaks
 from test_simhash import direct
 
@@ -42,6 +43,9 @@ def test_every_operator_is_a_query_with_the_agreed_columns(spark, tables_dir):
         8: "doc_id item_id",
         9: "doc_id n_bytes n_removed n_spans kept_sha256",
         10: "doc_id n_words n_removed kept_sha256",
+        11: "query_id rank vec_id score",
+        12: "doc_id leaf subroot root proof_sha256 folded_root verified",
+        13: "vec_id component n deviation whitened explained identity_error",
     }
     every = driver.queries()
     assert "pipeline" in every
@@ -50,7 +54,7 @@ def test_every_operator_is_a_query_with_the_agreed_columns(spark, tables_dir):
         (name,) = [q for q in every if q.startswith(f"op{number}_")]
         frame = every[name](spark, tables_dir)
         assert set(columns.split()) <= set(frame.columns), name
-        if number not in (6, 7, 8):
+        if number not in (6, 7, 8, 11, 13):
             assert frame.count() == documents
 
 
@@ -129,6 +133,43 @@ def test_stages_take_empty_tables_and_rows_without_ids(spark, planted):
         assert corpus_pipeline.STAGES[-1][1](spark, frame, directory).count() >= count
 
 
+CLASHING = ("row", "doc", "found", "order", "mark", "spans", "rest", "given", "kept", "place", "component_id", "__row", "__doc", "__language")
+
+
+def test_columns_of_any_name_come_through(spark, planted):
+    """Names that the stages use themselves, and one that needs quoting."""
+    directory, rows, _ = planted
+    docs = spark.read.parquet(f"{directory}/documents.parquet")
+    named = {c: F.concat(F.lit(c), F.col("doc_id")) for c in CLASHING}
+    docs = docs.withColumns(named).withColumn("a b", F.struct(F.col("doc_id").alias("text")))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, directory)
+    assert docs.columns[-1] == "a b" and docs.count() > 50
+    assert docs.where(" OR ".join(f"`{c}` <> concat('{c}', doc_id)" for c in CLASHING)).count() == 0
+    assert docs.where("`a b`.text <> doc_id").count() == 0
+
+
+def test_the_language_model_decides(spark, planted):
+    directory, _, _ = planted
+    rng = random.Random(4)
+    tongues = {"aa": "abcdef", "zz": "uvwxyz"}
+
+    def text(tongue, n):
+        return " ".join("".join(rng.choices(tongues[tongue], k=5)) for _ in range(n))
+
+    rows = [(i, text(t, 60), t) for i, t in enumerate(["aa", "zz"] * 30)]
+    mixed = f"{text('aa', 40)} {text('zz', 60)}"
+    rows += [(100, text("aa", 60), None), (101, text("zz", 60), None), (102, mixed, None), (103, "1 2 3", "aa"), (104, None, "aa")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+    def kept(**options):
+        return {r["doc_id"]: r["lang"] for r in corpus_pipeline.language_id(spark, docs, directory, **options).collect()}
+
+    assert kept() == {i: t for i, _, t in rows[:60]} | {100: "aa", 101: "zz", 102: "zz"}
+    assert set(kept(least_share=0.8)) == {*range(60), 100, 101}
+    assert kept(languages=["zz"]) == {i: "zz" for i in range(1, 60, 2)} | {101: "zz", 102: "zz"}
+
+
 def test_rows_that_share_an_id_leave_one(spark, planted):
     directory, _, _ = planted
     docs = spark.createDataFrame([(1, "same text of two rows"), (1, "same text of two rows"), (2, "another one is here")], "doc_id long, text string")
