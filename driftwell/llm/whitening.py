@@ -9,7 +9,8 @@ back to its rows; a vector that many rows share is split by the adaptive planner
 
 Defined cases: rows whose vector is null, empty, or holds a null or non-finite entry are dropped;
 where vectors differ in length, those of the most frequent length (the smaller of equals) remain.
-A null id is kept as it is, repeated rows keep their repeats, other columns are not looked at.
+Whole numbers beyond 64 bits are held at the ends of that range.  A null id is kept as it is,
+repeated rows keep their repeats, other columns are not looked at.
 Vectors with fewer dimensions than ``components`` give as many components as they have.  A component
 without variance has null ``whitened``, and ``explained`` is null where no component has any; a
 ``deviation`` beyond 64 bits is null.  Without a vector there are no rows.
