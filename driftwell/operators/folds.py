@@ -24,10 +24,14 @@ from pyspark.sql.types import StructType
 BUCKETS = 64
 # A task with more open keys than this sends its states on and begins anew.
 OPEN_KEYS = 50_000
+# Rows and bytes that are put together, so that a key is folded once for many of its rows.
+TOGETHER_ROWS, TOGETHER_BYTES = 100_000, 1 << 25
 # Rows, and bytes of states, that a merging task hands back at a time.
 OUTPUT_ROWS, OUTPUT_BYTES = 1_000, 1 << 23
 # Key types whose text stands for the value and nothing else.
 KEY_TYPES = ("string", "byte", "short", "integer", "long", "boolean", "date", "decimal")
+# Value types whose values may be of any size unseen; their batches are taken as they come.
+NESTED_TYPES = ("array", "map", "struct", "variant")
 
 
 @dataclass(frozen=True)
@@ -37,6 +41,9 @@ class Fold:
     ``comb(a, b)`` merges two states, and merging the zero changes nothing; the result must not
     depend on the order in which values and states meet.  ``finish(state)`` gives the output values
     in the order of ``schema``.  A function may change the state it is given and return it.
+
+    ``seq_keys(codes, n, values)``, where given, folds the rows of many keys at once: a fresh state
+    for each of the keys ``0 .. n - 1``, of which ``codes`` has each row's, as ``seq`` makes of zero.
     """
 
     zero: Callable[[], Any]
@@ -46,17 +53,52 @@ class Fold:
     schema: str
     dump: Callable[[Any], bytes] = pickle.dumps
     load: Callable[[bytes], Any] = pickle.loads
+    seq_keys: Callable[[np.ndarray, int, pd.DataFrame], list] | None = None
 
 
-def each(seq: Callable[..., Any]) -> Callable[[Any, pd.DataFrame], Any]:
+@dataclass(frozen=True)
+class each:
     """A function of a state and one row's values as one that folds a batch."""
 
-    def over(state: Any, values: pd.DataFrame) -> Any:
+    one: Callable[..., Any]
+
+    def __call__(self, state: Any, values: pd.DataFrame) -> Any:
         for row in values.itertuples(index=False, name=None):
-            state = seq(state, *row)
+            state = self.one(state, *row)
         return state
 
-    return over
+
+def _together(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches of the same types put together, up to a bounded size."""
+    held: list[pd.DataFrame] = []
+    rows = size = 0
+    for batch in batches:
+        if held and (rows + len(batch) > TOGETHER_ROWS or size > TOGETHER_BYTES or not batch.dtypes.equals(held[0].dtypes)):
+            yield pd.concat(held, ignore_index=True)
+            held, rows, size = [], 0, 0
+        held.append(batch)
+        rows += len(batch)
+        size += int(batch.memory_usage(deep=True).sum())
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _fold_in(fold: Fold, states: dict[str, Any], batch: pd.DataFrame) -> None:
+    """Folds a batch with the column ``key`` into the states of its keys.
+
+    Keys may be as many as rows, so nothing but the fold's own functions is called once for a key,
+    unless the fold knows whole frames only.
+    """
+    given = batch.drop(columns="key")
+    codes, names = pd.factorize(batch["key"])
+    if fold.seq_keys is not None:
+        for name, fresh in zip(names, fold.seq_keys(codes, len(names), given)):
+            states[name] = fold.comb(states[name], fresh) if name in states else fresh
+        return
+    given = given.iloc[np.argsort(codes, kind="stable")]
+    ends = np.cumsum(np.bincount(codes, minlength=len(names))).tolist()
+    for name, start, end in zip(names, [0, *ends[:-1]], ends):
+        states[name] = fold.seq(states[name] if name in states else fold.zero(), given.iloc[start:end])
 
 
 def fold_by_key(frame: DataFrame, keys: Sequence[str], values: Sequence[str], fold: Fold, *, open_keys: int = OPEN_KEYS) -> DataFrame:
@@ -73,6 +115,8 @@ def fold_by_key(frame: DataFrame, keys: Sequence[str], values: Sequence[str], fo
     # The key is one text, equal where the keys are; the typed keys are read from it at the end.
     key = F.to_json(F.struct(*texts), {"ignoreNullFields": "false"}) if texts else F.lit("")
     rows = frame.select(key.alias("key"), *inputs)
+    # Functions of single rows gain nothing from longer batches.
+    flat = not isinstance(fold.seq, each) and all(frame.schema[v].dataType.typeName() not in NESTED_TYPES for v in values)
 
     def begin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bucket = TaskContext.get().partitionId() % BUCKETS
@@ -83,14 +127,8 @@ def fold_by_key(frame: DataFrame, keys: Sequence[str], values: Sequence[str], fo
             states.clear()
             return out
 
-        for batch in batches:
-            codes, names = pd.factorize(batch["key"])
-            order = np.argsort(codes, kind="stable")
-            given = batch.drop(columns="key").iloc[order]
-            ends = np.cumsum(np.bincount(codes, minlength=len(names)))
-            for name, start, end in zip(names, [0, *ends[:-1]], ends):
-                state = states[name] if name in states else fold.zero()
-                states[name] = fold.seq(state, given.iloc[start:end])
+        for batch in _together(batches) if flat else batches:
+            _fold_in(fold, states, batch)
             if len(states) > open_keys:
                 yield sent()
         if states:
@@ -173,14 +211,35 @@ def bounded_histogram(bins: int) -> Fold:
             counts[place] = counts.get(place, 0) + n
         return fitted((shift, counts))
 
+    def seq_keys(codes: np.ndarray, n: int, values: pd.DataFrame) -> list[tuple[int, dict[int, int]]]:
+        states: list[tuple[int, dict[int, int]]] = [(0, {}) for _ in range(n)]
+        present = values.iloc[:, 0].notna().to_numpy()
+        given, codes = values.iloc[:, 0].to_numpy()[present].astype(np.int64), codes[present]
+        if not len(given):
+            return states
+        order = np.lexsort((given, codes))
+        given, codes = given[order], codes[order]
+        starts = np.flatnonzero(np.diff(codes, prepend=-1))
+        ends = np.append(starts[1:], len(codes))
+        low, high, shifts = given[starts], given[ends - 1], np.zeros(len(starts), dtype=np.int64)
+        # Without a sign, since the distance may be greater than a signed number holds.
+        while len(wide := np.flatnonzero(((high >> shifts) - (low >> shifts)).view(np.uint64) >= bins)):
+            shifts[wide] += 1
+        places = given >> np.repeat(shifts, ends - starts)
+        edges = np.append(np.flatnonzero((np.diff(codes, prepend=-1) != 0) | (np.diff(places, prepend=places[0]) != 0)), len(codes))
+        cuts = np.searchsorted(edges, np.append(starts, len(codes))).tolist()
+        places, counts = places[edges[:-1]].tolist(), np.diff(edges).tolist()
+        for code, shift, begin, end in zip(codes[starts].tolist(), shifts.tolist(), cuts[:-1], cuts[1:]):
+            states[code] = shift, dict(zip(places[begin:end], counts[begin:end]))
+        return states
+
     def seq(state: tuple[int, dict[int, int]], values: pd.DataFrame) -> tuple[int, dict[int, int]]:
-        given = values.iloc[:, 0].dropna().to_numpy().astype(np.int64)
-        places, counts = np.unique(given >> state[0], return_counts=True)
-        return comb(state, fitted((state[0], dict(zip(places.tolist(), counts.tolist())))))
+        return comb(state, seq_keys(np.zeros(len(values), dtype=np.int64), 1, values)[0])
 
     def finish(state: tuple[int, dict[int, int]]) -> tuple:
         shift, counts = state
         places = range(min(counts), max(counts) + 1) if counts else []
         return 1 << shift, places[0] << shift if counts else None, [counts.get(p, 0) for p in places], sum(counts.values())
 
-    return Fold(lambda: (0, {}), seq, comb, finish, "width long, first long, counts array<long>, n long")
+    schema = "width long, first long, counts array<long>, n long"
+    return Fold(lambda: (0, {}), seq, comb, finish, schema, seq_keys=seq_keys)

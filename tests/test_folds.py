@@ -4,6 +4,8 @@ import random
 from collections import Counter
 from decimal import Decimal
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,3 +124,42 @@ def test_nothing_but_maps_and_sorted_shuffles(spark):
     plan = folds.fold_by_key(spark.range(10), ["id"], ["id"], SUM)._jdf.queryExecution().executedPlan().toString()
     assert "Aggregate" not in plan and "FlatMapGroups" not in plan and "Window" not in plan
     assert plan.count("MapInPandas") == 3
+
+
+def no_frames(*_args):
+    raise AssertionError("a frame for one key")
+
+
+def test_a_histogram_takes_the_keys_of_a_batch_together():
+    """No call of the fold by a frame of one key: as many keys as rows were as many such calls."""
+    whole = folds.bounded_histogram(5)
+    fold = folds.Fold(whole.zero, no_frames, whole.comb, whole.finish, whole.schema, seq_keys=whole.seq_keys)
+    rng = random.Random(2)
+    states, rows = {}, []
+    for _ in range(3):
+        part = [(f"k{rng.randrange(200)}", rng.choice([None, 0, -1, 5, 2**40, -(2**50), rng.randrange(-99, 99)])) for _ in range(300)]
+        folds._fold_in(fold, states, pd.DataFrame(part, columns=["key", "v0"]))
+        rows += part
+    limits = [("far", v) for v in (2**63 - 1, -(2**63), 0, 1)]
+    folds._fold_in(fold, states, pd.DataFrame(limits, columns=["key", "v0"]))
+    found = {k: fold.finish(s) for k, s in states.items()}
+    expected = {k: histogram([v for key, v in rows + limits if key == k and v is not None], 5) for k in {r[0] for r in rows + limits}}
+    assert found == expected
+
+
+def test_frames_of_a_key_hold_its_rows_of_many_batches(spark):
+    """Five batches of 10,000 rows of 100 keys: one call for a key, where five were made."""
+    calls = folds.Fold(lambda: 0, lambda s, v: s + 1, lambda a, b: a + b, lambda s: (s,), "calls long")
+    rows = spark.range(50_000, numPartitions=1).select((F.col("id") % 100).alias("k"), "id")
+    assert {r["calls"] for r in folds.fold_by_key(rows, ["k"], ["id"], calls).collect()} == {1}
+
+
+def test_batches_are_put_together_within_bounds(monkeypatch):
+    monkeypatch.setattr(folds, "TOGETHER_ROWS", 25)
+    whole, holes = pd.DataFrame({"key": ["a"] * 10, "v0": range(10)}), pd.DataFrame({"key": ["a"] * 10, "v0": [None, *range(9)]})
+    given = [whole, whole, whole, holes, whole]
+    found = list(folds._together(iter(given)))
+    assert [len(f) for f in found] == [20, 10, 10, 10]
+    assert [f["v0"].dtype for f in found] == [np.int64, np.int64, np.float64, np.int64]
+    monkeypatch.setattr(folds, "TOGETHER_BYTES", 1)
+    assert [len(f) for f in folds._together(iter(given))] == [10] * 5
