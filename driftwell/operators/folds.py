@@ -90,6 +90,11 @@ def _fold_in(fold: Fold, states: dict[str, Any], batch: pd.DataFrame) -> None:
     unless the fold knows whole frames only.
     """
     given = batch.drop(columns="key")
+    if isinstance(fold.seq, each):
+        one = fold.seq.one
+        for name, row in zip(batch["key"].tolist(), zip(*(given.iloc[:, i].tolist() for i in range(given.shape[1])))):
+            states[name] = one(states[name] if name in states else fold.zero(), *row)
+        return
     codes, names = pd.factorize(batch["key"])
     if fold.seq_keys is not None:
         for name, fresh in zip(names, fold.seq_keys(codes, len(names), given)):

@@ -163,3 +163,12 @@ def test_batches_are_put_together_within_bounds(monkeypatch):
     assert [f["v0"].dtype for f in found] == [np.int64, np.int64, np.float64, np.int64]
     monkeypatch.setattr(folds, "TOGETHER_BYTES", 1)
     assert [len(f) for f in folds._together(iter(given))] == [10] * 5
+
+
+def test_functions_of_single_rows_meet_no_frame(monkeypatch):
+    """As many keys as rows were as many frames."""
+    monkeypatch.setattr(pd.DataFrame, "itertuples", no_frames)
+    fold = folds.Fold(lambda: 0, folds.each(lambda s, a, b: s + int(a) * b), lambda a, b: a + b, lambda s: (s,), "n long")
+    states = {"k1": 5}
+    folds._fold_in(fold, states, pd.DataFrame([("k1", "2", 3), ("k2", "7", 1), ("k1", "1", 1)], columns=["key", "v0", "v1"]))
+    assert states == {"k1": 12, "k2": 7}
