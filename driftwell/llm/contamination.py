@@ -22,6 +22,7 @@ matched one by one.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,6 +39,8 @@ LEAST = 5
 COVERAGE = 0.5
 # Up to this many item windows are sent along as a filter ahead of the join; it drops no match.
 FILTER_WINDOWS = 2_000_000
+# Raw words that a Python worker remembers.
+KEPT_WORDS = 300_000
 
 # Words that are a unit when they follow a number.
 UNITS = (
@@ -67,7 +70,7 @@ def _hash(word: str) -> int:
 
 
 class _Vocabulary(dict):
-    """What a raw word is: ``(hash, flags)``.
+    """The number of a raw word, under which ``hashes`` and ``flags`` have what it is.
 
     Flags: number 1, unit 2, title case 4, sentence end 8, dropped 16, name by the items 32, in lower
     case in an item 64, lower case 128.
@@ -76,24 +79,41 @@ class _Vocabulary(dict):
     def __init__(self, names: frozenset[int] = frozenset(), common: frozenset[int] = frozenset()):
         super().__init__()
         self.names, self.common = names, common
+        # Number 0 is no word's, so there is always something to read.
+        self.hashes, self.flags = array("Q", [0]), array("q", [0])
 
-    def __missing__(self, raw: str) -> tuple[int, int]:
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Hash and flags of each word.  Words are forgotten between calls only, so numbers hold."""
+        if len(self) >= KEPT_WORDS:
+            self.clear()
+            del self.hashes[1:], self.flags[1:]
+        numbers = np.array([*map(self.__getitem__, words)], dtype=np.int64)
+        return np.frombuffer(self.hashes, np.uint64)[numbers], np.frombuffer(self.flags, np.int64)[numbers]
+
+    def __missing__(self, raw: str) -> int:
         # Most words are letters only, perhaps with a mark behind them: the patterns are for the rest.
-        core = raw if raw.isalnum() else raw[:-1] if raw[:-1].isalnum() and raw[-1] in ",.;:!?" else _EDGES.sub("", raw)
-        flags = 8 if not raw[-1].isalnum() and raw.rstrip("\"')]}»”’")[-1:] in tuple(".!?") else 0
+        if raw.isalpha():
+            core, flags, letters = raw, 0, True
+        elif raw[-1] in ",.;:!?" and raw[:-1].isalpha():
+            core, flags, letters = raw[:-1], 8 * (raw[-1] in ".!?"), True
+        else:
+            core = raw if raw.isalnum() else raw[:-1] if raw[:-1].isalnum() and raw[-1] in ",.;:!?" else _EDGES.sub("", raw)
+            flags = 8 if not raw[-1].isalnum() and raw.rstrip("\"')]}»”’")[-1:] in tuple(".!?") else 0
+            letters = core.isalpha()
         lower = core.lower()
         hashed = _hash(lower)
-        if not core.isalnum() and not any(c.isalnum() for c in core):
+        if not letters and not core.isalnum() and not any(c.isalnum() for c in core):
             flags |= 16
-        elif not core.isalpha() and _NUMBER.fullmatch(core):
+        elif not letters and _NUMBER.fullmatch(core):
             flags |= 1
         else:
             flags |= 2 * (lower in _UNIT_SET) | 4 * (len(core) > 1 and core.istitle()) | 128 * (core == lower)
             flags |= 32 * (hashed in self.names) | 64 * (hashed in self.common)
-        if len(self) >= 200_000:
-            self.clear()
-        self[raw] = found = (hashed, flags)
-        return found
+        number = len(self.hashes)
+        self.hashes.append(hashed)
+        self.flags.append(flags)
+        self[raw] = number
+        return number
 
 
 _UNIT_SET = frozenset(UNITS)
@@ -124,9 +144,7 @@ class Template:
 
     def __init__(self, text: str | None, vocabulary: _Vocabulary):
         raw = (text or "").split()
-        known = list(map(vocabulary.__getitem__, raw))
-        hashes = np.fromiter((k[0] for k in known), dtype=np.uint64, count=len(known))
-        flags = np.fromiter((k[1] for k in known), dtype=np.int64, count=len(known))
+        hashes, flags = vocabulary.of(raw)
         ends = (flags & 8) > 0
         # A sentence begins behind an end mark, also one that stands alone.
         begins = np.concatenate(([True], ends[:-1]))[: len(ends)]

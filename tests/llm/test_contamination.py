@@ -108,3 +108,17 @@ def test_items_of_mostly_placeholders_are_found_unchanged(spark):
         rows[1][1].replace("45", "46").replace("2019", "2020").replace("7 kg", "9 kg"),
     ]
     assert leaks(spark, texts, rows) == {(0, 1): 0, (2, 2): 0}
+
+
+def test_words_forgotten_between_texts_change_nothing(monkeypatch):
+    """Hash and flags of words in bulk, by number; no number may outlive the words it stands for."""
+    texts = ["Mr. Smith paid $3.50 for 12 KM of rope!", "rope, Rope and ROPE ...", "a 1st km? (yes.)", ""] * 2
+    whole = contamination._Vocabulary(frozenset({contamination._hash("smith")}), frozenset({contamination._hash("rope")}))
+    kept = [contamination.Template(t, whole) for t in texts]
+    monkeypatch.setattr(contamination, "KEPT_WORDS", 3)
+    short = contamination._Vocabulary(whole.names, whole.common)
+    for text, one in zip(texts, kept):
+        other = contamination.Template(text, short)
+        assert one.kinds.tolist() == other.kinds.tolist() and one.hashes.tolist() == other.hashes.tolist()
+        assert one.plain.tolist() == [contamination._hash(contamination._EDGES.sub("", one.raw[k]).lower()) for k in one.kept]
+    assert len(short) < len(whole)
