@@ -5,7 +5,8 @@ one anchor, at an offset between ``least`` and ``most`` from its start, and equa
 theirs at equal offsets.  What all windows of an anchor have in common is its key.  Then, in three
 rounds, each a map over texts and an exchange of packed tuples by key:
 
-1. anchors whose key occurs once are left out;
+1. anchors whose key occurs once are left out, or all keys of parts of their windows, where a scheme
+   has such; an anchor may be found by several;
 2. of the others, the whole stretch of windows around the anchor is compared at once;
 3. where stretches share a key but differ, windows are compared one by one: those of a crowded key
    by their own hashes, those of other keys by what stands around the anchor.
@@ -147,6 +148,13 @@ class Scheme(ABC):
     def keys(self, units: np.ndarray, places: np.ndarray) -> np.ndarray:
         return Ranges(units, 0).of(places - self.least, places - self.most + self.window)
 
+    def parts(self, units: np.ndarray, places: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of anchors, each once or more, and keys for the first round.
+
+        Each window belongs to one of its anchor's keys, which follows from its units and offset.
+        """
+        return np.arange(len(places)), self.keys(units, places)
+
     def stretches(self, units: np.ndarray, places: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         named = Ranges(units, 1).of(places - high, places - low + self.window)
         named = (named ^ (low << 8 | high).astype(np.uint64)) * _K3
@@ -375,8 +383,9 @@ def _first_round(scheme: Scheme, rows: DataFrame, buckets: int) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = _Packer(buckets, np.uint32, settle)
         for texts in _in_texts(scheme, batches, ("doc", "mark", "text")):
-            places, _, _ = scheme.anchors(texts.units, texts.begins, texts.ends)
-            if packer.add(texts, places, scheme.keys(texts.units, places)):
+            places, low, high = scheme.anchors(texts.units, texts.begins, texts.ends)
+            number, keys = scheme.parts(texts.units, places, low, high)
+            if packer.add(texts, places[number], keys):
                 yield from packer.pack()
         yield from packer.pack()
 

@@ -2,8 +2,10 @@
 
 No suffixes are sorted: that would take more disk than is allowed.  The sample are the suffixes that
 begin at local minima: of the 16-byte prefixes in each window, the one with the smallest hash, the
-first of them in a tie.  Sampled suffixes meet by a hash of their prefix (round one); the windows
-that start up to 34 bytes before them are compared by hash, as stretches at first and one by one
+first of them in a tie.  Sampled suffixes meet by hashes of what their windows have in common (round
+one): those that start up to 17 bytes before them of the 33 bytes from there on, those that start 18
+to 34 bytes before them of the 34 bytes around; 16 bytes alone meet by chance ever more often as a corpus
+grows.  The windows of those that met are compared by hash, as stretches at first and one by one
 where stretches differ.  See ``repeats`` for the rounds.
 
 A byte is removed if it lies in a window that also starts in a document with a smaller id; windows
@@ -22,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from driftwell.llm.repeats import CROWD, NO_ID, Scheme, covered, prepared, repeated_spans
+from driftwell.llm.repeats import CROWD, NO_ID, Ranges, Scheme, covered, prepared, repeated_spans
 
 WINDOW = 50
 PREFIX = 16
@@ -80,6 +82,17 @@ class SampledSuffixes(Scheme):
         first, last = first[used], last[used]
         return place[first], place[first] - last, place[first] - first
 
+    def parts(self, units: np.ndarray, places: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Windows of a smaller and of a greater offset have more bytes in common than all have."""
+        middle = self.most // 2
+        near, far = np.flatnonzero(low <= middle), np.flatnonzero(high > middle)
+        hashes = Ranges(units, 0)
+        right = hashes.of(places[near], places[near] - middle + self.window)
+        left = hashes.of(places[far] - middle - 1, places[far] - self.most + self.window)
+        number = np.concatenate((near, far))
+        order = np.argsort(number, kind="stable")
+        return number[order], np.concatenate((right, ~left))[order]
+
 
 def remove_repeated_bytes(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, crowd: int = CROWD

@@ -217,3 +217,26 @@ def test_long_texts_in_blocks(monkeypatch):
     monkeypatch.setattr(suffixes, "_BLOCK", 100)
     parts = scheme.anchors(units, np.array([0]), np.array([len(units)]))
     assert all((a == b).all() for a, b in zip(whole, parts))
+
+
+def test_short_chance_meetings_end_in_the_first_round():
+    """Texts that share 28 bytes meet by no key of the first round; those that share a window always do."""
+    rng = np.random.default_rng(4)
+    scheme = suffixes.SampledSuffixes()
+
+    def keys(text):
+        places, low, high = scheme.anchors(text, np.array([0]), np.array([len(text)]))
+        number, found = scheme.parts(text, places, low, high)
+        assert set(number.tolist()) == set(range(len(places)))
+        return set(found.tolist()), set(scheme.keys(text, places).tolist())
+
+    met = 0
+    for _ in range(60):
+        one, two = rng.integers(97, 123, (2, 300), dtype=np.uint8)
+        two[100:128] = one[150:178]
+        (a, whole_a), (b, whole_b) = keys(one), keys(two)
+        assert not a & b
+        met += bool(whole_a & whole_b)
+        two[100:150] = one[150:200]
+        assert keys(two)[0] & a
+    assert met > 5
